@@ -1,0 +1,39 @@
+"""Connected components of links that may outgrow any one machine: alternating large and small stars."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import store
+
+
+def _stamp(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) for every node of `links` (columns u, v of one type); root is the component's smallest node.
+
+    Each round hangs nodes on the smallest node known around them, and a component's depth falls
+    geometrically, so the rounds grow as the logarithm of its diameter. Rounds are written to the shared
+    folder; nothing is collected but a count. A hub's links are joined, not gathered, so a skewed join can
+    split them. Loops and repeated links don't matter; no links give no rows.
+    """
+    order = lambda a, b: (F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    edges = store(links.where("u != v").select(*order("u", "v")).distinct())
+    stamp = _stamp(edges)
+    while stamp[0]:
+        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+        large = both.join(least, both["u"] == least["k"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        edges = store(large)
+        least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
+        met = edges.join(least, edges["u"] == least["k"])
+        small = met.where("v != m").select(*order("v", "m")).unionByName(least.select(F.col("k").alias("u"), F.col("m").alias("v")))
+        edges = store(small.distinct())
+        before, stamp = stamp, _stamp(edges)
+        if stamp == before:
+            break
+    roots = edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
+    return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
