@@ -6,24 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, simhash, winnow
+from . import langid, line_dedup, mixing, quality_crf, simhash, telephony, toxicity, winnow
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op9_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telephony.report(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_mix_sources, op8_simhash_near_dedup, op10_decontaminate)
+    f.__name__: f for f in (op1_toxicity, op3_language, op5_line_dedup, op6_mix_sources, op7_quality, op8_simhash_near_dedup, op9_telephony, op10_decontaminate)
 }
 
-ORACLES: dict[str, str] = {"op10_decontaminate": winnow.ORACLE}
+ORACLES: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE, "op10_decontaminate": winnow.ORACLE}
