@@ -9,15 +9,13 @@
 4. Of each length the asked number of documents is selected in the order of a seeded hash.
 
 Scale: no document row meets others but by (source, length, bucket of the hash): a group of equal lengths,
-which may hold a third of all rows, is cut into `BUCKETS` cells, and only the cell that the quota cuts is
-ranked. A source's plan sees its histogram of lengths (at most sqrt(2 x words) distinct ones), never rows.
+which may hold a third of all rows, is ranked in `BUCKETS` cells, whose quotas follow from their counts. A source's plan sees its histogram of lengths (at most sqrt(2 x words) distinct ones), never rows.
 The driver holds one number per source.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +26,11 @@ from .kernels import chunks, runs, text_bytes, word_ranges
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2.0
-SEED, BUCKETS = 20, 128
+SEED = 20
+
+#: Groups of one source and length of over RANKED documents are ranked in BUCKETS cells.
+RANKED, BUCKETS = 256, 128
+NAMES = ["source", "size", "n", "quota", "repeats", "source_size", "target"]
 
 #: Sums up to this are fitted exactly by the knapsack.
 REACH = 1 << 16
@@ -143,39 +145,34 @@ def mix(docs: DataFrame, *, share: float = SHARE, most: float = MOST, seed: int
         with_size(docs.select("doc_id", "source", "text")).select(
             "doc_id", "source", "size",
             F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed)).alias("h"),
-        ).withColumn("bucket", F.pmod(F.shiftright("h", 20), F.lit(BUCKETS)).cast("int"))
+        )
     )
-    per_length = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
+    per_length = store(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
     totals = {r["source"]: int(r["words"]) for r in per_length.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).collect()}
     aim = targets(totals, share, most)
-    plan = spark.createDataFrame(
-        [(s, totals[s], float(aim[s]), int(aim[s] // totals[s]) if totals[s] else 0, int(aim[s] % totals[s]) if totals[s] else 0) for s in totals],
-        "source string, source_size long, target double, repeats long, rest long",
-    )
-
-    def fitted(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("size", ignore_index=True)
-        rows["quota"] = fit(rows["size"].to_numpy(), rows["n"].to_numpy(), int(rows["rest"].iloc[0]))
-        return rows[["source", "size", "n", "quota", "repeats", "source_size", "target"]]
-
-    quotas = store(
-        per_length.join(plan, per_length["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-        .groupBy("source").applyInPandas(fitted, "source string, size long, n long, quota long, repeats long, source_size long, target double")
-    )
+    sent = spark.sparkContext.broadcast({s: (t, float(aim[s]), int(aim[s] // t) if t else 0, int(aim[s] % t) if t else 0) for s, t in totals.items()})
+
+    def fitted(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("size")
+        source_size, target, repeats, rest = sent.value[rows.column("source")[0].as_py()]
+        sizes, n = rows.column("size").to_numpy(), rows.column("n").to_numpy()
+        same = lambda x, kind: pa.array([x] * len(n), kind)
+        return pa.table([rows.column("source"), rows.column("size"), rows.column("n"), pa.array(fit(sizes, n, rest)), same(repeats, pa.int64()), same(source_size, pa.int64()), same(target, pa.float64())], names=NAMES)
+
+    quotas = store(per_length.groupBy("source").applyInArrow(fitted, "source string, size long, n long, quota long, repeats long, source_size long, target double"))
     same = lambda a, b, *names: [a[n].eqNullSafe(b[n]) for n in names]
+    rows = store(sized.join(quotas.hint("shuffle_merge"), same(sized, quotas, "source", "size")).select("doc_id", "h", *[quotas[n] for n in NAMES]).withColumn(
+        "bucket", F.when((F.col("quota") == 0) | (F.col("quota") == F.col("n")), -1).when(F.col("n") <= RANKED, 0).otherwise(F.pmod(F.shiftright("h", 20), F.lit(BUCKETS)).cast("int"))
+    ))
 
-    cut = quotas.where("quota > 0 and quota < n").select("source", "size", "quota")
-    cells = sized.groupBy("source", "size", "bucket").agg(F.count("*").alias("m"))
-    cells = cells.join(cut, same(cells, cut, "source", "size")).select(cells["source"], cells["size"], "bucket", "m", "quota")
+    key = ["source", "size", "bucket"]
+    cells = rows.where("bucket >= 0 and n > quota").groupBy(*key).agg(F.count("*").alias("m"), F.first("quota").alias("quota"))
     before = F.sum("m").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    cells = cells.select("source", "size", "bucket", "m", F.greatest(F.lit(0), F.least("m", F.col("quota") - F.coalesce(before, F.lit(0)))).alias("some"))
+    cells = store(cells.select(*key, F.greatest(F.lit(0), F.least("m", F.col("quota") - F.coalesce(before, F.lit(0)))).alias("some")))
 
-    rows = sized.join(quotas, same(sized, quotas, "source", "size")).select(sized["*"], "n", "quota", "repeats", "source_size", "target")
     out = lambda df, extra: df.select("doc_id", "source", "size", "source_size", "target", ((F.col("repeats") + extra) * F.col("size")).alias("taken"))
-    even = out(rows.where("quota = 0 or quota = n"), F.when(F.col("quota") > 0, 1).otherwise(0))
-    uneven = rows.where("quota > 0 and quota < n")
-    uneven = uneven.join(cells, same(uneven, cells, "source", "size", "bucket")).select(uneven["*"], "m", "some")
-    settled = out(uneven.where("some = 0 or some = m"), F.when(F.col("some") > 0, 1).otherwise(0))
-    rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("h", "doc_id"))
-    ranked = out(uneven.where("some > 0 and some < m").withColumn("rank", rank), F.when(F.col("rank") <= F.col("some"), 1).otherwise(0))
-    return even.unionByName(settled).unionByName(ranked)
+    even = out(rows.where("bucket < 0"), F.when(F.col("quota") > 0, 1).otherwise(0))
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy("h", "doc_id"))
+    ranked = rows.where("bucket >= 0").withColumn("rank", rank)
+    ranked = ranked.join(cells.hint("shuffle_merge"), same(ranked, cells, *key)).select(*[ranked[n] for n in ranked.columns], "some")
+    return even.unionByName(out(ranked, F.when(F.col("rank") <= F.col("some"), 1).otherwise(0)))
