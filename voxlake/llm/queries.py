@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_dedup, mixing, quality_crf, simhash, telephony, toxicity, winnow
+from . import langid, line_dedup, mixing, pii, quality_crf, simhash, suffix_dedup, telephony, toxicity, winnow
 from .common import table
 
 
@@ -14,10 +14,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -43,7 +51,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_language, op5_line_dedup, op6_mix_sources, op7_quality, op8_simhash_near_dedup, op9_telephony, op10_decontaminate)
+    f.__name__: f for f in (op1_toxicity, op2_suffix_dedup, op3_language, op4_pii, op5_line_dedup, op6_mix_sources, op7_quality, op8_simhash_near_dedup, op9_telephony, op10_decontaminate)
 }
 
 ORACLES: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE, "op10_decontaminate": winnow.ORACLE}
