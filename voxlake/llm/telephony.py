@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from .common import small_batches
 
 RATE, OUT_RATE, ALIGN = 8000, 16000, 64
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 #: Format tags of WAV.
 PCM, ALAW, MULAW, IMA = 0x0001, 0x0006, 0x0007, 0x0011
