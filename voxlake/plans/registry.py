@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import agreement, graph, kernel, planning, scalar, synapse, voxel
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+for module in (agreement, planning, graph, synapse, voxel, scalar, kernel):
+    QUERIES |= module.QUERIES
+    ORACLES |= module.ORACLES
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlap join of two segmentations, their contingency, and variation of information."""
     return QUERIES["vi_split"](spark, sf_dir)
