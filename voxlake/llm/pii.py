@@ -105,21 +105,24 @@ def disclosing(base: DataFrame, near: DataFrame, docs: DataFrame) -> DataFrame:
     copies = base.where(F.size("base") > 0).groupBy("key1", "key2").agg(F.count("*").alias("n"))
     pairs = near.select("key1", "key2", "entity", "term").distinct().join(copies, ["key1", "key2"])
     both = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("support")).where(F.col("support") >= SUPPORT)
-    both = store(both)
+    entities = base.where(F.size("base") > 0).select(F.explode(F.array_distinct(F.transform("base", lambda x: F.concat_ws(":", x["k"].cast("string"), x["v"])))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    near_any = pairs.select("key1", "key2", "term", "n").distinct().groupBy("term").agg(F.sum("n").alias("n_near"))
+    total = F.lit(float(base.count()))
+    odds = total / F.col("n_entity")
+    # A term's frequency is at least that near entities, and over n_both * odds ** (1 - DISCLOSURE) it can't reach the threshold.
+    both = both.join(entities, "entity").join(near_any, "term").where((odds > 1) & (F.col("n_near") <= F.col("n_both") * F.pow(odds, F.lit(1 - DISCLOSURE)) * (1 + 1e-9)))
+    both = store(both.select("entity", "term", "n_both", "n_entity"))
     if not both.take(1):
         return both.select("entity", "term", F.lit(1.0).alias("share"))
-    entities = base.where(F.size("base") > 0).select(F.explode(F.array_distinct(F.transform("base", lambda x: F.concat_ws(":", x["k"].cast("string"), x["v"])))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     asked = store(both.select("term").distinct())
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
     if asked.count() <= BROADCAST_TERMS:
         frequency = words.join(F.broadcast(asked), "term").groupBy("term").agg(F.count("*").alias("n_term"))
     else:
         frequency = words.groupBy("term").agg(F.count("*").alias("n_term")).join(asked, "term", "left_semi")
-    total = base.count()
-    content = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    mutual = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
-    told = both.join(entities, "entity").join(frequency, "term").where(F.col("n_entity") < total)
-    return told.select("entity", "term", (mutual / content).alias("share")).where(F.col("share") >= DISCLOSURE)
+    mutual = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
+    told = both.join(frequency, "term")
+    return told.select("entity", "term", (mutual / F.log2(odds)).alias("share")).where(F.col("share") >= DISCLOSURE)
 
 
 def findings(docs: DataFrame) -> DataFrame:
