@@ -65,7 +65,7 @@ class Model:
         for n in counts:
             total = np.bincount(history, n, MASK[ORDER - 1] + 1)
             kinds = np.bincount(history[n > 0], minlength=MASK[ORDER - 1] + 1)
-            rest = np.divide(DISCOUNT * kinds, total, out=np.ones_like(total), where=total > 0)
+            rest = np.divide(DISCOUNT * kinds, total, out=np.ones(len(total)), where=total > 0)
             with np.errstate(invalid="ignore", divide="ignore"):
                 own = np.where(total[history] > 0, np.maximum(n - DISCOUNT, 0) / total[history], 0)
             seen.append(own + rest[history] * low)
@@ -129,7 +129,7 @@ class Toxicity:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Toxicity:
-    """Models and calibration. Without labels of both classes every score is 0.5 or the one class's side."""
+    """Models and calibration. Without calibration rows of both classes every text has one score, the share of toxic labels; 1 in 3 without any."""
     spark = docs.sparkSession
     small_batches(spark)
     known = labelled_sample(labels, "toxic", folds=FOLDS, held_out=HELD_OUT, bound=sample)
@@ -171,7 +171,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Toxicity
     told = np.column_stack([told.column(i).to_numpy() for i in range(5)]) if len(told) else np.zeros((0, 5))
     weights = fit_logistic(told[:, 1:], told[:, 0] > 0)
     if not weights.any():
-        weights = np.zeros(5)
+        toxic = sum(known.values())
+        weights = np.array([0, 0, 0, 0, np.log((toxic + 1) / (len(known) - toxic + 2))])
     return Toxicity(model, weights)
 
 
