@@ -40,6 +40,14 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(names: list[str], wish: str) -> str:
+    """A column name that isn't among `names` in any case."""
+    taken = {n.lower() for n in names}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def crc_fold(key: str | Column, folds: int) -> Column:
     """crc32 of the key as text, modulo `folds`; null for a null key."""
     key = F.col(key) if isinstance(key, str) else key

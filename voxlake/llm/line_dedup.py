@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, store
+from .common import free, small_batches, store
 from .kernels import chunks, runs, span_hashes, text_bytes, word_ranges
 
 #: Sites that a line has to be on. Twice a sketch's 99.9 % error around it is near.
@@ -155,8 +155,9 @@ def removed(docs: DataFrame, lines: DataFrame, *, broadcast_lines: int = BROADCA
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).take(pa.array(np.repeat(np.arange(j - i), np.diff(bounds)))), pa.array(hashes.view(np.int64))], names=["doc_id", "line"])
 
     per_doc = docs.select("doc_id", "text").mapInArrow(seen, T.StructType([docs.schema["doc_id"], T.StructField("line", T.LongType())])).distinct()
-    marks = per_doc.join(lines, "line").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line", "first"))).alias("__marks"))
-    marked = docs.join(marks.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(marks["doc_id"]), "left").select(*[docs[n] for n in names], "__marks")
+    told_name = free(names, "marks")
+    marks = per_doc.join(lines, "line").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line", "first"))).alias(told_name))
+    marked = docs.join(marks.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(marks["doc_id"]), "left").select(*[docs[n] for n in names], told_name)
 
     def run_marked(batches):
         for b in batches:

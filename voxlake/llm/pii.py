@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import free, store
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 #: A run starts where the character before isn't of the run, or where the last match ended.
@@ -148,7 +148,9 @@ def sanitised(docs: DataFrame) -> DataFrame:
     """`docs` with clean: `text` with each span replaced by its kind in brackets (of spans that overlap, by the first's). Null stays null."""
     found = findings(docs).where(F.size("spans") > 0).select("key1", "key2", "spans").dropDuplicates(["key1", "key2"])
     docs = docs.drop("clean")
-    keyed = docs.withColumns({"__1": F.xxhash64("text"), "__2": F.hash("text")})
+    one, two, spans = (free(docs.columns, n) for n in ("text_key1", "text_key2", "text_spans"))
+    found = found.withColumnRenamed("spans", spans)
+    keyed = docs.withColumns({one: F.xxhash64("text"), two: F.hash("text")})
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -156,9 +158,9 @@ def sanitised(docs: DataFrame) -> DataFrame:
         fresh = F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, x["s"] - a["at"]), F.element_at(names, x["k"] + 1))
         return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(x["s"] >= a["at"], fresh).otherwise(a["out"]).alias("out"))
 
-    clean = F.aggregate("spans", state, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    joined = keyed.join(found, (keyed["__1"] == found["key1"]) & (keyed["__2"] == found["key2"]), "left")
-    return joined.select(*[keyed[c] for c in docs.columns], F.when(F.col("spans").isNull(), F.col("text")).otherwise(clean).alias("clean"))
+    clean = F.aggregate(spans, state, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
+    joined = keyed.join(found, (keyed[one] == found["key1"]) & (keyed[two] == found["key2"]), "left")
+    return joined.select(*[keyed[c] for c in docs.columns], F.when(F.col(spans).isNull(), F.col("text")).otherwise(clean).alias("clean"))
 
 
 def report(docs: DataFrame) -> DataFrame:
