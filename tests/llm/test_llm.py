@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from voxlake.llm import langid, line_dedup, mixing, pii, quality_crf, simhash, simhash_similar, suffix_dedup, telephony, toxicity, winnow
-from voxlake.llm.components import components
+from voxlake.operators.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
@@ -378,7 +378,7 @@ def test_links_through_cut_shards(spark, shard):
             fps.add(centre ^ sum({1 << draw.randrange(64) for _ in range(draw.randint(0, 3))}))
     fps = sorted(fps)
     df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
-    root = {r.node: r.root for r in components(simhash.links(df, 2, shard)).collect()}
+    root = {r.node: r.root for r in components(simhash.links(df, 2, shard), at_once=0).collect()}
     mine = {}
     for x, r in zip(fps, joined(fps, 2)):
         s = x - (1 << 64) if x >> 63 else x

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch: bounds what a Python worker holds of long texts at once.
-BATCH_ROWS = 1000
+from ..spark import store, table
 
+__all__ = ["crc_fold", "fit_logistic", "free", "in_fold", "labelled_sample", "small_batches", "store", "table"]
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+#: Rows in an Arrow batch: bounds what a Python worker holds of long texts at once.
+BATCH_ROWS = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -21,25 +18,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one in the temporary folder only where the session names none (tests)."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if not there:
-        there = spark.sparkContext.getCheckpointDir()
-    if not there:
-        there = tempfile.mkdtemp(prefix="voxlake-")
-        spark.sparkContext.setCheckpointDir(there)
-    return there
-
-
-def store(df: DataFrame) -> DataFrame:
-    """`df`, written as Parquet to the shared folder and read again: cuts the lineage, and survives a lost executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voxlake-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def free(names: list[str], wish: str) -> str:
     """A column name that isn't among `names` in any case."""
     taken = {n.lower() for n in names}

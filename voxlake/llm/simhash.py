@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.components import components
 from .common import small_batches, store
-from .components import components
 from .kernels import LOWER, chunks, runs, text_bytes, word_ranges
 from .mixing import SPACE
 
@@ -199,7 +199,7 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, sha
     """
     prints = store(with_fingerprint(docs, shingle))
     reps = store(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(reps, radius, shard))
+    roots = components(links(reps, radius, shard), at_once=0)
     rooted = reps.join(roots, reps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     joined = rooted.where("root != fp").join(ids, "root").select("fp", "component_id")

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.components import components
 from .common import small_batches, store
-from .components import components
 from .kernels import LOWER, chunks, gram_hashes, mix, runs, span_hashes, text_bytes, word_ranges
 from .mixing import SPACE
 from .suffix_dedup import class_of
@@ -179,7 +179,7 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, similarity: float = SIMIL
     """(doc_id, component_id): the smallest doc_id that links of similar texts lead to. Texts without words are one class, similar to no other."""
     seen = store(sketch_table(docs, shingle))
     classes = store(seen.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("words").alias("words"), F.first("fp").alias("fp"), F.first("sign").alias("sign"), F.first("bands").alias("bands")))
-    roots = components(links(classes.where("words"), similarity=similarity, shard=shard))
+    roots = components(links(classes.where("words"), similarity=similarity, shard=shard), at_once=0)
     rooted = classes.select("class", "least").join(roots, classes["class"] == roots["node"], "left").select("class", "least", F.coalesce("root", "class").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = store(rooted.join(ids, "root").select("class", "component_id"))
