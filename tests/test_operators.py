@@ -160,3 +160,45 @@ def test_joins_by_hash(spark):
     a = boxes(spark, [(1, *V)])
     plan = joins.range_join(a, a)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_rounds_join_mutual_minima(spark):
+    from voxlake.operators import agglomerate
+
+    nodes = spark.createDataFrame([(n,) for n in range(1, 7)], "node long")
+    edges = spark.createDataFrame([(1, 2, 0.1, 1), (2, 3, 0.15, 1), (1, 3, 0.9, 3), (4, 5, 0.2, 1), (5, 6, 0.1, 1)], "u long, v long, weight double, size long")
+    got = {r.node: r.root for r in agglomerate.rounds(nodes, edges, 0.3).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 4}
+
+
+def test_blocks_merge_where_they_overlap(spark):
+    from voxlake.operators import agglomerate
+
+    rows = [("a", 0, 0, x, 1 if x < 5 else 2) for x in range(10)] + [("b", 0, 0, x, 7 if x < 9 else 8) for x in range(8, 14)]
+    got = {(r.block, r.local): r["global"] for r in agglomerate.merged_blocks(spark.createDataFrame(rows, "block string, z long, y long, x long, local long")).collect()}
+    assert got["a", 2] == got["b", 7] == got["b", 8] and got["a", 1] != got["a", 2]
+
+
+def test_aggregate_classifier_pads_each_part(spark):
+    import numpy as np
+
+    from voxlake.operators import classify
+    from voxlake.operators.stencil import grey_dilation
+
+    wide = classify.Classifier(lambda a, x, y, z: {"m": grey_dilation(a, (0, 2, 2))}, ["m"], (0, 2, 2))
+    both = classify.Aggregate([(classify.identity("i"), {}), (wide, {"m": "most"})])
+    assert both.pad == (0, 2, 2) and both.classes == ["i", "most"]
+    dense = np.random.default_rng(2).integers(0, 255, (2, 12, 13))
+    df = spark.createDataFrame([(*map(int, p), int(v)) for p, v in np.ndenumerate(dense)], "z long, y long, x long, v long")
+    got = {"i": np.zeros(dense.shape), "most": np.zeros(dense.shape)}
+    for r in classify.classified(df, "v", both, block=(1, 5, 5)).collect():
+        got[r.channel][r.z, r.y, r.x] = r.value
+    assert (got["i"] == dense).all() and (got["most"] == grey_dilation(dense, (0, 2, 2))).all()
+
+
+def test_propagation_keeps_known_labels(spark):
+    from voxlake.operators import classify
+
+    edges = spark.createDataFrame([(1, 2, 1.0), (2, 3, 1.0)], "u long, v long, affinity double")
+    got = {r.node: r.score for r in classify.propagated(edges, spark.createDataFrame([(1, 1), (3, 0)], "node long, score int"), rounds=3).collect()}
+    assert got == {1: 1.0, 2: 0.5, 3: 0.0}

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import agreement, graph, kernel, planning, scalar, synapse, voxel
+from . import agreement, assembly, graph, kernel, planning, scalar, synapse, voxel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for module in (agreement, planning, graph, synapse, voxel, scalar, kernel):
+for module in (agreement, planning, graph, synapse, voxel, scalar, assembly, kernel):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
 
