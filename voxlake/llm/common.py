@@ -10,7 +10,7 @@ from ..spark import store, table
 __all__ = ["crc_fold", "fit_logistic", "free", "in_fold", "labelled_sample", "small_batches", "store", "table"]
 
 #: Rows in an Arrow batch: bounds what a Python worker holds of long texts at once.
-BATCH_ROWS = 1000
+BATCH_ROWS = 256
 
 
 def small_batches(spark: SparkSession) -> None:
