@@ -202,3 +202,10 @@ def test_propagation_keeps_known_labels(spark):
     edges = spark.createDataFrame([(1, 2, 1.0), (2, 3, 1.0)], "u long, v long, affinity double")
     got = {r.node: r.score for r in classify.propagated(edges, spark.createDataFrame([(1, 1), (3, 0)], "node long, score int"), rounds=3).collect()}
     assert got == {1: 1.0, 2: 0.5, 3: 0.0}
+
+
+def test_stored_tables_can_be_released(spark):
+    from voxlake import spark as session
+
+    df = session.store(spark.range(5))
+    assert df.count() == 5 and session.release(spark) >= 1 and session.release(spark) == 0

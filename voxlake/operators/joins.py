@@ -1,7 +1,8 @@
-"""Joins that plan as hash joins where the plain form would be a nested loop, and look-up joins."""
+"""Joins on grid cells where the plain form would be a nested loop, and look-up joins."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,8 +23,9 @@ def _tiles(df: DataFrame, tile: Sequence[int], prefix: str) -> DataFrame:
 def range_join(left: DataFrame, right: DataFrame, *, tile: Sequence[int] = (32, 32, 16)) -> DataFrame:
     """Pairs of boxes (columns x, y, z, x1, y1, z1) that overlap on every axis; columns as l_... and r_...
 
-    Boxes meet in the tiles of a grid that both touch, in a hash join; a pair is kept only in the tile that holds the low corner of
-    its intersection, so no distinct is needed. Tiles should be about as large as the larger boxes: a box costs as many rows
+    Boxes meet in the tiles of a grid that both touch, in an equi join; a pair is kept only in the tile that holds the low corner of
+    its intersection, so no distinct is needed. Both sides are sorted and merged: the planner takes a side for as small as it was before it
+    was dealt to its tiles, and would broadcast what is too large. Tiles should be about as large as the larger boxes: a box costs as many rows
     as the tiles that it touches.
     """
     a = left.select(*[F.col(c).alias(f"l_{c}") for c in left.columns], *AXES, *[f"{x}1" for x in AXES])
@@ -31,7 +33,7 @@ def range_join(left: DataFrame, right: DataFrame, *, tile: Sequence[int] = (32,
     plain = [*AXES, *[f"{x}1" for x in AXES]]
     a = _tiles(a, tile, "t").drop(*plain)
     b = _tiles(b, tile, "t").drop(*plain)
-    met = a.join(b, [f"t{x}" for x in AXES])
+    met = a.hint("merge").join(b, [f"t{x}" for x in AXES])
     one, two = Box(met, "l_"), Box(met, "r_")
     low = one.intersection(two)
     owner = [F.col(f"t{x}") == F.floor(low[x] / t) for x, t in zip(AXES, tile, strict=True)]
@@ -41,15 +43,24 @@ def range_join(left: DataFrame, right: DataFrame, *, tile: Sequence[int] = (32,
 def distance_join(points: DataFrame, radius: float, scale: dict[str, float], key: str = "id") -> DataFrame:
     """Pairs of points at most `radius` apart, each once (l_key < r_key), with dist2; `scale` has the unit of each coordinate column.
 
-    Points go to the cells of a grid of the radius, one side also to the 26 cells around, and meet in a hash join.
+    Points go to the cells of a grid of the radius, one side also to the cells around that come later in the grid's order (13 of 26),
+    and meet in a sorted join; two points of neighbouring cells thus meet once, and are put in the order of their keys then.
     """
+    axes = list(scale)
     cell = {c: F.floor(F.col(c) * s / radius) for c, s in scale.items()}
-    a, b = points.select(*[F.col(c).alias(f"l_{c}") for c in points.columns], *[v.alias(f"cell_{c}") for c, v in cell.items()]), points.select(*[F.col(c).alias(f"r_{c}") for c in points.columns], *[v.alias(f"cell_{c}") for c, v in cell.items()])
-    for c in scale:
-        b = b.withColumn(f"cell_{c}", F.explode(F.array(*[F.col(f"cell_{c}") + d for d in (-1, 0, 1)])))
-    met = a.join(b, [f"cell_{c}" for c in scale]).where(F.col(f"l_{key}") < F.col(f"r_{key}"))
-    dist2 = sum((((F.col(f"l_{c}") - F.col(f"r_{c}")) * s) * ((F.col(f"l_{c}") - F.col(f"r_{c}")) * s) for c, s in scale.items()), F.lit(0.0))
-    return met.withColumn("dist2", dist2).where(F.col("dist2") <= radius * radius).drop(*[f"cell_{c}" for c in scale])
+    a = points.select(*[F.col(c).alias(f"a_{c}") for c in points.columns], *[v.alias(f"cell_{c}") for c, v in cell.items()])
+    later = [o for o in itertools.product((-1, 0, 1), repeat=len(axes)) if o >= (0,) * len(axes)]
+    shift = F.explode(F.array(*[F.struct(*[F.lit(d).alias(c) for c, d in zip(axes, o, strict=True)]) for o in later])).alias("shift")
+    b = points.select(*[F.col(c).alias(f"b_{c}") for c in points.columns], *[v.alias(f"cell_{c}") for c, v in cell.items()], shift)
+    own = F.lit(True)
+    for c in axes:
+        own = own & (F.col(f"shift.{c}") == 0)
+    b = b.select(*[f"b_{c}" for c in points.columns], *[(F.col(f"cell_{c}") + F.col(f"shift.{c}")).alias(f"cell_{c}") for c in axes], own.alias("own"))
+    dist2 = sum((((F.col(f"a_{c}") - F.col(f"b_{c}")) * s) * ((F.col(f"a_{c}") - F.col(f"b_{c}")) * s) for c, s in scale.items()), F.lit(0.0))
+    first = F.col(f"a_{key}") < F.col(f"b_{key}")
+    met = a.hint("merge").join(b, [f"cell_{c}" for c in axes]).where((first | ~F.col("own")) & (dist2 <= radius * radius) & (F.col(f"a_{key}") != F.col(f"b_{key}")))
+    pick = lambda c, one, two: F.when(first, F.col(f"{one}_{c}")).otherwise(F.col(f"{two}_{c}"))
+    return met.select(*[pick(c, "a", "b").alias(f"l_{c}") for c in points.columns], *[pick(c, "b", "a").alias(f"r_{c}") for c in points.columns], dist2.alias("dist2"))
 
 
 def star_join(one: DataFrame, two: DataFrame, mid: str, a: str, b: str) -> DataFrame:

@@ -21,9 +21,22 @@ def shared_dir(spark: SparkSession) -> str:
     return there
 
 
+_stored: list[str] = []
+
+
 def store(df: DataFrame) -> DataFrame:
     """`df`, written as Parquet to the shared folder and read again: cuts the lineage, and survives a lost executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/voxlake-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the tables that `store` has written in this process; call it when no result that reads them is needed any more."""
+    conf, n = spark._jsc.hadoopConfiguration(), 0
+    while _stored:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
