@@ -140,3 +140,35 @@ def test_stream_equals_batch(spark, tmp_path):
     run.processAllAvailable()
     run.stop()
     assert sorted(map(tuple, spark.table("told").collect())) == sorted(map(tuple, events.windowed(data).collect()))
+
+
+def test_stitched_volume(spark, tmp_path):
+    rows = []
+    for block, x0, x1 in (("a", 0, 12), ("b", 8, 20)):
+        rows += [(block, x0, 0, 0, x1, 1, 1, 0, 0, x, 1) for x in range(x0, x1)]
+    df = spark.createDataFrame(rows, "block string, box_x long, box_y long, box_z long, box_x1 long, box_y1 long, box_z1 long, z long, y long, x long, local long")
+    mapping = spark.createDataFrame([("a", 1, 5), ("b", 1, 6)], "block string, local long, global long")
+    blocks.write_stitched(df, mapping, str(tmp_path / "s"), dataset="seg", pad=4, whole=(0, 0, 0, 20, 1, 1), chunk=(1, 1, 8))
+    got = {r.x: r.value for r in blocks.read_chunks(spark, str(tmp_path / "s"), dataset="seg", box=(0, 0, 0, 20, 1, 1)).collect()}
+    assert got == {x: 5 if x < 10 else 6 for x in range(20)}
+
+
+def test_png_planes_round_trip(spark):
+    dense = np.random.default_rng(9).integers(0, 1 << 24, (2, 5, 7))
+    rows = blocks.png_planes(voxels(spark, (3, 0, 0), dense), "v", tile=(4, 4)).collect()
+    assert len(rows) == 8
+    for r in rows:
+        x, y, z = (int(p) for p in r.name[:-4].split("_"))
+        part = dense[z - 3, y : y + 4, x : x + 4]
+        assert (tiles.unpack_labels(tiles.decode_png(bytes(r.content)))[: part.shape[0], : part.shape[1]] == part).all()
+
+
+def test_rag_documents(spark):
+    nodes, edges = spark.createDataFrame([(2, 5), (1, 3)], "node long, size long"), spark.createDataFrame([(1, 2, 4, 0.5)], "u long, v long, size long, weight double")
+    n, e = documents.rag_tables(documents.rag_document(nodes, edges))
+    assert [tuple(r) for r in n.collect()] == [(1, 3), (2, 5)] and [tuple(r) for r in e.collect()] == [(1, 2, 4, 0.5)]
+
+
+def test_copy(spark, tmp_path):
+    (tmp_path / "a").write_text("x")
+    assert blocks.copy_path(spark, str(tmp_path / "a"), str(tmp_path / "b")) and (tmp_path / "b").read_text() == "x"

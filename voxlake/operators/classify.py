@@ -62,7 +62,10 @@ def classified(voxels: DataFrame, value: str, classifier: Classifier | Aggregate
         start = [int(rows.column(f"b{c}")[0].as_py()) * b for c, b in zip("zyx", block, strict=True)]
         low = [s - h for s, h in zip(start, classifier.pad, strict=True)]
         dense = np.zeros([b + 2 * h for b, h in zip(block, classifier.pad, strict=True)])
-        dense[z - low[0], y - low[1], x - low[2]] = v
+        places = [p - s for p, s in zip((z, y, x), low, strict=True)]
+        dense[tuple(places)] = v
+        there = [(int(p.min()), int(p.max()) + 1) for p in places]
+        dense = np.pad(dense[tuple(slice(*t) for t in there)], [(a, n - b) for (a, b), n in zip(there, dense.shape, strict=True)], mode="symmetric")
         own = np.ones(len(z), bool)
         for p, s, b in zip((z, y, x), start, block, strict=True):
             own &= (p >= s) & (p < s + b)

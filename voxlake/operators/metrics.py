@@ -120,3 +120,23 @@ def merge_gain(table: DataFrame, pairs: DataFrame) -> DataFrame:
 def voi_change(one: Column, two: Column, total: Column) -> Column:
     """Entropy that is lost when sets of these sizes become one, in bits."""
     return (xlog2x((one + two) / total) - xlog2x(one / total) - xlog2x(two / total)).cast("double")
+
+
+def merged_rows(table: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The contingency after joining segments by `mapping` (a, to): rows of one target are summed."""
+    moved = table.join(mapping, "a", "left").select(F.coalesce("to", "a").alias("a"), "b", "n")
+    return moved.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def pooled(tables: list[DataFrame]) -> DataFrame:
+    """One contingency of several blocks' ones: metrics of the whole come from sums of pairs, not from means of metrics."""
+    all_ = tables[0]
+    for t in tables[1:]:
+        all_ = all_.unionByName(t)
+    return all_.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def accepted(gains: DataFrame, ratio: float) -> DataFrame:
+    """Merges that lower the sum and the split part, and the merge part too or by less than `ratio` of the split's gain (a1, a2, d_merge, d_split)."""
+    fine = (F.col("d_merge") < 0) | (F.try_divide(-F.col("d_merge"), F.col("d_split")) < ratio)
+    return gains.where((F.col("d_merge") + F.col("d_split") < 0) & (F.col("d_split") < 0) & fine)

@@ -23,6 +23,23 @@ def scan(voxels: DataFrame, box: tuple[int, int, int, int, int, int], *, local:
     return out
 
 
+def planned(box: tuple[int, int, int, int, int, int], layers: Sequence[DataFrame], value: str) -> DataFrame:
+    """Every voxel of a box (x, y, z, w, h, d): the value of the last layer that has it, 0 where none has."""
+    from .joins import overlay
+
+    x, y, z, w, h, d = box
+    grid = layers[0].sparkSession.range(z, z + d).select(F.col("id").alias("z"))
+    for c, low, n in (("y", y, h), ("x", x, w)):
+        grid = grid.withColumn(c, F.explode(F.sequence(F.lit(low).cast("long"), F.lit(low + n - 1).cast("long"))))
+    known = overlay(*[scan(v, box) for v in layers], keys=KEYS, value=value)
+    return grid.join(known, list(KEYS), "left").select(*KEYS, F.coalesce(value, F.lit(0)).alias(value))
+
+
+def masked(voxels: DataFrame, label: str, mask: DataFrame) -> DataFrame:
+    """Labels where `mask` (z, y, x) has a voxel; 0 elsewhere."""
+    return voxels.join(mask.select(*KEYS, F.lit(True).alias("inside")).distinct(), list(KEYS), "left").withColumn(label, F.when(F.col("inside"), F.col(label)).otherwise(0)).drop("inside")
+
+
 def threshold(value: Column, *, at: float | None = None, higher: bool = False, classes: Sequence[int] | None = None) -> Column:
     """Foreground: value among the classes, else above or below the threshold."""
     if classes is not None:

@@ -174,4 +174,72 @@ def vi_over_samples(spark, d):
     return rounded(parts.agg(F.avg("merge").alias("merge"), (F.stddev_pop("merge") / F.sqrt(F.count("*"))).alias("merge_sem"), F.avg("split").alias("split"), F.median("split").alias("split_median")), "merge", "merge_sem", "split", "split_median")
 
 
+GAINS = R + """, pairs AS (SELECT x.a AS a1, y.a AS a2, CAST(x.m AS DOUBLE) AS m1, CAST(y.m AS DOUBLE) AS m2 FROM r x JOIN r y ON x.a < y.a),
+dc AS (SELECT p.a1, p.a2, SUM((u.n + v.n) * log2(u.n + v.n) - u.n * log2(u.n) - v.n * log2(v.n)) AS g FROM pairs p JOIN c u ON u.a = p.a1 JOIN c v ON v.a = p.a2 AND v.b = u.b GROUP BY p.a1, p.a2),
+gain AS (SELECT p.a1, p.a2, ((m1 + m2) * log2(m1 + m2) - m1 * log2(m1) - m2 * log2(m2) - COALESCE(g, 0)) / t.n AS dm, -COALESCE(g, 0) / t.n AS ds FROM pairs p LEFT JOIN dc ON p.a1 = dc.a1 AND p.a2 = dc.a2, t)"""
+
+
+@query(GAINS + " SELECT a1, a2, round(dm, 6) AS d_merge, round(ds, 6) AS d_split FROM gain WHERE dm + ds < -1e-9 AND ds < 0 AND (dm < 0 OR -dm / ds < 0.9)", "vox")
+def accepted_merges(spark, d):
+    table = cells(spark, d)
+    one = table.select(F.col("a").alias("a1")).distinct()
+    gains = metrics.merge_gain(table, one.join(one.select(F.col("a1").alias("a2")), F.col("a1") < F.col("a2")))  # label pairs of one volume
+    return rounded(metrics.accepted(gains, 0.9).where(F.col("d_merge") + F.col("d_split") < -1e-9), "d_merge", "d_split")
+
+
+@query("""WITH c AS (SELECT a, b, COUNT(*) AS n FROM vox GROUP BY 1, 2), r AS (SELECT a, SUM(n) AS m FROM c GROUP BY 1), s AS (SELECT b, SUM(n) AS m FROM c GROUP BY 1), t AS (SELECT CAST(SUM(n) AS DOUBLE) AS n FROM c)
+SELECT round(((SELECT SUM(m * ln(m)) FROM r) - (SELECT SUM(n * ln(n)) FROM c)) / t.n, 6) AS merge, round(((SELECT SUM(m * ln(m)) FROM s) - (SELECT SUM(n * ln(n)) FROM c)) / t.n, 6) AS split FROM t""", "vox")
+def vi_nats_with_background(spark, d):
+    from ..functions.scalars import bits_to_nats
+
+    told = metrics.split_vi(cells(spark, d, keep_zero=True))
+    return rounded(told.select(bits_to_nats(F.col("merge")).alias("merge"), bits_to_nats(F.col("split")).alias("split")), "merge", "split")
+
+
+@query("""WITH l AS (SELECT z, y, x, 'a' AS k, a AS v FROM vox UNION ALL SELECT z, y, x, 'b', b FROM vox UNION ALL SELECT z, y, x, 'p', CAST(floor(p / 64) AS BIGINT) + 1 FROM vox),
+c AS (SELECT o.k AS one, q.k AS two, o.v AS a, q.v AS b, COUNT(*) AS n FROM l o JOIN l q ON o.z = q.z AND o.y = q.y AND o.x = q.x AND o.k < q.k WHERE o.v <> 0 AND q.v <> 0 GROUP BY 1, 2, 3, 4),
+r AS (SELECT one, two, SUM(m * log2(m)) AS h FROM (SELECT one, two, a, SUM(n) AS m FROM c GROUP BY 1, 2, 3) GROUP BY 1, 2), s AS (SELECT one, two, SUM(m * log2(m)) AS h FROM (SELECT one, two, b, SUM(n) AS m FROM c GROUP BY 1, 2, 3) GROUP BY 1, 2)
+SELECT c.one, c.two, round((MAX(r.h) + MAX(s.h) - 2 * SUM(n * log2(n))) / SUM(n), 6) AS vi FROM c JOIN r ON r.one = c.one AND r.two = c.two JOIN s ON s.one = c.one AND s.two = c.two GROUP BY 1, 2""", "vox")
+def vi_matrix(spark, d):
+    vox = view(spark, d, "vox").withColumn("p", F.floor(F.col("p") / 64) + 1)
+    out = None
+    for one, two in (("a", "b"), ("a", "p"), ("b", "p")):
+        row = metrics.split_vi(overlap.contingency(vox, one, two)).select(F.lit(one).alias("one"), F.lit(two).alias("two"), "vi")
+        out = row if out is None else out.unionByName(row)
+    return rounded(out, "vi")
+
+
+@query("""WITH c AS (SELECT t, CASE WHEN p < t THEN a ELSE 0 END AS a, b, COUNT(*) AS n FROM vox, (SELECT unnest([64, 128, 192]) AS t) GROUP BY 1, 2, 3), k AS (SELECT * FROM c WHERE a <> 0 AND b <> 0),
+s AS (SELECT t, SUM(m * m) AS v FROM (SELECT t, a, SUM(n) AS m FROM k GROUP BY 1, 2) GROUP BY 1), g AS (SELECT t, SUM(m * m) AS v FROM (SELECT t, b, SUM(n) AS m FROM k GROUP BY 1, 2) GROUP BY 1)
+SELECT k.t AS threshold, round(SUM(n * n) / (0.5E0 * MAX(g.v) + 0.5E0 * MAX(s.v)), 6) AS rand FROM k JOIN s ON k.t = s.t JOIN g ON k.t = g.t GROUP BY 1""", "vox")
+def rand_by_threshold(spark, d):
+    out = None
+    for t in (64, 128, 192):
+        cut = view(spark, d, "vox").withColumn("a", F.when(F.col("p") < t, F.col("a")).otherwise(0))
+        row = metrics.rand_f(overlap.contingency(cut), (0.5,)).select(F.lit(t).alias("threshold"), "rand")
+        out = row if out is None else out.unionByName(row)
+    return rounded(out, "rand")
+
+
+@query("SELECT CASE WHEN a <= 4 THEN 1 ELSE a END AS a, b, CAST(COUNT(*) AS BIGINT) AS n FROM vox WHERE a <> 0 AND b <> 0 GROUP BY 1, 2", "vox")
+def merged_contingency(spark, d):
+    table = cells(spark, d)
+    mapping = table.where("a <= 4").select("a", F.lit(1).cast("long").alias("to")).distinct()
+    return metrics.merged_rows(table, mapping)
+
+
+@query("SELECT a, b, CAST(COUNT(*) AS BIGINT) AS n FROM vox WHERE a <> 0 AND b <> 0 GROUP BY a, b", "vox")
+def pooled_contingency(spark, d):
+    vox = view(spark, d, "vox")
+    return metrics.pooled([overlap.contingency(vox.where(F.col("z") % 2 == k)) for k in (0, 1)])
+
+
+@query("SELECT DISTINCT u.a AS a, v.a AS b FROM vox u JOIN vox v ON v.z = u.z + 1 AND v.y = u.y AND v.x = u.x WHERE u.z = 3 AND u.b = v.b AND u.a <> 0 AND v.a <> 0 AND u.b <> 0", "vox")
+def cut_pairs(spark, d):
+    """Labels on either side of a cut between planes that a second segmentation holds together."""
+    vox = view(spark, d, "vox").where("a <> 0 and b <> 0")
+    below = vox.where("z = 4").select("y", "x", F.col("a").alias("other"), "b")
+    return vox.where("z = 3").select("y", "x", "a", "b").join(below, ["y", "x", "b"]).select("a", F.col("other").alias("b")).distinct()
+
+
 QUERIES, ORACLES = query.queries, query.oracles

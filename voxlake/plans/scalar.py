@@ -86,4 +86,54 @@ def surface_triangles(spark, d):
     return documents.surface(view(spark, d, "vox"), "a").groupBy("label").agg(F.count("*").alias("triangles"))
 
 
+@query("SELECT id, x + y + z AS total, w * h * d AS volume FROM block", "block")
+def volume_json(spark, d):
+    """Boxes to JSON and back."""
+    text = view(spark, d, "block").select("id", F.to_json(F.struct("x", "y", "z", F.col("w").alias("width"), F.col("h").alias("height"), F.col("d").alias("depth"))).alias("volume"))
+    back = text.select("id", F.from_json("volume", "x long, y long, z long, width long, height long, depth long").alias("v"))
+    return back.select("id", F.expr("v.x + v.y + v.z").alias("total"), F.expr("v.width * v.height * v.depth").alias("volume"))
+
+
+HISTORY = """SELECT s.user_id, COUNT(*) AS runs, MAX(s.event_id) AS last_id, MAX(p.top) AS top FROM {events} s JOIN {events} e ON s.user_id = e.user_id AND e.event_type = 'purchase' AND e.ts > s.ts
+LEFT OUTER JOIN (SELECT user_id, MAX(props) AS top FROM {events} WHERE event_type LIKE '%view' GROUP BY user_id) p ON p.user_id = s.user_id WHERE s.event_type = 'signup' GROUP BY s.user_id"""
+
+
+@query(HISTORY.format(events="events"))
+def task_history(spark, d):
+    return spark.sql(HISTORY, events=table(spark, d, "events"))
+
+
+@query("SELECT p_type AS class, CAST(COUNT(*) AS BIGINT) AS n, round(SUM(l_quantity), 4) AS seconds FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def runtime_totals(spark, d):
+    li, part = table(spark, d, "lineitem"), table(spark, d, "part")
+    task = part.select("p_partkey", scalars.task_class(F.concat(F.lit("ns."), F.col("p_type"), F.lit("_"), F.col("p_brand"))).alias("class"))
+    told = li.join(task, F.col("l_partkey") == F.col("p_partkey")).groupBy("class").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("seconds"))
+    return rounded(told, "seconds", digits=4)
+
+
+@query("SELECT v FROM (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, COUNT(*) OVER () AS n FROM (SELECT DISTINCT o_custkey AS v FROM orders)) WHERE n < 200 OR i % CAST(floor(n / 100) AS BIGINT) = 0")
+def stratified_sample(spark, d):
+    """Every so many of the distinct values, so that about 100 stay: a sampling operator."""
+    from ..operators.overlap import dense_rank
+
+    ranked = dense_rank(table(spark, d, "orders").select(F.col("o_custkey").alias("v")), "v", "i")
+    n = ranked.agg(F.count("*").alias("n"))
+    return ranked.crossJoin(F.broadcast(n)).where((F.col("n") < 200) | ((F.col("i") - 1) % F.greatest(F.floor(F.col("n") / 100), F.lit(1)) == 0)).select("v")  # one row
+
+
+@query("SELECT l_suppkey AS k, MIN(v - before) AS least FROM (SELECT l_suppkey, v, lag(v) OVER (PARTITION BY l_suppkey ORDER BY v) AS before FROM (SELECT DISTINCT l_suppkey, l_partkey AS v FROM lineitem)) WHERE before IS NOT NULL GROUP BY 1")
+def smallest_difference(spark, d):
+    from pyspark.sql.window import Window
+
+    own = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_partkey").alias("v")).distinct()
+    return own.withColumn("step", F.col("v") - F.lag("v").over(Window.partitionBy("k").orderBy("v"))).where("step is not null").groupBy("k").agg(F.min("step").alias("least"))
+
+
+@query("SELECT id, round(((1008 - x1) * (1008 - x1) + (1008 - y1) * (1008 - y1) + (204 - z1) * (204 - z1)) / (1008.0E0 * 1008 * 2 + 204 * 204), 6) AS priority FROM block", "block")
+def far_corner_priority(spark, d):
+    far = lambda c, n: (F.lit(n) - F.col(c)) * (F.lit(n) - F.col(c))
+    told = view(spark, d, "block").select("id", ((far("x1", 1008) + far("y1", 1008) + far("z1", 204)) / (1008.0 * 1008 * 2 + 204 * 204)).alias("priority"))
+    return rounded(told, "priority")
+
+
 QUERIES, ORACLES = query.queries, query.oracles

@@ -156,4 +156,19 @@ def plane_totals(spark, d):
     return rounded(li.groupBy(F.col("l_linenumber").cast("long").alias("z")).agg(F.count("*").alias("n"), F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("total")), "total", digits=2)
 
 
+@query("SELECT q.z, q.y, q.x, CAST(COALESCE(CASE WHEN b <> 0 THEN b ELSE a END, 0) AS BIGINT) AS v FROM (SELECT z, y, x FROM (SELECT unnest(range(0, 9)) AS z), (SELECT unnest(range(0, 70)) AS y), (SELECT unnest(range(0, 70)) AS x)) q LEFT JOIN vox ON vox.z = q.z AND vox.y = q.y AND vox.x = q.x", "vox")
+def planned_scan(spark, d):
+    vox = view(spark, d, "vox")
+    one, two = vox.select("z", "y", "x", F.col("a").alias("v")), vox.where("b <> 0").select("z", "y", "x", F.col("b").alias("v"))
+    return voxels.planned((0, 0, 0, 70, 70, 9), [one, two], "v")
+
+
+@query("SELECT f.z, f.y, f.x, f.p < 150 AND COALESCE(c.a, 0) <> 0 AS inside FROM vox f LEFT JOIN vox c ON c.z = CAST(floor(f.z / 2) AS BIGINT) AND c.y = CAST(floor(f.y / 2) AS BIGINT) AND c.x = CAST(floor(f.x / 2) AS BIGINT)", "vox")
+def border_mask(spark, d):
+    vox = view(spark, d, "vox")
+    mask = vox.select("z", "y", "x", F.col("a").alias("mask"))
+    met = joins.nearest_upsample(vox.select("z", "y", "x", "p"), mask, {"z": 2, "y": 2, "x": 2}, "mask")
+    return met.select("z", "y", "x", (voxels.threshold(F.col("p"), at=150) & (F.coalesce("mask", F.lit(0)) != 0)).alias("inside"))
+
+
 QUERIES, ORACLES = query.queries, query.oracles

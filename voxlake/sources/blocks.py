@@ -96,3 +96,38 @@ def repair_scan(coarse: DataFrame, box: tuple[int, int, int, int, int, int], off
     keys = {c: F.floor((F.col(c) - o) / n).cast("long").alias(f"c{c}") for c, o, n in zip("xyz", offset, factor, strict=True)}
     small = coarse.select(*[F.col(c).alias(f"c{c}") for c in "xyz"], "value")
     return grid.select("*", *keys.values()).join(small, ["cx", "cy", "cz"], "left").select("z", "y", "x", F.coalesce("value", F.lit(0)).alias("value"))
+
+
+def write_stitched(blocks: DataFrame, mapping: DataFrame, path: str, *, dataset: str, pad: int, whole: tuple[int, int, int, int, int, int], chunk: tuple[int, int, int]) -> None:
+    """Blocks with halos (block, box_x to box_z1, z, y, x, local) as one volume of global labels: faces inside lose half the padding, labels are looked up by (block, local)."""
+    kept = Box(blocks, "box_").trimmed(pad, Box.of(*whole))
+    inside = None
+    for c in "xyz":
+        one = (F.col(c) >= kept[c]) & (F.col(c) < kept[f"{c}1"])
+        inside = one if inside is None else inside & one
+    told = blocks.where(inside).join(mapping, ["block", "local"], "left").select(*KEYS, F.coalesce("global", F.lit(0)).alias("global"))
+    write_chunks(told, path, dataset=dataset, value="global", block=chunk)
+
+
+def copy_path(spark: SparkSession, source: str, target: str) -> bool:
+    """Copies a file or folder through Hadoop's file systems."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    return bool(jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf))
+
+
+def png_planes(voxels: DataFrame, value: str, *, tile: tuple[int, int]) -> DataFrame:
+    """(name, content): PNG tiles of each plane, named x_y_z, labels in three channels."""
+    from .tiles import encode_png
+
+    df = voxels.select(*KEYS, F.col(value).cast("long").alias("v")).withColumns({"by": F.floor(F.col("y") / tile[1]), "bx": F.floor(F.col("x") / tile[0])})
+
+    def run(rows: pa.Table) -> pa.Table:
+        z, y, x, v = (rows.column(n).to_numpy() for n in (*KEYS, "v"))
+        y0, x0 = int(rows.column("by")[0].as_py()) * tile[1], int(rows.column("bx")[0].as_py()) * tile[0]
+        image = np.zeros((tile[1], tile[0], 3), np.uint8)
+        for k in range(3):
+            image[y - y0, x - x0, k] = (v >> (8 * k)) & 255
+        return pa.table({"name": [f"{x0:04d}_{y0:04d}_{int(z[0]):04d}.png"], "content": [encode_png(image)]})
+
+    return df.groupBy("z", "by", "bx").applyInArrow(run, "name string, content binary")

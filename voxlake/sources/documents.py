@@ -42,6 +42,22 @@ def united(frames: list[DataFrame], excluded: tuple[str, ...] = ()) -> DataFrame
     return out.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in sorted(out.columns) if c not in excluded])
 
 
+RAG = "nodes array<struct<node:long,size:long>>, edges array<struct<u:long,v:long,size:long,weight:double>>"
+
+
+def rag_document(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """One JSON document of a region graph."""
+    n = nodes.agg(F.array_sort(F.collect_list(F.struct("node", "size"))).alias("nodes"))
+    e = edges.agg(F.array_sort(F.collect_list(F.struct("u", "v", "size", "weight"))).alias("edges"))
+    return n.crossJoin(e).select(F.to_json(F.struct("nodes", "edges")).alias("document"))  # one row each
+
+
+def rag_tables(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of region graphs in JSON (document)."""
+    read = documents.select(F.from_json("document", RAG).alias("g"))
+    return read.select(F.explode("g.nodes").alias("n")).select("n.*"), read.select(F.explode("g.edges").alias("e")).select("e.*")
+
+
 def swc(nodes: DataFrame) -> DataFrame:
     """(label, swc): each skeleton's nodes (label, node, x, y, z, radius, parent) as SWC text."""
     line = F.concat_ws(" ", F.col("node").cast("string"), F.lit("0"), *[F.col(c).cast("string") for c in ("x", "y", "z", "radius", "parent")])
