@@ -131,3 +131,12 @@ def test_thin_boundaries():
     a = np.array([[[1, 0, 0, 0, 2], [1, 0, 0, 0, 2]]])
     assert stencil.thin_boundaries(a)[0, 0].tolist() == [1, 1, 1, 2, 2]
     assert (stencil.thin_boundaries(np.zeros((1, 3, 3), int)) == 0).all()
+
+
+def test_spine_necks():
+    mask = np.zeros((7, 12, 30), bool)
+    mask[:, 1:11, 1:10] = mask[:, 2:10, 18:28] = True
+    mask[3, 5, 10:18] = True
+    out, n = stencil.spine_necks(mask, 2, minimum=4)
+    assert out[3, 5, 14] > 0 and out[3, 5, 5] == 0 and n >= 1
+    assert stencil.spine_necks(np.zeros((3, 3, 3), bool), 1)[1] == 0
