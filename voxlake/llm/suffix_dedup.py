@@ -159,8 +159,8 @@ def repeats(docs: DataFrame, *, words: int = WORDS, k: int = K) -> DataFrame:
 
     spans are merged ranges of words (struct s, e) that the text shares, `words` or more at a time, with a text of another
     doc_id. Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. Null, empty and shorter texts, and
-    texts that repeat only within themselves, have no row. Rows of one doc_id and equal text are one; a null doc_id is a document of
-    its own with class null only if no other has its words. Other columns are ignored.
+    texts that repeat only within themselves, have no row. Rows of one doc_id and equal text are one. Words that only rows
+    without a doc_id have are not searched; where others have them too, such rows count as one more document. Other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
