@@ -90,11 +90,11 @@ def padding_trim(spark, d):
     return blocks.select("id", *[kept[c].alias(c) for c in ("x", "x1", "z", "z1")])
 
 
-@query("SELECT l.id AS left_id, r.id AS right_id, COALESCE(l.y, r.y) AS y, COALESCE(l.z, r.z) AS z, COALESCE(l.face, r.face) AS face FROM (SELECT MIN(id) AS id, y, z, x1 AS face FROM block GROUP BY y, z, x1) l FULL OUTER JOIN (SELECT MIN(id) AS id, y, z, x AS face FROM block GROUP BY y, z, x) r ON l.y = r.y AND l.z = r.z AND l.face = r.face", "block")
+@query("SELECT COALESCE(l.id, -1) AS left_id, COALESCE(r.id, -1) AS right_id, COALESCE(l.y, r.y) AS y, COALESCE(l.z, r.z) AS z, COALESCE(l.face, r.face) AS face FROM (SELECT MIN(id) AS id, y, z, x1 AS face FROM block GROUP BY y, z, x1) l FULL OUTER JOIN (SELECT MIN(id) AS id, y, z, x AS face FROM block GROUP BY y, z, x) r ON l.y = r.y AND l.z = r.z AND l.face = r.face", "block")
 def face_match(spark, d):
     blocks = view(spark, d, "block")
     side = lambda face, name: blocks.groupBy("y", "z", F.col(face).alias("face")).agg(F.min("id").alias(name))
-    return joins.face_match(side("x1", "left_id"), side("x", "right_id"), ["y", "z", "face"]).select("left_id", "right_id", "y", "z", "face")
+    return joins.face_match(side("x1", "left_id"), side("x", "right_id"), ["y", "z", "face"]).select(F.coalesce("left_id", F.lit(-1)).alias("left_id"), F.coalesce("right_id", F.lit(-1)).alias("right_id"), "y", "z", "face")
 
 
 @query("""SELECT n_name AS dataset_name, CAST(COUNT(*) AS BIGINT) AS n, MIN(c_custkey) AS first_id, CAST(SUM(CASE WHEN r_name = 'ASIA' THEN 1 ELSE 0 END) AS BIGINT) AS asian FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY n_name""")

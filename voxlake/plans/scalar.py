@@ -94,7 +94,7 @@ def volume_json(spark, d):
     return back.select("id", F.expr("v.x + v.y + v.z").alias("total"), F.expr("v.width * v.height * v.depth").alias("volume"))
 
 
-HISTORY = """SELECT s.user_id, COUNT(*) AS runs, MAX(s.event_id) AS last_id, MAX(p.top) AS top FROM {events} s JOIN {events} e ON s.user_id = e.user_id AND e.event_type = 'purchase' AND e.ts > s.ts
+HISTORY = """SELECT s.user_id, COUNT(*) AS runs, MAX(s.event_id) AS last_id, COALESCE(MAX(p.top), '') AS top FROM {events} s JOIN {events} e ON s.user_id = e.user_id AND e.event_type = 'purchase' AND e.ts > s.ts
 LEFT OUTER JOIN (SELECT user_id, MAX(props) AS top FROM {events} WHERE event_type LIKE '%view' GROUP BY user_id) p ON p.user_id = s.user_id WHERE s.event_type = 'signup' GROUP BY s.user_id"""
 
 

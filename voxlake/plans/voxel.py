@@ -58,11 +58,11 @@ def merge_predictions(spark, d):
     return low.join(voxels.merged_predictions(layers(spark, d), "v", "max", inverted=True).withColumnRenamed("v", "high"), ["z", "y", "x"])
 
 
-@query("SELECT f.z, f.y, f.x, c.p AS coarse FROM vox f LEFT JOIN vox c ON c.z = CAST(floor(f.z / 2) AS BIGINT) AND c.y = CAST(floor(f.y / 4) AS BIGINT) AND c.x = CAST(floor(f.x / 4) AS BIGINT)", "vox")
+@query("SELECT f.z, f.y, f.x, COALESCE(c.p, -1) AS coarse FROM vox f LEFT JOIN vox c ON c.z = CAST(floor(f.z / 2) AS BIGINT) AND c.y = CAST(floor(f.y / 4) AS BIGINT) AND c.x = CAST(floor(f.x / 4) AS BIGINT)", "vox")
 def nearest_upsample(spark, d):
     vox = view(spark, d, "vox")
     coarse = vox.select("z", "y", "x", F.col("p").alias("coarse"))
-    return joins.nearest_upsample(vox.select("z", "y", "x"), coarse, {"z": 2, "y": 4, "x": 4}, "coarse")
+    return joins.nearest_upsample(vox.select("z", "y", "x"), coarse, {"z": 2, "y": 4, "x": 4}, "coarse").withColumn("coarse", F.coalesce("coarse", F.lit(-1)))
 
 
 @query("""SELECT z, r AS "row", c AS "column", CAST(CASE WHEN z < 7 THEN COALESCE(p, 255) ELSE 255 END AS BIGINT) AS p FROM (SELECT unnest(range(0, 9)) AS z), (SELECT unnest(range(0, 64)) AS r), (SELECT unnest(range(0, 64)) AS c) LEFT JOIN (SELECT z AS vz, y, x, p FROM vox) ON vz = z AND y = r AND x = c""", "vox")
