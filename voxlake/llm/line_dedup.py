@@ -25,8 +25,9 @@ from .kernels import chunks, runs, span_hashes, text_bytes, word_ranges
 
 #: Sites that a line has to be on. Twice a sketch's 99.9 % error around it is near.
 SITES, SKETCH_BITS, NEAR = 8, 12, 0.12
+
+#: Lines that are looked up by broadcast, at most: 16 bytes each.
 BROADCAST_LINES = 1 << 20
-"""16 bytes each: 16 MB at most."""
 
 
 def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
