@@ -8,8 +8,8 @@
    that the corpus keeps one copy of what it repeats.
 
 Step 3 looks lines up in the boilerplate table. If that has at most `BROADCAST_LINES` lines it goes to the tasks and
-the documents aren't shuffled; else lines meet it in a join by hash and go back to their documents by aggregation of
-(row, line number) positions.
+the documents aren't shuffled; else the documents' lines meet it in a join by hash, and each document is joined with the
+list of its own boilerplate lines.
 """
 
 from __future__ import annotations
