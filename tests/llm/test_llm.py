@@ -127,6 +127,14 @@ def test_suffix_dedup_equals_brute_force(spark, corpus):
     assert got == repeated(rows)
 
 
+def test_suffix_dedup_of_words_repeated_over_and_over(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "AT_ONCE", 200)
+    runs = [" ".join([f"a{i}"] * 3 + ["onti"] * n + [f"b{i}", "end"] + ["onti", "der"] * (n // 2)) for i, n in enumerate((60, 200, 49, 130, 130, 300))]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(runs)] + [(99, " ".join(f"q{k}" for k in range(120)), None, None, 0)]
+    got = {r.doc_id: {w for s in r.spans for w in range(s.s, s.e)} for r in suffix_dedup.repeats(frame(spark, rows)).collect()}
+    assert got == repeated(rows) and len(got) >= 5
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.report(frame(spark, [])).collect() == []
     assert suffix_dedup.report(frame(spark, AWKWARD)).collect() == []

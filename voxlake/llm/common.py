@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..spark import store, table
+from ..spark import reachable, store, table
 
 __all__ = ["crc_fold", "fit_logistic", "free", "in_fold", "labelled_sample", "small_batches", "store", "table"]
 
@@ -14,7 +14,8 @@ BATCH_ROWS = 256
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Batches of BATCH_ROWS texts in the session, instead of 10,000 in Arrow and 4,096 in the Parquet reader."""
+    """Batches of BATCH_ROWS texts in the session, instead of 10,000 in Arrow and 4,096 in the Parquet reader, and workers that find this package."""
+    reachable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(BATCH_ROWS))
 

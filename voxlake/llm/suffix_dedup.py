@@ -4,9 +4,10 @@
    share has an anchor at the same place of it in both. Texts of the same words are one class, of which one stands for all.
 2. Anchors whose K-gram only one class has lead nowhere and go. A class's other anchors are suffixes: the words from the
    anchor on, and those before it backwards, as far as a passage around the anchor can reach.
+   Equal suffixes of one class, as a word that is repeated over and over makes them, are one with several places.
 3. The suffixes are sorted over the whole corpus, by (gram, right, left), in ranges of equal size: one that a third of all texts
-   have falls into as many ranges as it needs. Each is compared with its next neighbours of other classes, and the match extended right
-   and left; from `WORDS` words on it is a repeat. Neighbours over a range's edge are compared apart. A second order, (gram, left, right),
+   have falls into as many ranges as it needs. Each is compared with its next neighbours, and with the next of another class on either
+   side however many of its own come first (up to `OVERLAP`), and the match extended right and left; from `WORDS` words on it is a repeat. Neighbours over a range's edge are compared apart. A second order, (gram, left, right),
    finds the neighbours of suffixes that agree more to the left.
 4. Matches are merged by class, then told for each of its documents; texts of a class with several documents repeat whole.
 
@@ -24,15 +25,17 @@ from pyspark.sql import types as T
 
 from .common import small_batches, store
 from .kernels import BASE, gram_hashes, minimisers, mix
-from .winnow import words_of
+from .winnow import merged, words_of
 
 WORDS, K = 50, 8
 #: Sorted neighbours that a suffix is compared with on each side.
 NEIGHBOURS = 3
+#: Suffixes that are compared at once, and those of them that come again with the next ones.
+AT_ONCE, OVERLAP = 4096, 512
 #: Bytes of a word's hash in a suffix.
 WIDE = 3
 
-SUFFIX = "gram long, sright binary, sleft binary, class long, pos int"
+SUFFIX = "gram long, sright binary, sleft binary, class long, pos array<int>"
 
 
 def class_of(words: np.ndarray) -> int:
@@ -65,37 +68,56 @@ class _Rows:
             flat = np.frombuffer(b"".join(x.ljust(width * WIDE, b"\0") for x in cells), np.uint8).reshape(n, width, WIDE)
             self.sides.append((flat, length))
 
-    def common(self, d: int, side: int) -> np.ndarray:
-        """Equal words of each row and the one d below."""
+    def common(self, i: np.ndarray, j: np.ndarray, side: int) -> np.ndarray:
+        """Equal words of rows i and j."""
         flat, length = self.sides[side]
         if not flat.shape[1]:
-            return np.zeros(len(flat) - d, np.int64)
-        differ = (flat[d:] != flat[:-d]).any(2)
+            return np.zeros(len(i), np.int64)
+        differ = (flat[i] != flat[j]).any(2)
         first = np.where(differ.any(1), differ.argmax(1), flat.shape[1])
-        return np.minimum(first, np.minimum(length[d:], length[:-d]))
+        return np.minimum(first, np.minimum(length[i], length[j]))
 
-    def matches(self, size: int) -> list[np.ndarray]:
-        """class, start, end of every row that shares `size` words with a near one of another class."""
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Near rows of one gram and two classes: up to NEIGHBOURS apart, and the rows on either side of a run of one class with all of the run."""
         n = len(self.gram)
-        reach = np.zeros((2, n), np.int64)
-        hit = np.zeros(n, bool)
-        for d in range(1, min(NEIGHBOURS, n - 1) + 1):
-            pair = np.flatnonzero((self.gram[d:] == self.gram[:-d]) & (self.cls[d:] != self.cls[:-d]))
-            if not len(pair):
-                continue
-            right, left = self.common(d, 0)[pair], self.common(d, 1)[pair]
-            good = right + left >= size
-            for row in (pair[good], pair[good] + d):
-                hit[row] = True
-                np.maximum.at(reach[0], row, right[good])
-                np.maximum.at(reach[1], row, left[good])
-        at = np.flatnonzero(hit)
-        return [self.cls[at], self.pos[at] - reach[1, at], self.pos[at] + reach[0, at]]
+        every = np.arange(n)
+        cut = np.flatnonzero((self.cls[1:] != self.cls[:-1]) | (self.gram[1:] != self.gram[:-1])) + 1
+        begin, end = np.concatenate([[0], cut]), np.concatenate([cut, [n]])
+        run = np.repeat(np.arange(len(begin)), end - begin)
+        one = [every[:-d] for d in range(1, min(NEIGHBOURS, n - 1) + 1)] + [every, every]
+        two = [every[d:] for d in range(1, min(NEIGHBOURS, n - 1) + 1)] + [begin[run] - 1, end[run]]
+        i, j = np.concatenate(one), np.concatenate(two)
+        inside = (j >= 0) & (j < n)
+        i, j = i[inside], j[inside]
+        good = (self.gram[i] == self.gram[j]) & (self.cls[i] != self.cls[j])
+        return i[good], j[good]
+
+    def matches(self, size: int) -> list[list[int]]:
+        """class, start, end of what every row shares, `size` words or more, with a near one of another class."""
+        n = len(self.gram)
+        reach, hit = np.zeros((2, n), np.int64), np.zeros(n, bool)
+        if n > 1:
+            i, j = self.pairs()
+            for k in range(0, len(i), AT_ONCE):
+                a, b = i[k : k + AT_ONCE], j[k : k + AT_ONCE]
+                right, left = self.common(a, b, 0), self.common(a, b, 1)
+                good = right + left >= size
+                for row in (a[good], b[good]):
+                    hit[row] = True
+                    np.maximum.at(reach[0], row, right[good])
+                    np.maximum.at(reach[1], row, left[good])
+        out: list[list[int]] = [[], [], []]
+        for x in np.flatnonzero(hit).tolist():
+            flat = merged([(p - int(reach[1, x]), p + int(reach[0, x])) for p in self.pos[x]])
+            for s, e in zip(flat[::2], flat[1::2], strict=True):
+                for column, value in zip(out, (int(self.cls[x]), s, e), strict=True):
+                    column.append(value)
+        return out
 
 
 def _columns(batch, names) -> list:
     pick = {n: batch.column(batch.schema.get_field_index(n)) for n in names}
-    return [pick["gram"].to_numpy(), pick["sright"].to_pylist(), pick["sleft"].to_pylist(), pick["class"].to_numpy(), pick["pos"].to_numpy().astype(np.int64)]
+    return [pick["gram"].to_numpy(), pick["sright"].to_pylist(), pick["sleft"].to_pylist(), pick["class"].to_numpy(), pick["pos"].to_pylist()]
 
 
 def _join(a: list, b: list) -> list:
@@ -111,45 +133,47 @@ def compared(suffixes: DataFrame, order: list[str], size: int, k: int) -> DataFr
     spark = suffixes.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = ["gram", "sright", "sleft", "class", "pos"]
-    schema = "class long, s int, e int, part int, nth int, gram long, sright binary, sleft binary, pos int"
+    schema = "class long, s int, e int, part int, nth int, gram long, sright binary, sleft binary, pos array<int>"
 
     def out(cls, s, e):
         m = len(cls)
-        void = [pa.nulls(m, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32())]
+        void = [pa.nulls(m, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()))]
         return pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32()), *void], names=["class", "s", "e", "part", "nth", "gram", "sright", "sleft", "pos"])
 
     def run(batches):
         from pyspark import TaskContext
 
-        part, carry, head, total = TaskContext.get().partitionId(), None, None, 0
+        part, held, head = TaskContext.get().partitionId(), None, None
         for b in batches:
             if not b.num_rows:
                 continue
             rows = _columns(b, names)
-            total += b.num_rows
-            head = rows if head is None else _join(head, rows) if len(head[0]) < NEIGHBOURS else head
-            head = _part(head, slice(0, NEIGHBOURS))
-            rows = rows if carry is None else _join(carry, rows)
-            for i in range(0, max(1, len(rows[0]) - NEIGHBOURS), 4096):
-                yield out(*_Rows(*_part(rows, slice(i, i + 4096 + NEIGHBOURS)), size, k).matches(size))
-            carry = _part(rows, slice(max(0, len(rows[0]) - NEIGHBOURS), None))
+            if head is None or len(head[0]) < NEIGHBOURS:
+                head = _part(rows if head is None else _join(head, rows), slice(0, NEIGHBOURS))
+            held = rows if held is None else _join(held, rows)
+            while len(held[0]) >= AT_ONCE + OVERLAP:
+                yield out(*_Rows(*_part(held, slice(0, AT_ONCE + OVERLAP)), size, k).matches(size))
+                held = _part(held, slice(AT_ONCE, None))
+        if held is not None:
+            yield out(*_Rows(*held, size, k).matches(size))
+            carry = _part(held, slice(max(0, len(held[0]) - NEIGHBOURS), None))
         if head is not None:
             edge = _join(head, carry)
             m, nth = len(edge[0]), [*range(len(head[0])), *range(1 << 20, (1 << 20) + len(carry[0]))]
             void = pa.nulls(m, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(edge[3], pa.int64()), void, void, pa.array([part] * m, pa.int32()), pa.array(nth, pa.int32()), pa.array(edge[0], pa.int64()), pa.array(edge[1], pa.binary()), pa.array(edge[2], pa.binary()), pa.array(edge[4], pa.int32())],
+                [pa.array(edge[3], pa.int64()), void, void, pa.array([part] * m, pa.int32()), pa.array(nth, pa.int32()), pa.array(edge[0], pa.int64()), pa.array(edge[1], pa.binary()), pa.array(edge[2], pa.binary()), pa.array(edge[4], pa.list_(pa.int32()))],
                 names=["class", "s", "e", "part", "nth", "gram", "sright", "sleft", "pos"],
             )
 
-    sorted_ = suffixes.repartitionByRange(n, *order, "class", "pos").sortWithinPartitions(*order, "class", "pos").select(*names)
+    sorted_ = suffixes.repartitionByRange(n, *order, "class").sortWithinPartitions(*order, "class").select(*names)
     told = store(sorted_.mapInArrow(run, schema))
     edges = told.where("part is not null").orderBy("part", "nth").toArrow()  # a few rows for each range
     found = told.where("part is null").select("class", "s", "e")
     if len(edges) > 1:
         rows = _columns(edges.combine_chunks().to_batches()[0], names)
         cls, s, e = _Rows(*rows, size, k).matches(size)
-        more = spark.createDataFrame(list(zip(cls.tolist(), s.tolist(), e.tolist(), strict=True)), "class long, s int, e int")
+        more = spark.createDataFrame(list(zip(cls, s, e, strict=True)), "class long, s int, e int")
         found = found.unionByName(more)
     return found
 
@@ -196,8 +220,11 @@ def repeats(docs: DataFrame, *, words: int = WORDS, k: int = K) -> DataFrame:
                     continue
                 at, g = _anchors(w, words, k)
                 keep = np.isin(g, grams.values.to_numpy())
+                places: dict[tuple, list[int]] = {}
                 for p, gram in zip(at[keep].tolist(), g[keep].tolist(), strict=True):
-                    for row, x in zip(rows, (gram, _packed(w[p : p + words]), _packed(w[max(0, p - words + k) : p][::-1]), c, p), strict=True):
+                    places.setdefault((gram, _packed(w[p : p + words]), _packed(w[max(0, p - words + k) : p][::-1])), []).append(p)
+                for suffix, found in places.items():
+                    for row, x in zip(rows, (*suffix, c, found), strict=True):
                         row.append(x)
                 if len(rows[0]) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, TYPES, strict=True)], names=["gram", "sright", "sleft", "class", "pos"])
@@ -221,7 +248,7 @@ def repeats(docs: DataFrame, *, words: int = WORDS, k: int = K) -> DataFrame:
     return rows.select("doc_id", "class", "n_words", n.alias("n_repeated"), "spans")
 
 
-TYPES = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32())
+TYPES = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.int32()))
 
 
 def report(docs: DataFrame, **how) -> DataFrame:
