@@ -32,6 +32,8 @@ WORDS, K = 50, 8
 NEIGHBOURS = 3
 #: Suffixes that are compared at once, and those of them that come again with the next ones.
 AT_ONCE, OVERLAP = 4096, 512
+#: Suffixes that the driver sees of each range to choose the ranges, instead of 100.
+SAMPLED = 20
 #: Bytes of a word's hash in a suffix.
 WIDE = 3
 
@@ -132,6 +134,7 @@ def compared(suffixes: DataFrame, order: list[str], size: int, k: int) -> DataFr
     """(class, s, e) of matches between near suffixes in the given order over the whole corpus."""
     spark = suffixes.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", str(SAMPLED))
     names = ["gram", "sright", "sleft", "class", "pos"]
     schema = "class long, s int, e int, part int, nth int, gram long, sright binary, sleft binary, pos array<int>"
 
