@@ -4,11 +4,11 @@ Texts whose five-word shingles have a Jaccard similarity of 0.8 differ in about
 that all such pairs share is a few bits long. So here shards come from the content: each text goes to `BANDS` shards, named by
 `ROWS` min-hashes of its shingles, of which two texts of similarity 0.8 share one with probability 0.998. In a shard a BK-tree over
 fingerprints (children by integer Hamming distance to the root, members of a child scanned at once) gives the members within `RADIUS`; a pair of
-these is linked if its `HASHES` min-hashes agree as often as at the similarity asked for.
+these of which `LOOSE` of `HASHES` min-hashes agree is a candidate, and the Jaccard similarity of its shingle sets, counted from the texts, decides.
 
-Texts of the same words are one class. A shard of over `SHARD` classes is dealt anew by pairs of bands, which similar texts share
-more than one of; one that is still larger is dealt in blocks of `SHARD` by a hash that differs for every pair, up to
-BANDS x (BANDS - 1) / 2 dealings in which two of its classes may meet. Each shard sends fewer links than it has members.
+Texts of the same words are one class. Candidates are asked twice: first those that span each shard (blocks of `SHARD` of a larger one), so
+that members of a group get one root at a cost of its size; then all that share a band and still have different roots. A shard of over
+`SHARD` classes is cut into blocks, and pairs that meet in no block of any band are not asked.
 """
 
 from __future__ import annotations
@@ -27,9 +27,9 @@ from .suffix_dedup import class_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS, HASHES = 16, 5, 128
-RADIUS, SHARD = 20, 4096
-#: Similarities are estimated with a standard error of 0.035; pairs from so much below count.
-SLACK = 0.02
+RADIUS, SHARD = 24, 4096
+#: Agreements of a candidate: at similarity 0.8 there are 104, with a standard error of 4.4.
+LOOSE = 86
 
 _draw = np.random.default_rng(11)
 FLIP = _draw.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -95,69 +95,127 @@ class LeafyBKTree:
         return near[good], away[good]
 
 
-def shard_links(cls: np.ndarray, fps: np.ndarray, sign: np.ndarray, similarity: float, radius: int) -> list[tuple[int, int]]:
-    """Links between similar members that span every set of linked ones."""
-    n, tree, least = len(cls), LeafyBKTree(fps), (similarity - SLACK) + (1 - similarity + SLACK) / 16
-    need, sets, out = least * HASHES, np.arange(n), []
-    for x in range(1, n):
+def shard_links(cls: np.ndarray, fps: np.ndarray, sign: np.ndarray, roots: np.ndarray, side: np.ndarray, radius: int, every: bool) -> np.ndarray:
+    """Pairs of a shard that may be similar: those that span every set of such ones, or every one of different roots.
+
+    Members of one side aren't asked among themselves, but for side -1.
+    """
+    tree, sets, out = LeafyBKTree(fps), np.arange(len(cls)), [np.zeros((0, 2), np.int64)]
+    for x in range(1, len(cls)):
         near, away = tree.within(fps[x], radius)
         before = near < x
         near, away = near[before], away[before]
+        if every:
+            near = near[(roots[near] != roots[x]) & ((side[near] != side[x]) | (side[x] < 0))]
+            good = near[HALVES[sign[near] ^ sign[x]].sum(1) >= LOOSE]
+            out.append(np.column_stack([np.full(len(good), cls[x]), cls[good]]))
+            continue
         near = near[np.argsort(away, kind="stable")]
         while len(near := near[sets[near] != sets[x]]):
             block = near[:256]
-            good = block[HALVES[sign[block] ^ sign[x]].sum(1) >= need]
-            if len(good):
-                out.append((int(cls[x]), int(cls[good[0]])))
-                sets[sets == sets[good[0]]] = sets[x]
+            agree = HALVES[sign[block] ^ sign[x]].sum(1)
+            best = block[agree.argmax()]
+            if agree.max() >= LOOSE:
+                out.append(np.array([[cls[x], cls[best]]]))
+                sets[sets == sets[best]] = sets[x]
             else:
                 near = near[256:]
-    return out
+    return np.concatenate(out)
 
 
-def _asked(batches, similarity: float, radius: int):
-    """Links from rows (key, class, fp, sign) sorted by key; shards may run over batches, and have SHARD members at most."""
+def _asked(batches, radius: int, every: bool):
+    """Pairs from rows (key, class, fp, sign, root, side) sorted by key; shards may run over batches, and have about 2 x SHARD members at most."""
     carry = None
 
     def done(rows):
-        key, cls, fps, sign = rows
+        key, cls, fps, sign, roots, side = rows
         cut = np.flatnonzero(np.diff(key)) + 1
-        links = []
+        pairs = [np.zeros((0, 2), np.int64)]
         for s, e in zip([0, *cut], [*cut, len(key)], strict=True):
             if e - s > 1:
                 kinds, at = np.unique(cls[s:e], return_index=True)
                 if len(kinds) > 1:
-                    links += shard_links(kinds, fps[s:e][at], sign[s:e][at], similarity, radius)
-        flat = np.array(links, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(flat[:, 0].copy()), pa.array(flat[:, 1].copy())], names=["u", "v"])
+                    pairs.append(shard_links(kinds, *(c[s:e][at] for c in (fps, sign, roots, side)), radius, every))
+        flat = np.sort(np.concatenate(pairs), axis=1)
+        for i in range(0, max(1, len(flat)), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(flat[i : i + (1 << 16), c].copy()) for c in (0, 1)], names=["u", "v"])
 
     for b in batches:
         if not b.num_rows:
             continue
-        key, cls, fps = (b.column(i).to_numpy() for i in range(3))
-        rows = [key, cls, fps.view(np.uint64), np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(len(key), -1)]
+        key, cls, fps, _, roots, side = (None if i == 3 else b.column(i).to_numpy() for i in range(6))
+        rows = [key, cls, fps.view(np.uint64), np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(len(key), -1), roots, side]
         rows = rows if carry is None else [np.concatenate([x, y]) for x, y in zip(carry, rows, strict=True)]
         last = int(np.searchsorted(rows[0], rows[0][-1], side="left")) if rows[0][0] <= rows[0][-1] else 0
-        yield done([x[:last] for x in rows])
+        yield from done([x[:last] for x in rows])
         carry = [x[last:] for x in rows]
     if carry is not None:
-        yield done(carry)
+        yield from done(carry)
+
+
+def _ask(rows: DataFrame, radius: int, every: bool) -> DataFrame:
+    rows = rows.select("key", "class", "fp", "sign", "root", "side").repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(lambda b: _asked(b, radius, every), "u long, v long").distinct()
+
+
+def spanning(sketched: DataFrame, *, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """Pairs (u, v) of `sketched` (class, fp, sign, bands) that span each shard, or each block of a large one."""
+    one = sketched.select("class", "fp", "sign", F.explode("bands").alias("key"), F.lit(0).cast("long").alias("root"), F.lit(-1).alias("side"))
+    large = store(one.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > shard))
+    block = F.when(F.col("n") > 0, F.xxhash64("key", F.pmod(F.xxhash64("key", "class"), F.ceil(F.col("n") / shard)))).otherwise(F.col("key"))
+    return _ask(one.join(large, "key", "left").withColumn("key", block), radius, False)
+
+
+def remaining(sketched: DataFrame, roots: DataFrame, *, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """All pairs (u, v) of different roots that share a band and may be similar.
+
+    Shards of one root have none. A large shard is cut into blocks.
+    """
+    rooted = sketched.select("class", "bands").join(roots, sketched["class"] == roots["node"], "left")
+    narrow = rooted.select(F.explode("bands").alias("key"), "class", F.coalesce("root", "class").alias("root"))
+    large = store(narrow.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > shard))
+    block = F.when(F.col("n") > 0, F.xxhash64("key", F.pmod(F.xxhash64("key", "class"), F.ceil(F.col("n") / shard)))).otherwise(F.col("key"))
+    narrow = narrow.join(large, "key", "left").select(block.alias("key"), "class", "root")
+    mixed = narrow.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    tasks = narrow.join(mixed, "key", "left_semi").withColumn("side", F.lit(-1))
+    return _ask(tasks.join(sketched.select("class", "fp", "sign"), "class"), radius, True)
+
+
+def _shingled(column: pa.Array, shingle: int) -> list[tuple[int, np.ndarray]]:
+    """Class and distinct shingle hashes of each text."""
+    data, offsets = text_bytes(column)
+    out = []
+    for i, j in chunks(offsets):
+        part, at = LOWER[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i]
+        starts, ends = runs(~SPACE[part], at)
+        hashes, bounds = span_hashes(part, starts, ends), word_ranges(starts, at)
+        own = [hashes[bounds[t] : bounds[t + 1]] for t in range(j - i)]
+        out += [(class_of(w), np.unique(gram_hashes(w, min(shingle, len(w))))) for w in own]
+    return out
+
 
+def similar(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) of classes whose shingle sets have the Jaccard similarity, which is counted from the texts in `docs`."""
+    asked = pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).distinct()
+    ids = classes.select("class", "least").join(asked, classes["class"] == asked["u"], "left_semi").select("least").distinct()
+    texts = docs.select("doc_id", "text").join(ids, docs["doc_id"].eqNullSafe(ids["least"]), "left_semi").select("text")
+
+    def told(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in _shingled(b.column(0), shingle)], pa.int64()), b.column(0)], names=["class", "text"])
+
+    texts = store(texts.mapInArrow(told, "class long, text string").join(asked.withColumnRenamed("u", "class"), "class", "left_semi").dropDuplicates(["class"]))
+
+    def run(batches):
+        for b in batches:
+            good = []
+            for (_, x), (_, y) in zip(_shingled(b.column(2), shingle), _shingled(b.column(3), shingle), strict=True):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(good)), b.column(1).filter(pa.array(good))], names=["u", "v"])
 
-def links(sketched: DataFrame, *, similarity: float = SIMILARITY, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
-    """Links (u, v) between similar classes of `sketched` (class, fp, sign, bands)."""
-    ask = lambda rows: rows.select("key", "class", "fp", "sign").repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _asked(b, similarity, radius), "u long, v long")
-    one = sketched.select("class", "fp", "sign", "bands", F.posexplode("bands").alias("band", "key"))
-    large = store(sketched.select(F.explode("bands").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > shard).select("key"))
-    if not large.take(1):
-        return ask(one)
-    out = ask(one.join(large, "key", "left_anti"))
-    two = one.join(large, "key", "left_semi").select("class", "fp", "sign", "band", F.posexplode("bands").alias("other", "key2"), "key").where("other != band")
-    two = two.select("class", "fp", "sign", F.xxhash64(F.least("band", "other"), F.greatest("band", "other"), F.least("key", "key2"), F.greatest("key", "key2")).alias("key"))
-    two = store(two.dropDuplicates(["class", "key"]))
-    still = two.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > shard)
-    dealt = two.join(still, "key", "left").withColumn("block", F.when(F.col("n") > 0, F.pmod(F.xxhash64("key", "class"), F.ceil(F.col("n") * 1.1 / shard))).otherwise(0))
-    return out.unionByName(ask(dealt.withColumn("key", F.when(F.col("n") > 0, F.xxhash64("key", "block")).otherwise(F.col("key")))))
+    one, two = (texts.select(F.col("class").alias(c), F.col("text").alias(f"text_{c}")) for c in "uv")
+    return store(pairs.join(one, "u").join(two, "v").select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long"))
 
 
 def sketch_table(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -179,7 +237,15 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, similarity: float = SIMIL
     """(doc_id, component_id): the smallest doc_id that links of similar texts lead to. Texts without words are one class, similar to no other."""
     seen = store(sketch_table(docs, shingle))
     classes = store(seen.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("words").alias("words"), F.first("fp").alias("fp"), F.first("sign").alias("sign"), F.first("bands").alias("bands")))
-    roots = components(links(classes.where("words"), similarity=similarity, shard=shard), at_once=0)
+    some = classes.where("words")
+    first = store(spanning(some, shard=shard))
+    links = similar(first, docs, classes, shingle, similarity)
+    roots = store(components(links, at_once=0))
+    rest = store(remaining(some, roots, shard=shard).join(first, ["u", "v"], "left_anti"))
+    if rest.take(1):
+        more = similar(rest, docs, classes, shingle, similarity)
+        if more.take(1):
+            roots = components(links.unionByName(more), at_once=0)
     rooted = classes.select("class", "least").join(roots, classes["class"] == roots["node"], "left").select("class", "least", F.coalesce("root", "class").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = store(rooted.join(ids, "root").select("class", "component_id"))
