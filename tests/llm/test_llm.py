@@ -449,6 +449,20 @@ def test_similar_texts_are_linked_by_their_exact_similarity(spark):
     assert sum(want[i] != got[i] for i in range(len(texts))) <= 1  # bands miss 0.002 of the pairs at 0.8
 
 
+def test_large_shards_lose_no_pair(spark):
+    draw, frame_words, texts = random.Random(22), [f"page{k}" for k in range(300)], []
+    for i in range(120):
+        own = [f"w{i}x{k}" for k in range(100)]
+        texts.append(" ".join(frame_words + own))
+        if i % 2:
+            own[draw.randrange(90) :] = [f"z{i}x{k}" for k in range(9)]
+            texts.append(" ".join(frame_words + own))
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    cut, whole = ({r.doc_id: r.component_id for r in simhash_similar.groups(frame(spark, rows), shard=s).collect()} for s in (8, 4096))
+    want = brute_groups(texts)
+    assert whole == cut == dict(enumerate(want)) and len(set(want)) < len(texts) - 20
+
+
 # 9 telephony
 
 

@@ -7,8 +7,9 @@ fingerprints (children by integer Hamming distance to the root, members of a chi
 these of which `LOOSE` of `HASHES` min-hashes agree is a candidate, and the Jaccard similarity of its shingle sets, counted from the texts, decides.
 
 Texts of the same words are one class. Candidates are asked twice: first those that span each shard (blocks of `SHARD` of a larger one), so
-that members of a group get one root at a cost of its size; then all that share a band and still have different roots. A shard of over
-`SHARD` classes is cut into blocks, and pairs that meet in no block of any band are not asked.
+that members of a group get one root at a cost of its size; then all that share a band and still have different roots. For that, a shard of over
+`SHARD` classes is cut into blocks that are compared each with every other, but for blocks of one root. Texts that share much
+but aren't similar have no root in common, and their pairs grow as the square of their number.
 """
 
 from __future__ import annotations
@@ -169,15 +170,32 @@ def spanning(sketched: DataFrame, *, radius: int = RADIUS, shard: int = SHARD) -
 def remaining(sketched: DataFrame, roots: DataFrame, *, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """All pairs (u, v) of different roots that share a band and may be similar.
 
-    Shards of one root have none. A large shard is cut into blocks.
+    Shards of one root have none. A large shard is cut into blocks, a root of over `shard` members into blocks of its own, and
+    each block is compared with itself and every other, but for blocks of one root.
     """
     rooted = sketched.select("class", "bands").join(roots, sketched["class"] == roots["node"], "left")
     narrow = rooted.select(F.explode("bands").alias("key"), "class", F.coalesce("root", "class").alias("root"))
-    large = store(narrow.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > shard))
-    block = F.when(F.col("n") > 0, F.xxhash64("key", F.pmod(F.xxhash64("key", "class"), F.ceil(F.col("n") / shard)))).otherwise(F.col("key"))
-    narrow = narrow.join(large, "key", "left").select(block.alias("key"), "class", "root")
-    mixed = narrow.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    tasks = narrow.join(mixed, "key", "left_semi").withColumn("side", F.lit(-1))
+    sizes = store(narrow.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key", "n"))
+    large = store(sizes.where(F.col("n") > shard).select("key"))
+    tasks = narrow.join(large, "key", "left_anti").join(sizes.where(F.col("n") <= shard), "key", "left_semi").withColumn("side", F.lit(-1))
+    if large.take(1):
+        big = store(narrow.join(large, "key"))
+        of = store(big.groupBy("key", "root").agg(F.count("*").alias("g")))
+        heavy = store(of.where(F.col("g") > shard).select("key", F.col("root").alias("head"), F.ceil(F.col("g") / shard).alias("blocks")))
+        light = store(of.where(F.col("g") <= shard).groupBy("key").agg(F.ceil(F.sum("g") / shard).alias("rest")))
+        cut = big.join(heavy, (big["key"] == heavy["key"]) & (big["root"] == heavy["head"]), "left").select(big["key"], "class", "root", "head", "blocks").join(light, "key", "left")
+        cut = cut.select("key", "class", "root", "head", F.pmod(F.xxhash64("class"), F.coalesce("blocks", "rest")).alias("block"))
+        numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias("block")
+        names = heavy.select("key", "head", numbers("blocks")).unionByName(light.select("key", F.lit(None).cast("long").alias("head"), numbers("rest")))
+        names = store(names.withColumn("name", F.xxhash64("key", F.coalesce("head", F.lit(0)), F.col("head").isNull(), "block")).select("key", "head", "name"))
+        other = names.select(*[F.col(c).alias(f"{c}2") for c in names.columns])
+        met = names.join(other, (names["key"] == other["key2"]) & (names["name"] <= other["name2"])).where("head is null or head2 is null or head != head2")
+        met = met.withColumn("task", F.xxhash64("key", "name", "name2"))
+        side = lambda c, n: met.where("name < name2").select("key", F.col(c).alias("name"), "task", F.lit(n).alias("side"))
+        entries = store(met.where("name = name2").select("key", "name", "task", F.lit(-1).alias("side")).unionByName(side("name", 0)).unionByName(side("name2", 1)))
+        cut = cut.withColumn("name", F.xxhash64("key", F.coalesce("head", F.lit(0)), F.col("head").isNull(), "block")).select("key", "name", "class", "root")
+        dealt = cut.join(entries, ["key", "name"])
+        tasks = tasks.unionByName(dealt.select(F.col("task").alias("key"), "class", "root", "side"))
     return _ask(tasks.join(sketched.select("class", "fp", "sign"), "class"), radius, True)
 
 
