@@ -135,6 +135,14 @@ def test_suffix_dedup_of_words_repeated_over_and_over(spark, monkeypatch):
     assert got == repeated(rows) and len(got) >= 5
 
 
+def test_suffix_dedup_where_passages_overlap_in_part(spark):
+    draw = random.Random(31)
+    sentences = [" ".join(f"s{i}w{k}" for k in range(draw.randint(9, 16))) for i in range(30)]
+    rows = [(i, " ".join(draw.choices(sentences, [1 / (r + 1) for r in range(30)], k=6)), None, None, 0) for i in range(1500)]
+    got = {r.doc_id: {w for s in r.spans for w in range(s.s, s.e)} for r in suffix_dedup.repeats(frame(spark, rows)).collect()}
+    assert got == repeated(rows) and len(got) > 100
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.report(frame(spark, [])).collect() == []
     assert suffix_dedup.report(frame(spark, AWKWARD)).collect() == []

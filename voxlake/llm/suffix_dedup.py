@@ -9,9 +9,11 @@
    have falls into as many ranges as it needs. Each is compared with its next neighbours, and with the next of another class on either
    side however many of its own come first (up to `OVERLAP`), and the match extended right and left; from `WORDS` words on it is a repeat. Neighbours over a range's edge are compared apart. A second order, (gram, left, right),
    finds the neighbours of suffixes that agree more to the left.
-4. Matches are merged by class, then told for each of its documents; texts of a class with several documents repeat whole.
+4. Where many passages overlap in part, the neighbours of either order may share less than others do. So windows of `WORDS` words around the
+   anchors are counted by hash, and those that another class has and no match covers are repeats too.
+5. Matches are merged by class, then told for each of its documents; texts of a class with several documents repeat whole.
 
-What is shuffled: 16 bytes an anchor; once the texts with surviving anchors; the surviving suffixes. Nothing meets in pairs but
+What is shuffled: 16 bytes an anchor; twice the texts with surviving anchors; the surviving suffixes; 24 bytes a window around one. Nothing meets in pairs but
 sorted neighbours, so a large group costs as its size.
 """
 
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import small_batches, store
-from .kernels import BASE, gram_hashes, minimisers, mix
+from .kernels import BASE, gram_hashes, minimisers, mix, sliding
 from .winnow import merged, words_of
 
 WORDS, K = 50, 8
@@ -55,6 +57,16 @@ def _anchors(words: np.ndarray, size: int, k: int) -> tuple[np.ndarray, np.ndarr
     return at, grams[at].view(np.int64)
 
 
+def _windows(words: np.ndarray, grams: np.ndarray, spans: list, size: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows of `size` words whose anchor is in `grams`, and whether none of the spans covers them."""
+    own, low = gram_hashes(words, k), np.uint64((1 << 20) - 1)
+    keys = (own & ~low) | (low - (np.arange(len(own), dtype=np.uint64) & low))
+    at, g = _anchors(words, size, k)
+    start = np.flatnonzero(np.isin(sliding(keys, size - k + 1, np.minimum), keys[at[np.isin(g, grams)]]))
+    begin, end = (np.array([-1, *(x[c] for x in spans)], np.int64) for c in "se")
+    return start, gram_hashes(words, size)[start].view(np.int64), end[np.searchsorted(begin, start, side="right") - 1] < start + size
+
+
 def _packed(words: np.ndarray) -> bytes:
     return words.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :WIDE].tobytes()
 
@@ -242,7 +254,30 @@ def repeats(docs: DataFrame, *, words: int = WORDS, k: int = K) -> DataFrame:
       CASE WHEN size(a) > 0 AND x.s <= a[size(a) - 1].e
            THEN concat(slice(a, 1, size(a) - 1), array(named_struct('s', a[size(a) - 1].s, 'e', greatest(a[size(a) - 1].e, x.e))))
            ELSE concat(a, array(x)) END)""")
-    partly = found.groupBy("class").agg(F.collect_set(F.struct("s", "e")).alias("collected")).select("class", step.alias("spans"))
+    merge = lambda df: df.groupBy("class").agg(F.collect_set(F.struct("s", "e")).alias("collected")).select("class", step.alias("spans"))
+    partly = store(merge(found))
+
+    def windows(batches):
+        for b in batches:
+            rows, n = [], 0
+            for w, c, grams, spans in zip(words_of(b.column(0)), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
+                if class_of(w) != c:
+                    continue
+                start, key, open_ = _windows(w, grams.values.to_numpy(), spans or [], words, k)
+                rows.append((key, np.full(len(key), c), start, open_))
+                n += len(key)
+                if n > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows, strict=True)], names=["key", "class", "s", "open"])
+                    rows, n = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows, strict=True)], names=["key", "class", "s", "open"])
+
+    left = asked.join(partly, "class", "left")
+    again = docs.join(left.hint("shuffle_hash"), docs["doc_id"] == left["least"]).select("text", "class", "grams", "spans")
+    seen_windows = store(again.mapInArrow(windows, "key long, class long, s long, open boolean"))
+    both = seen_windows.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.max("open").alias("some")).where("a != b and some").select("key")
+    more = seen_windows.where("open").join(both, "key").select("class", F.col("s").cast("int").alias("s"), (F.col("s") + words).cast("int").alias("e"))
+    partly = merge(partly.select("class", F.inline("spans")).unionByName(more))
     whole = F.array(F.struct(F.lit(0).alias("s"), F.col("n_words").cast("int").alias("e")))
     spans = classes.join(partly, "class", "left").select("class", "least", F.when(F.col("n") > 1, whole).otherwise(F.col("spans")).alias("spans")).where("spans is not null")
     spans = store(spans)
