@@ -222,6 +222,16 @@ def test_disclosing_terms_are_found_and_replaced(spark):
     assert clean[0] == "Report 0 by [TERM] about ink at [EMAIL] and more" and clean[100] == rows[5][1]
 
 
+def test_disclosing_terms_far_from_their_entity(spark):
+    far = " and so on" * 60
+    rows = [(i, f"Report {i} by Quillfeather, 王明 {far} quill@feather.example {far} says Quillfeather", None, None, 0) for i in range(5)]
+    rows += [(100 + i, f"Report {i} says other things and so on", None, None, 0) for i in range(200)]
+    got = {r.doc_id: r.spans for r in pii.report(frame(spark, rows)).collect()}
+    text = rows[0][1]
+    terms = [("term", m.start(), m.end()) for m in re.finditer("Quillfeather|王明", text)] + [("email", m.start(), m.end()) for m in re.finditer("quill@feather.example", text)]
+    assert got[0] == ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(terms, key=lambda x: x[1])) and got[100] == ""
+
+
 def test_personal_data_of_nothing(spark):
     assert pii.report(frame(spark, [])).count() == 0
     got = pii.report(frame(spark, AWKWARD)).collect()

@@ -1,15 +1,15 @@
 """Information-theoretic sanitisation of personal data, in DataFrame operations only.
 
 1. Base spans (email, ip, card, phone) by patterns. Their values are the protected entities.
-2. Terms near an entity (words of `LETTERS` letters or more, within `WINDOW` characters) co-occur with it. From the documents that
+2. Terms of the documents that have an entity (words of `LETTERS` letters or more, two in scripts of long characters) co-occur with it. From the documents that
    have the entity, the term and both, pointwise mutual information tells how much of the entity's information
    content a term gives away: PMI(term, entity) / IC(entity), 1 if the term occurs nowhere else.
-3. Terms over the disclosure threshold, seen with the entity in `SUPPORT` different texts or more, become spans of the kind `term` where
-   they stand near it. `sanitised` replaces spans by their kind.
+3. Terms over the disclosure threshold, seen with the entity in `SUPPORT` different texts or more, become spans of the kind `term`
+   wherever they stand in a document that has it. `sanitised` replaces spans by their kind.
 
 The patterns are written so that each text is scanned in linear time (possessive runs that begin where no run goes on), and
-find the same matches as the plain ones. Only documents with entities give terms, each entity a bounded number, so the pairs
-grow as the entities. Document frequencies come from all documents; the terms looked up are those with enough support, and
+find the same matches as the plain ones. Only documents whose entities have the support give terms, and a term
+that such documents have too often for an entity to disclose it isn't paired with it. Document frequencies come from all documents; the terms looked up are those with enough support, and
 words are counted in the task before they are shuffled where these are too many to broadcast.
 """
 
@@ -38,8 +38,10 @@ VALID = {
     "phone": "length(regexp_replace(x, '[^0-9]', '')) BETWEEN 10 AND 15",
 }
 
-LETTERS, WINDOW, SUPPORT, DISCLOSURE = 4, 80, 3, 0.9
-WORD = rf"\p{{L}}{{{LETTERS},}}+"
+LETTERS, SUPPORT, DISCLOSURE = 4, 3, 0.9
+WORD = rf"\p{{L}}{{{LETTERS},}}+|[\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}\p{{IsHangul}}]{{2,}}+"
+#: Pieces in which words are placed; none ends within a run of letters.
+PIECE = r"(?s).{1,512}+\p{L}*+"
 #: Terms whose document frequency is looked up by broadcast, at most.
 BROADCAST_TERMS = 1 << 18
 
@@ -72,10 +74,9 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
     return df.select(*names, F.sort_array(F.concat(*spans)).alias("base"))
 
 
-def _words(context: Column, shift: Column, cut_left: Column, cut_right: Column) -> Column:
-    """Words (s, e, t) of a context that begins at `shift`; words at a side that is cut off are left out."""
-    m, p = F.regexp_extract_all(context, F.lit(WORD), F.lit(0)), F.split(context, WORD, -1)
-    size = F.length(context)
+def _words(piece: Column, shift: Column) -> Column:
+    """Words (s, e, t) of a piece that begins at `shift`."""
+    m, p = F.regexp_extract_all(piece, F.lit(WORD), F.lit(0)), F.split(piece, WORD, -1)
     at = F.transform(
         F.arrays_zip(m.alias("m"), F.sequence(F.lit(0), F.size(m)).alias("i")),
         lambda x: F.struct(
@@ -83,34 +84,43 @@ def _words(context: Column, shift: Column, cut_left: Column, cut_right: Column)
             x["m"].alias("t"),
         ),
     )
-    whole = F.filter(at, lambda x: x["t"].isNotNull() & ~(cut_left & (x["s"] == 0)) & ~(cut_right & (x["s"] + F.length(x["t"]) == size)))
+    whole = F.filter(at, lambda x: x["t"].isNotNull())
     return F.transform(whole, lambda x: F.struct((x["s"] + shift).alias("s"), (x["s"] + shift + F.length(x["t"])).alias("e"), F.lower(x["t"]).alias("t")))
 
 
-def near_terms(base: DataFrame) -> DataFrame:
-    """(key, entity, s, e, term): words near each base span of the distinct texts, but not in one."""
-    one = base.where(F.size("base") > 0).select("key1", "key2", "text", "base").dropDuplicates(["key1", "key2"])
-    each = one.select("key1", "key2", "text", "base", F.explode("base").alias("x")).select("key1", "key2", "text", "base", F.concat_ws(":", "x.k", "x.v").alias("entity"), "x.s", "x.e")
-    begin = F.greatest(F.col("s") - WINDOW - 1, F.lit(0))
-    left = _words(F.col("left"), begin, begin > 0, F.lit(False))
-    right = _words(F.col("right"), F.col("e"), F.lit(False), F.length("right") > WINDOW)
-    each = each.withColumn("left", F.substring("text", begin + 1, F.col("s") - begin)).withColumn("right", F.substring("text", F.col("e") + 1, F.lit(WINDOW + 1)))
-    words = each.select("key1", "key2", "base", "entity", F.explode(F.concat(left, right)).alias("w"))
+def _entities(base: DataFrame, *keys: str) -> DataFrame:
+    return base.where(F.size("base") > 0).select(*keys, F.explode(F.array_distinct(F.transform("base", lambda x: F.concat_ws(":", x["k"].cast("string"), x["v"])))).alias("entity"))
+
+
+def supported(base: DataFrame) -> DataFrame:
+    """(key, entity): the distinct texts of each entity that SUPPORT of them or more have."""
+    held = _entities(base.select("key1", "key2", "base").where(F.size("base") > 0).dropDuplicates(["key1", "key2"]), "key1", "key2")
+    return held.join(held.groupBy("entity").agg(F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT), "entity", "left_semi").select("key1", "key2", "entity")
+
+
+def whole_terms(base: DataFrame, held: DataFrame) -> DataFrame:
+    """(key, s, e, term): words of the distinct texts in `held`, but not in a base span."""
+    one = base.where(F.size("base") > 0).select("key1", "key2", "text", "base").dropDuplicates(["key1", "key2"]).join(held.select("key1", "key2").distinct(), ["key1", "key2"], "left_semi")
+    cut = one.select("key1", "key2", "base", F.regexp_extract_all("text", F.lit(PIECE), F.lit(0)).alias("pieces"))
+    shift = F.transform(F.sequence(F.lit(0), F.size("pieces") - 1), lambda i: F.aggregate(F.slice("pieces", F.lit(1), i), F.lit(0), lambda a, y: a + F.length(y)))
+    each = cut.select("key1", "key2", "base", F.explode(F.arrays_zip(F.col("pieces").alias("piece"), shift.alias("shift"))).alias("x"))
+    words = each.select("key1", "key2", "base", F.explode(_words(F.col("x.piece"), F.col("x.shift"))).alias("w"))
     apart = ~F.exists("base", lambda x: (x["s"] < F.col("w.e")) & (x["e"] > F.col("w.s")))
-    return words.where(apart).select("key1", "key2", "entity", "w.s", "w.e", F.col("w.t").alias("term"))
+    return words.where(apart).select("key1", "key2", "w.s", "w.e", F.col("w.t").alias("term"))
 
 
-def disclosing(base: DataFrame, near: DataFrame, docs: DataFrame) -> DataFrame:
+def disclosing(base: DataFrame, held: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
     """(entity, term, share): pairs over the threshold, with the share of the entity's information that the term gives away."""
     copies = base.where(F.size("base") > 0).groupBy("key1", "key2").agg(F.count("*").alias("n"))
-    pairs = near.select("key1", "key2", "entity", "term").distinct().join(copies, ["key1", "key2"])
-    both = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("support")).where(F.col("support") >= SUPPORT)
-    entities = base.where(F.size("base") > 0).select(F.explode(F.array_distinct(F.transform("base", lambda x: F.concat_ws(":", x["k"].cast("string"), x["v"])))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    near_any = pairs.select("key1", "key2", "term", "n").distinct().groupBy("term").agg(F.sum("n").alias("n_near"))
+    terms = found.select("key1", "key2", "term").distinct().join(copies, ["key1", "key2"])
+    least = terms.groupBy("term").agg(F.sum("n").alias("n_near"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT).select("term", "n_near")
+    entities = _entities(base).groupBy("entity").agg(F.count("*").alias("n_entity"))
     total = F.lit(float(base.count()))
     odds = total / F.col("n_entity")
-    # A term's frequency is at least that near entities, and over n_both * odds ** (1 - DISCLOSURE) it can't reach the threshold.
-    both = both.join(entities, "entity").join(near_any, "term").where((odds > 1) & (F.col("n_near") <= F.col("n_both") * F.pow(odds, F.lit(1 - DISCLOSURE)) * (1 + 1e-9)))
+    # A term's frequency is at least that in these documents, and over n_both * odds ** (1 - DISCLOSURE) it can't reach the threshold; n_both is n_entity at most.
+    within = lambda n: (odds > 1) & (F.col("n_near") <= F.col(n) * F.pow(odds, F.lit(1 - DISCLOSURE)) * (1 + 1e-9))
+    pairs = held.join(entities, "entity").join(terms.join(least, "term"), ["key1", "key2"]).where(within("n_entity"))
+    both = pairs.groupBy("entity", "term", "n_entity", "n_near").agg(F.sum("n").alias("n_both"), F.count("*").alias("support")).where((F.col("support") >= SUPPORT) & within("n_both"))
     both = store(both.select("entity", "term", "n_both", "n_entity"))
     if not both.take(1):
         return both.select("entity", "term", F.lit(1.0).alias("share"))
@@ -135,10 +145,12 @@ def findings(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keyed = with_base(docs).select("doc_id", F.xxhash64("text").alias("key1"), F.hash("text").alias("key2"), "base", F.when(F.size("base") > 0, F.col("text")).alias("text"))
     base = store(keyed)
-    near = store(near_terms(base))
-    pairs = disclosing(base, near, docs)
+    held = store(supported(base))
+    found = store(whole_terms(base, held))
+    pairs = disclosing(base, held, found, docs)
     term = F.struct("s", F.lit(KINDS.index("term")).alias("k"), "e")
-    added = near.join(pairs, ["entity", "term"]).groupBy("key1", "key2").agg(F.collect_set(term).alias("added"))
+    told = held.join(pairs, "entity").select("key1", "key2", "term").distinct()
+    added = found.join(told, ["key1", "key2", "term"]).groupBy("key1", "key2").agg(F.collect_set(term).alias("added"))
     plain = F.transform("base", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
     own = base.where(F.size("base") > 0).select("doc_id", "key1", "key2", "base").join(added, ["key1", "key2"], "left")
     own = own.select("doc_id", "key1", "key2", "base", F.sort_array(F.concat(plain, F.coalesce("added", F.expr("cast(array() as array<struct<s:int,k:int,e:int>>)")))).alias("spans"))
