@@ -327,6 +327,19 @@ def test_fit_reaches_the_budget():
     assert 0 <= 123_456_789 - int((big * [1000, 7001, 90_000]).sum()) < 1000
 
 
+def test_fit_takes_long_documents_that_fit():
+    assert mixing.fit(np.array([100_001, 110_000]), np.array([1, 1]), 120_000).tolist() == [0, 1]
+    assert mixing.fit(np.array([65_537, 131_074]), np.array([1, 1]), 131_074).tolist() == [0, 1]
+    draw = np.random.default_rng(7)
+    for _ in range(30):
+        lengths = np.unique(draw.integers(40_000, 200_000, 9))
+        counts = draw.integers(1, 3, len(lengths))
+        budget = int(draw.integers(0, (lengths * counts).sum()))
+        take = mixing.fit(lengths, counts, budget)
+        gap = budget - int((take * lengths).sum())
+        assert gap >= 0 and (take <= counts).all() and not (lengths[take < counts] <= gap).any()
+
+
 # 7 quality
 
 

@@ -5,7 +5,7 @@
    words, none over `most` times its own. What a source can't take is shared again by weight.
 3. A source takes each document as often as its target holds its whole size. For the rest of the budget the
    documents are counted by exact length; every length gives its even share, longest lengths fill up while the
-   gap is wide, and a bounded knapsack over bitsets of reachable sums closes the gap.
+   gap is wide, and a bounded knapsack over bitsets of reachable sums closes the gap, in units of several words first where it is wider than `REACH`.
 4. Of each length the asked number of documents is selected in the order of a seeded hash.
 
 Scale: no document row meets others but by (source, length, bucket of the hash): a group of equal lengths,
@@ -88,7 +88,8 @@ def targets(sizes: dict[str | None, int], share: float = SHARE, most: float = MO
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length to take, so that their words come as near to `budget` from below as found.
 
-    Zero lengths are never taken. Exact whenever the gap that the even shares leave is at most REACH.
+    Zero lengths are never taken. Exact whenever the gap that the even shares leave is at most REACH; of a wider one
+    no document is left that would still fit.
     """
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     counts = np.where(lengths > 0, counts, 0)
@@ -96,19 +97,44 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     if budget >= whole:
         return counts
     take = np.array([int(c) * int(budget) // whole for c in counts], np.int64) if whole else counts * 0
-    gap = int(budget) - int((take * lengths).sum())
     order = np.argsort(-lengths, kind="stable")
+    best = take
+    for reserve in (REACH // 2, 0, None):
+        got = _closed(lengths, counts, budget, take if reserve is None else _filled(lengths, counts, budget, take, order, REACH, reserve), order)
+        best = max(best, got, key=lambda t: int((t * lengths).sum()))
+        if int((best * lengths).sum()) == int(budget):
+            break
+    return best
+
+
+def _filled(lengths: np.ndarray, counts: np.ndarray, budget: int, take: np.ndarray, order: np.ndarray, enough: int, reserve: int) -> np.ndarray:
+    """`take` with the longest that leave `reserve` words, until the gap is at most `enough`."""
+    take, gap = take.copy(), int(budget) - int((take * lengths).sum())
     for i in order:
-        if gap <= REACH:
+        if gap <= enough:
             break
-        more = min(int(counts[i] - take[i]), (gap - REACH // 2) // max(1, int(lengths[i])))
+        more = min(int(counts[i] - take[i]), (gap - reserve) // max(1, int(lengths[i])))
         if more > 0:
             take[i] += more
             gap -= more * int(lengths[i])
-    if gap <= 0:
-        return take
-    reach = min(gap, REACH)
-    free = [(i, k) for i in order if 0 < lengths[i] <= reach for k in powers_of(min(int(counts[i] - take[i]), reach // int(lengths[i])))]
+    return take
+
+
+def _closed(lengths: np.ndarray, counts: np.ndarray, budget: int, take: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """`take` with the gap closed by the knapsack: a wide one in units first, lengths rounded up so that no sum is over it."""
+    gap = int(budget) - int((take * lengths).sum())
+    if gap > REACH:
+        unit = -(-gap // REACH)
+        take = take + _closest(-(-lengths // unit), counts - take, order, gap // unit)
+        take = _filled(lengths, counts, budget, take, order, REACH, 0)
+        gap = int(budget) - int((take * lengths).sum())
+    return take + _closest(lengths, counts - take, order, min(gap, REACH)) if gap > 0 else take
+
+
+def _closest(lengths: np.ndarray, counts: np.ndarray, order: np.ndarray, reach: int) -> np.ndarray:
+    """How many of each length make the largest sum up to `reach`."""
+    take = counts * 0
+    free = [(i, k) for i in order if 0 < lengths[i] <= reach for k in powers_of(min(int(counts[i]), reach // int(lengths[i])))]
     full, sums, kept = (1 << (reach + 1)) - 1, 1, []
     for i, k in free:
         kept.append(sums)
