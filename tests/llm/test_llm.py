@@ -81,16 +81,135 @@ def test_toxicity_without_labels(spark, rows):
     assert len(out) == len(rows) and all(0 <= r.score <= 1 for r in out)
 
 
-def test_kneser_ney_backoff_sums_to_one():
-    codes = np.unique(np.random.default_rng(1).integers(0, 1 << 25, 5000))
-    estimate = toxicity.Model.backoff(codes).reshape(-1, 32)
-    assert np.allclose(estimate.sum(1), 1)
+def test_kneser_ney_backoff_sums_to_one(spark):
+    draw = np.random.default_rng(1)
+    grams = np.unique([sum(int(x) << (12 * k) for k, x in enumerate(row)) for row in draw.integers(1, 5, (1200, 5))])
+    spread = spark.createDataFrame([(int(g),) for g in grams], "gram long")
+    histories = sorted({int(g) >> 12 & toxicity.MASK[3] for g in grams})[:40]
+    asked = [(h << 12 | x,) for h in histories for x in range(1, 5)]
+    told = {r.g: r for r in toxicity.continuations(spread, 4).collect()}
+    low, kinds = toxicity.shared_backoff(spread, spark.createDataFrame([a for a in asked if a[0] in told], "gram long"))
+    total = {}
+    for r in low.collect():
+        total.setdefault(r.gram >> 12, []).append(r.low)
+    full = [h for h, x in total.items() if len(x) == 4]
+    assert kinds == 4 and len(full) > 20 and all(np.isclose(sum(total[h]), 1) for h in full)
 
 
 def test_events_are_the_letters_and_their_past():
-    codes, starts, ends = toxicity.events(np.frombuffer(b"ab1 Cab", np.uint8), np.array([0, 7]))
-    assert starts.tolist() == [0, 4] and ends.tolist() == [3, 7]
-    assert codes[2] == 27 | 2 << 5 | 1 << 10 and codes[4] == 3 and codes[6] == 2 | 1 << 5 | 3 << 10
+    data = "ab1 Cab Жё".encode()
+    codes, starts, ends, at = toxicity.events(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert starts.tolist() == [0, 4, 8] and ends.tolist() == [3, 7, 10] and at.tolist() == [0, 10]
+    assert codes[2] == ord("0") | ord("b") << 12 | ord("a") << 24 and codes[3] == 0 and codes[4] == ord("c") and codes[6] == ord("b") | ord("a") << 12 | ord("c") << 24
+    assert codes[9] == ord("ё") | ord("ж") << 12
+    point, lead = toxicity.letters_of(np.frombuffer("aé日😀".encode(), np.uint8))
+    assert lead.tolist() == [0, 1, 3, 6] and point[1] == ord("é") and (point[2:] >= 0x800).all() and (point < 1 << 12).all()
+
+
+def kneser_ney_plain(every, toxic, ordinary, asked, discount=0.75):
+    """Evidence of the asked texts, by dictionaries."""
+    from collections import Counter
+    from math import log, prod, sqrt
+
+    cut = lambda t: [w.lower() for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))]
+    symbols = lambda w: ["0" if c in "0123456789" else c for c in w]
+    grams = lambda w: [tuple([None] * (4 - min(k, 4)) + symbols(w)[max(0, k - 4) : k + 1]) for k in range(len(w))]
+    level, lower_order = {g for t in every for w in cut(t) for g in grams(w)}, {}
+    for n in (4, 3, 2, 1):
+        lower_order[n] = Counter(g[1:] for g in level)
+        level = set(lower_order[n])
+
+    def back(g):
+        if not g:
+            return 1 / len(lower_order[1])
+        of = [x for x in lower_order[len(g)] if x[:-1] == g[:-1]]
+        total = sum(lower_order[len(g)][x] for x in of)
+        if not total:
+            return back(g[1:])
+        return (max(lower_order[len(g)].get(g, 0) - discount, 0) + discount * len(of) * back(g[1:])) / total
+
+    def share(count, history, full, low):
+        of = [k for k in count if history(k)]
+        total = sum(count[k] for k in of)
+        return (max(count.get(full, 0) - discount, 0) + discount * len(of) * low) / total if total else low
+
+    texts = {1: toxic, 0: ordinary}
+    letters = {y: Counter(g for t in ts for w in cut(t) for g in grams(w)) for y, ts in texts.items()}
+    pairs = {y: Counter((p, w) for t in ts for p, w in zip([None, *cut(t)], cut(t))) for y, ts in texts.items()}
+    follow = {y: Counter(w for _, w in c) for y, c in pairs.items()}
+    out = []
+    for t in asked:
+        ws, by_word, by_pair = cut(t), [], []
+        for before, w in zip([None, *ws], ws):
+            ratio = 0.0
+            for g in grams(w):
+                one, two = (share(letters[y], lambda k: k[:-1] == g[:-1], g, back(g[1:])) for y in (1, 0))  # noqa: B023
+                ratio += log(one) - log(two)
+            by_word.append(ratio)
+            spelled = prod(back(g[1:]) for g in grams(w))
+            p = []
+            for y in (1, 0):
+                single = share(follow[y], lambda k: True, w, spelled)
+                p.append(share(pairs[y], lambda k: k[0] == before, (before, w), single))  # noqa: B023
+            by_pair.append(log(p[0]) - log(p[1]))
+        top = lambda x: sum(sorted(x)[-3:]) / min(3, len(x))
+        out.append([100 * sum(by_word) / sum(map(len, ws)), sum(by_word) / sqrt(len(ws)), max(by_word), top(by_word), 10 * sum(by_pair) / len(ws), sum(by_pair) / sqrt(len(ws)), max(by_pair), top(by_pair)] if ws else [0] * 8)
+    return np.array(out)
+
+
+def test_kneser_ney_equals_brute_force(spark):
+    draw = random.Random(41)
+    words = ["dob", "dab", "fer", "жук", "Жар", "été", "x1y2", "rel", "relo", "ten"]
+    rows = [(i, " ".join(draw.choices(words[: 6 + i % 5], k=draw.randint(0, 12))), "en", "s", 0) for i in range(80)]
+    toxic = {i for i, *_ in rows if i % 3 == 0}
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame([(i, 1, int(i in toxic)) for i, *_ in rows if i < 60], LABELS))
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    learned = [r for r in rows if r[0] < 60 and fold(r[0]) not in (0, 4)]
+    asked = [t for _, t, *_ in rows[:30]] + ["", "!!"]
+    want = kneser_ney_plain([r[1] for r in rows], [r[1] for r in learned if r[0] in toxic], [r[1] for r in learned if r[0] not in toxic], asked)
+    got = model.evidence(pa.array(asked))
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-4) and np.abs(want).max() > 1
+
+
+@pytest.mark.parametrize("shift", [0, 0x3B0])
+def test_toxicity_in_other_scripts(spark, shift):
+    draw, rows, labels = random.Random(5), [], []
+    spell = lambda w: "".join(chr(ord(c) + shift) for c in w)
+    plain = ["".join(draw.choice("bcdlmnprst") + draw.choice("aeiou") for _ in range(draw.randint(1, 3))) for _ in range(300)]
+    insults = ["dolarizu", "sunemo", "pacitu", "lebidor"]
+    for i in range(600):
+        ws = draw.choices(plain, k=draw.randint(20, 60))
+        if i % 5 == 0:
+            ws[draw.randrange(len(ws))] = draw.choice(insults)
+        rows.append((i, " ".join(map(spell, ws)), "en", "s", 0))
+        labels.append((i, 1, int(i % 5 == 0)))
+    held = [r for r in toxicity.report(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect() if r.held_out]
+    assert sum(r.predicted for r in held if r.doc_id % 5 == 0) >= 0.97 * sum(r.doc_id % 5 == 0 for r in held) and sum(r.predicted for r in held if r.doc_id % 5) <= 2
+
+
+def test_toxic_expressions_of_ordinary_words(spark):
+    draw, rows, labels = random.Random(6), [], []
+    plain = ["".join(draw.choice("bcdlmnprst") + draw.choice("aeiou") for _ in range(draw.randint(2, 3))) for _ in range(60)]
+    for i in range(1000):
+        ws = draw.choices(plain, k=40)
+        at = draw.randrange(38)
+        if i % 4 == 0:
+            ws[at : at + 2] = [plain[0], plain[1]]
+        for k in range(39):
+            if i % 4 and ws[k : k + 2] == [plain[0], plain[1]]:
+                ws[k] = plain[2]
+        rows.append((i, " ".join(ws), "en", "s", 0))
+        labels.append((i, 1, int(i % 4 == 0)))
+    held = [r for r in toxicity.report(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect() if r.held_out]
+    assert sum(r.predicted == (r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held)
+
+
+def test_lookup_of_colliding_keys():
+    keys = np.unique(np.random.default_rng(2).integers(-(1 << 62), 1 << 62, 3000))
+    table = toxicity.Lookup(keys, np.arange(len(keys)))
+    got, found = table.get(np.concatenate([keys, keys + 1]))
+    assert found[: len(keys)].all() and (got[: len(keys)] == np.arange(len(keys))).all() and not found[len(keys) :].any()
+    assert not toxicity.Lookup(np.zeros(0, np.int64), np.zeros(0)).get(keys)[1].any()
 
 
 # 2 suffix arrays

@@ -1,134 +1,297 @@
-"""Toxicity by class-conditional Kneser-Ney models of the spelling of words.
+"""Toxicity by class-conditional Kneser-Ney models of the spelling and the sequence of words.
 
-Two models of order 5 over 32 byte classes, one of toxic and one of ordinary texts, back off to one
-distribution that both share: Kneser-Ney continuation counts of all documents, labelled or not. The events
-5 x 5 bits number 2 ** 25, so whatever the corpus, the counts that reach the driver and the model that
-goes to the tasks are bounded by the order and not by the documents.
+Letters: two models of order 5 over the letters of a word, one of toxic and one of ordinary texts, back off to one distribution that both
+share: Kneser-Ney continuation counts of the letter grams of all documents, labelled or not. Letters are code points in 12 bits, so a
+gram is a long; the table of grams and the counts of what precedes them grow with the corpus, stay in Spark, and are joined with
+the grams that labelled texts have.
 
-A text's evidence is the difference of the two log-likelihoods divided by its length, over the whole text and
+Words: two models of word pairs, so that an expression of ordinary words tells too. They back off to the class's continuation counts of words, and these
+to the word's spelling under the letters' shared distribution.
+
+A text's evidence is the difference of the two log-likelihoods, of letters and of words, divided by its length, over the whole text and
 over its most telling words; a logistic regression on labelled rows that the models haven't seen
 turns it into a score.
 
-Passes over the documents: counts, evidence of the calibration rows, scores. Each is narrow; only counts by
-event are shuffled, after they are summed in the task.
+Passes over the documents: letter grams, word pairs of the labelled rows, evidence of the calibration rows, scores. Each is narrow; only counts by
+gram are shuffled, after a task has left out those that it sent shortly before. The models go to the tasks with at most `EVENTS` letter grams
+and `EVENTS` word pairs, 12 bytes each.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from .common import fit_logistic, in_fold, labelled_sample, small_batches
-from .kernels import LOWER, chunks, runs, text_bytes, word_ranges
+from .common import fit_logistic, in_fold, labelled_sample, small_batches, store
+from .kernels import LOWER, chunks, mix, runs, span_hashes, text_bytes, word_ranges
 
-ORDER, BITS, DISCOUNT = 5, 5, 0.75
+ORDER, BITS, DISCOUNT = 5, 12, 0.75
 #: Labelled rows that the two models and the calibration are fitted on, at most.
 SAMPLE = 30_000
+#: Letter grams, and word pairs, of the labelled rows that the models keep, at most: the frequent ones, as many as fit with all of equal frequency.
+EVENTS = 1 << 21
 FOLDS, HELD_OUT = 5, 0
 
-#: Classes of bytes: 0 between words, 1 to 26 letters, 27 digits, 28 to 31 bytes beyond ASCII.
-CLASS = np.zeros(256, np.int32)
-CLASS[0x61:0x7B] = np.arange(1, 27)
-CLASS[0x30:0x3A] = 27
-CLASS[0x80:] = 28 + (np.arange(0x80, 0x100) & 3)
-
 MASK = [(1 << (BITS * n)) - 1 for n in range(ORDER + 1)]
-
-
-def events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each letter its event (the letter in the low bits, the four before it in its word above); starts and ends of words."""
-    letters = CLASS[LOWER[data]]
+#: Of `seen`, how many of the latest grams a task remembers.
+RECENT = 1 << 20
+
+
+def _letters() -> np.ndarray:
+    """The class of code points up to 0x7FF: 0 between words, letters in lower case as themselves, one class for digits."""
+    table = np.arange(0x800, dtype=np.int64)
+    for c in range(0x80, 0x800):
+        low = chr(c).lower()
+        table[c] = ord(low) if len(low) == 1 and ord(low) < 0x800 else c
+    table[:0x80] = 0
+    table[0x61:0x7B] = np.arange(0x61, 0x7B)
+    table[0x30:0x3A] = 0x30
+    return table
+
+
+LETTER = _letters()
+WORD = np.zeros(256, bool)
+WORD[0x30:0x3A] = WORD[0x61:0x7B] = WORD[0x80:] = True
+
+
+def letters_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each code point, 12 bits (those from 0x800 on share 2,048 classes by a hash), and the byte where it begins."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    point = data[lead].astype(np.int64)
+    wide = np.flatnonzero(point >= 0xC0)
+    if len(wide):
+        padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64) & 0x3F
+        at, first = lead[wide], point[wide]
+        two = (first & 0x1F) << 6 | padded[at + 1]
+        three = (first & 0x0F) << 12 | padded[at + 1] << 6 | padded[at + 2]
+        four = (first & 0x07) << 18 | padded[at + 1] << 12 | padded[at + 2] << 6 | padded[at + 3]
+        point[wide] = np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))
+    out = LETTER[np.minimum(point, 0x7FF)]
+    high = point >= 0x800
+    if high.any():
+        out[high] = 0x800 + ((point[high] * 2654435761 & 0xFFFFFFFF) >> 21)
+    return out, lead
+
+
+def events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each letter its gram (the letter in the low bits, the four before it in its word above); starts and ends of words in letters; texts' offsets in letters."""
+    data = LOWER[data]
+    letters, lead = letters_of(data)
+    at = np.searchsorted(lead, offsets)
     word = letters > 0
-    starts, ends = runs(word, offsets)
-    since = np.zeros(len(data), np.int32)
-    since[starts] = 1
-    first = np.maximum.accumulate(np.where(since > 0, np.arange(len(data), dtype=np.int32), 0))
-    since = np.arange(len(data), dtype=np.int32) - first
+    starts, ends = runs(word, at)
+    place = np.arange(len(letters), dtype=np.int32)
+    begin = np.zeros(len(letters), np.int32)
+    begin[starts] = place[starts]
+    since = place - np.maximum.accumulate(begin)
     codes = letters.copy()
     for j in range(1, ORDER):
         codes[j:] |= np.where(since[j:] >= j, letters[:-j], 0) << (BITS * j)
-    return codes, starts, ends
-
-
-class Model:
-    """Log-likelihood ratio of every event, from rows (code, toxic count, ordinary count); zero counts add to the shared backoff alone."""
-
-    def __init__(self, codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray):
-        shared = self.backoff(codes)
-        labelled = (toxic > 0) | (ordinary > 0)
-        codes, counts = codes[labelled], (toxic[labelled].astype(float), ordinary[labelled].astype(float))
-        history, low = codes >> BITS, shared[codes & MASK[ORDER - 1]]
-        seen = []
-        for n in counts:
-            total = np.bincount(history, n, MASK[ORDER - 1] + 1)
-            kinds = np.bincount(history[n > 0], minlength=MASK[ORDER - 1] + 1)
-            rest = np.divide(DISCOUNT * kinds, total, out=np.ones(len(total)), where=total > 0)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                own = np.where(total[history] > 0, np.maximum(n - DISCOUNT, 0) / total[history], 0)
-            seen.append(own + rest[history] * low)
-        order = np.argsort(codes)
-        self.codes = codes[order].astype(np.int32)
-        self.values = (np.log(seen[0]) - np.log(seen[1]))[order].astype(np.float32)
-        self.table: np.ndarray | None = None
-
-    @staticmethod
-    def backoff(codes: np.ndarray) -> np.ndarray:
-        """Kneser-Ney of order 4 by continuation counts: how many letters precede each gram, whatever its frequency."""
-        grams, estimate = codes, None
-        kept = []
-        for n in range(ORDER - 1, 0, -1):
-            grams = np.unique(grams & MASK[n + 1])
-            kept.append((n, np.bincount(grams & MASK[n], minlength=MASK[n] + 1).astype(float)))
-        estimate = np.full(1 << BITS, 1 / (1 << BITS))
-        for n, count in reversed(kept):
-            by = count.reshape(-1, 1 << BITS)
-            total, kinds = by.sum(1, keepdims=True), (by > 0).sum(1, keepdims=True)
-            lower = estimate[np.arange(MASK[n] + 1) & MASK[n - 1]].reshape(by.shape) if n > 1 else estimate.reshape(by.shape)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                estimate = np.where(total > 0, (np.maximum(by - DISCOUNT, 0) + DISCOUNT * kinds * lower) / total, lower).ravel()
-        return estimate
+    return np.where(word, codes, 0), starts, ends, at
 
-    def ratios(self, codes: np.ndarray) -> np.ndarray:
-        """0 for an event that neither class has seen: both give it the shared backoff."""
-        if self.table is None:
-            self.table = np.zeros(MASK[ORDER] + 1, np.float16)
-            self.table[self.codes] = self.values
-        return self.table[codes]
+
+def pairs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each word and of the one before it in its text (0 for the first); bounds of each text's words."""
+    data = LOWER[data]
+    starts, ends = runs(WORD[data], offsets)
+    words, bounds = span_hashes(data, starts, ends).view(np.int64), word_ranges(starts, offsets)
+    before = np.zeros(len(words), np.int64)
+    before[1:] = words[:-1]
+    before[bounds[:-1][bounds[:-1] < len(words)]] = 0
+    return before, words, bounds
+
+
+def pair_key(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + words.view(np.uint64)).view(np.int64)
+
+
+class Lookup:
+    """Values of distinct longs: an open hash table, made where it is first asked."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values, self.table = keys[order], values[order].astype(np.float32), None
 
     def __getstate__(self):
         return self.__dict__ | {"table": None}
 
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.width)).astype(np.int64)
+
+    def _build(self) -> None:
+        self.width = max(4, int(2 * len(self.keys)).bit_length())
+        size = 1 << self.width
+        self.table, self.steps = np.full(size, -1, np.int32), 0
+        todo, at = np.arange(len(self.keys), dtype=np.int32), self._slots(self.keys)
+        while len(todo):
+            free = self.table[at] < 0
+            self.table[at[free]] = todo[free]
+            lost = self.table[at] != todo
+            todo, at = todo[lost], (at[lost] + 1) & (size - 1)
+            self.steps += 1
+
+    def get(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of x (0 for what has none), and which have one."""
+        if self.table is None:
+            self._build()
+        out, found = np.zeros(len(x), np.float32), np.zeros(len(x), bool)
+        live, at = np.arange(len(x)), self._slots(x)
+        for _ in range(self.steps):
+            place = self.table[at]
+            some = place >= 0
+            live, at, place = live[some], at[some], place[some]
+            good = self.keys[place] == x[live]
+            out[live[good]], found[live[good]] = self.values[place[good]], True
+            live, at = live[~good], (at[~good] + 1) & (len(self.table) - 1)
+            if not len(live):
+                break
+        return out, found
+
+
+class Letters:
+    """Log-likelihood ratios (toxic to ordinary) of letters: of known grams, else of their history's weight of backing off."""
+
+    def __init__(self, codes: np.ndarray, ratio: np.ndarray, low: np.ndarray, history: np.ndarray, weight: np.ndarray, kinds: int):
+        self.ratio, self.weight = Lookup(codes, ratio), Lookup(history, weight)
+        self.low: Lookup | None = Lookup(codes, low)
+        self.least = float(np.log(1 / max(kinds, 1)))
+
+    def ratios(self, codes: np.ndarray) -> np.ndarray:
+        out, found = self.ratio.get(codes)
+        rest = np.flatnonzero(~found)
+        out[rest] = self.weight.get(codes[rest] >> BITS)[0]
+        return out
+
+    def spelled(self, codes: np.ndarray) -> np.ndarray:
+        """Log-probabilities of letters under the shared distribution; of grams that no labelled text has, an even one."""
+        out, found = self.low.get(codes)
+        return np.where(found, out, self.least)
+
+
+class Words:
+    """Log-likelihood ratios of words after the word before: of known pairs, else of the history's weight and the word."""
+
+    def __init__(self, pairs: np.ndarray, ratio: np.ndarray, history: np.ndarray, weight: np.ndarray, words: np.ndarray, single: np.ndarray, unseen: float):
+        self.pairs, self.weight, self.single, self.unseen = Lookup(pairs, ratio), Lookup(history, weight), Lookup(words, single), unseen
+
+    def ratios(self, before: np.ndarray, words: np.ndarray) -> np.ndarray:
+        out, found = self.pairs.get(pair_key(before, words))
+        rest = np.flatnonzero(~found)
+        single, known = self.single.get(words[rest])
+        out[rest] = self.weight.get(before[rest])[0] + np.where(known, single, self.unseen)
+        return out
+
+
+FEATURES = 8
+
+
+class Toxicity:
+    def __init__(self, letters: Letters, words: Words, weights: np.ndarray):
+        self.letters, self.words, self.weights = letters, words, weights
+
     def evidence(self, column: pa.Array) -> np.ndarray:
-        """A row for each text: mean ratio of a letter, of a word over the root of its words, of the one and the three most telling words."""
+        """A row for each text, of letters and then of words: mean ratio (of a letter; of a word), sum over the root of the words, the one and the three most telling words."""
         data, offsets = text_bytes(column)
-        out = np.zeros((len(offsets) - 1, 4))
+        out = np.zeros((len(offsets) - 1, FEATURES))
         for i, j in chunks(offsets):
-            at = offsets[i : j + 1] - offsets[i]
-            codes, starts, ends = events(data[offsets[i] : offsets[j]], at)
-            total = np.zeros(len(codes) + 1)
-            np.cumsum(np.where(codes & MASK[1] > 0, self.ratios(codes), 0), dtype=np.float64, out=total[1:])
-            words, bounds = total[ends] - total[starts], word_ranges(starts, at)
+            part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            codes, starts, ends, of = events(part, at)
+            total, some = np.zeros(len(codes) + 1), codes > 0
+            each = np.zeros(len(codes))
+            each[some] = self.letters.ratios(codes[some])
+            np.cumsum(each, out=total[1:])
+            spelled, bounds = total[ends] - total[starts], word_ranges(starts, of)
+            before, words, also = pairs_of(part, at)
+            said = self.words.ratios(before, words).astype(np.float64)
             for t in range(j - i):
-                own = words[bounds[t] : bounds[t + 1]]
+                own, pair = spelled[bounds[t] : bounds[t + 1]], said[also[t] : also[t + 1]]
                 if len(own):
-                    top = np.partition(own, len(own) - 3)[-3:] if len(own) > 3 else own
                     letters = (ends[bounds[t] : bounds[t + 1]] - starts[bounds[t] : bounds[t + 1]]).sum()
-                    out[i + t] = 100 * own.sum() / letters, own.sum() / np.sqrt(len(own)), own.max(), top.mean()
+                    out[i + t, :4] = 100 * own.sum() / letters, own.sum() / np.sqrt(len(own)), own.max(), _top(own)
+                if len(pair):
+                    out[i + t, 4:] = 10 * pair.sum() / len(pair), pair.sum() / np.sqrt(len(pair)), pair.max(), _top(pair)
         return out
 
+    def score(self, column: pa.Array) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.evidence(column) @ self.weights[:-1] + self.weights[-1], -40, 40)))
 
-class Toxicity:
-    def __init__(self, model: Model, weights: np.ndarray):
-        self.model, self.weights = model, weights
 
-    def score(self, column: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.model.evidence(column) @ self.weights[:-1] + self.weights[-1], -40, 40)))
+def _top(x: np.ndarray) -> float:
+    return float((np.partition(x, len(x) - 3)[-3:] if len(x) > 3 else x).mean())
+
+
+def smoothed(n: Column, total: Column, kinds: Column, low: Column) -> Column:
+    """Kneser-Ney: the discounted share, and what the discounts left over by the lower order; the lower order where nothing was seen."""
+    return F.when(total > 0, (F.greatest(n - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * low) / total).otherwise(low)
+
+
+def weight_of(total: Column, kinds: Column) -> Column:
+    """The log of what a history gives to its lower order; 0 where nothing was seen."""
+    return F.when(total > 0, F.log(DISCOUNT * kinds / total)).otherwise(0.0)
+
+
+def continuations(grams: DataFrame, n: int) -> DataFrame:
+    """(g, c, total, kinds) of the grams of n letters that end the distinct `gram`s of n + 1: how many letters precede them, and the sums of that by history."""
+    counted = grams.select(F.col("gram").bitwiseAND(F.lit(MASK[n])).alias("g")).groupBy("g").agg(F.count("*").alias("c"))
+    same = Window.partitionBy(F.shiftright("g", BITS))
+    return counted.select("g", "c", F.sum("c").over(same).alias("total"), F.count("*").over(same).alias("kinds"))
+
+
+def shared_backoff(grams: DataFrame, asked: DataFrame) -> tuple[DataFrame, int]:
+    """`asked` (gram, ...) with low, the shared probability of its last letter after the three before it, from the distinct `gram`s of all documents; and how many letters there are."""
+    tables, level = {}, grams.select("gram")
+    for n in range(ORDER - 1, 0, -1):
+        tables[n] = store(continuations(level, n)) if n > 1 else continuations(level, n).collect()  # 2 ** BITS letters
+        level = tables[n].select(F.col("g").alias("gram")) if n > 1 else None
+    single = tables[1]
+    kinds = len(single)
+    spark = asked.sparkSession
+    first = spark.createDataFrame([(r["g"], (max(r["c"] - DISCOUNT, 0) + DISCOUNT * r["kinds"] / kinds) / r["total"]) for r in single], "g1 long, low double")
+    out = asked.withColumn("g1", F.col("gram").bitwiseAND(F.lit(MASK[1]))).join(F.broadcast(first), "g1").drop("g1")
+    for n in range(2, ORDER):
+        told = tables[n].select(F.col("g").alias("gn"), "c", "total", "kinds")
+        out = out.withColumn("gn", F.col("gram").bitwiseAND(F.lit(MASK[n]))).join(told, "gn")
+        out = out.withColumn("low", smoothed(F.col("c"), F.col("total"), F.col("kinds"), F.col("low"))).drop("gn", "c", "total", "kinds")
+    return out, kinds
+
+
+def by_class(df: DataFrame, history: Column) -> DataFrame:
+    """`df` (toxic, ordinary) with the totals and kinds of each class by history."""
+    same = Window.partitionBy(history)
+    cells = {}
+    for c in ("toxic", "ordinary"):
+        cells |= {f"{c}_total": F.sum(c).over(same), f"{c}_kinds": F.sum((F.col(c) > 0).cast("long")).over(same)}
+    return df.withColumns(cells)
+
 
+def ratio(toxic: Column, ordinary: Column, low: tuple[Column, Column]) -> Column:
+    cells = [smoothed(n, F.col(f"{c}_total"), F.col(f"{c}_kinds"), x) for c, n, x in zip(("toxic", "ordinary"), (toxic, ordinary), low, strict=True)]
+    return F.log(cells[0]) - F.log(cells[1])
 
-def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Toxicity:
+
+def frequent(df: DataFrame, most: int) -> DataFrame:
+    """The rows (toxic, ordinary) of the largest counts, all rows of a count or none, at most `most` rows."""
+    n = F.col("toxic") + F.col("ordinary")
+    kept, least = 0, 1
+    sizes = df.groupBy(F.least(n, F.lit(1000)).alias("n")).agg(F.count("*").alias("rows")).collect()
+    for r in sorted(sizes, key=lambda r: -r["n"]):
+        kept += r["rows"]
+        least = r["n"] if kept <= most else least
+        if kept > most:
+            least = r["n"] + 1
+            break
+    return df.where(n >= least)
+
+
+def _longs(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [table.column(n).to_numpy() for n in names]
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, most: int = EVENTS) -> Toxicity:
     """Models and calibration. Without calibration rows of both classes every text has one score, the share of toxic labels; 1 in 3 without any."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -137,43 +300,100 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Toxicity
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     shared = spark.sparkContext.broadcast(known)
 
-    def count(batches):
-        seen = np.zeros(MASK[ORDER] + 1, bool)
+    def grams(batches):
+        recent = np.zeros(RECENT, np.int64)
         for b in batches:
             data, offsets = text_bytes(b.column(1))
             label = np.array([shared.value.get(x, -1) if f != FOLDS - 1 else -1 for x, f in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)])
             for i, j in chunks(offsets):
-                codes, starts, _ = events(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                inside = codes & MASK[1] > 0
-                seen[codes[inside]] = True
+                codes, _, _, at = events(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                of = np.repeat(label[i:j], np.diff(at))
+                slot = (codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+                fresh = np.unique(codes[(recent[slot] != codes) & (of < 0)])
+                recent[slot] = codes
+                none = np.zeros(len(fresh), np.int64)
+                yield rows(fresh[fresh > 0], none[fresh > 0], none[fresh > 0])
                 for y in (0, 1):
-                    mine = np.repeat(label[i:j] == y, np.diff(offsets[i : j + 1])) & inside
-                    if mine.any():
-                        kinds, n = np.unique(codes[mine], return_counts=True)
-                        zero = np.zeros(len(n), np.int64)
-                        yield rows(kinds, n if y else zero, zero if y else n)
-        kinds = np.flatnonzero(seen)
-        yield rows(kinds, np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64))
-
-    rows = lambda c, t, o: pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), pa.array(t, pa.int64()), pa.array(o, pa.int64())], names=["code", "toxic", "ordinary"])
-    counted = docs.withColumn("fold", fold).mapInArrow(count, "code int, toxic long, ordinary long").groupBy("code").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow()
-    model = Model(*(counted.column(i).to_numpy().astype(np.int64) for i in range(3)))
-
-    ids = spark.createDataFrame(list(known.items()), "doc_id long, y int").where(in_fold("doc_id", FOLDS, FOLDS - 1))
-    sent = spark.sparkContext.broadcast(model)
+                    mine = codes[(of == y) & (codes > 0)]
+                    if len(mine):
+                        kinds, n = np.unique(mine, return_counts=True)
+                        yield rows(kinds, n * y, n * (1 - y))
+
+    rows = lambda c, t, o: pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(t, pa.int64()), pa.array(o, pa.int64())], names=["gram", "toxic", "ordinary"])
+    seen = store(docs.withColumn("fold", fold).mapInArrow(grams, "gram long, toxic long, ordinary long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+    labelled, kinds = shared_backoff(seen, by_class(seen.where("toxic + ordinary > 0"), F.shiftright("gram", BITS)))
+    weight = weight_of(F.col("toxic_total"), F.col("toxic_kinds")) - weight_of(F.col("ordinary_total"), F.col("ordinary_kinds"))
+    labelled = store(labelled.select("gram", "toxic", "ordinary", ratio(F.col("toxic"), F.col("ordinary"), (F.col("low"), F.col("low"))).alias("ratio"), F.log("low").alias("low"), weight.alias("weight")))
+    kept = frequent(labelled, most)
+    history = kept.groupBy(F.shiftright("gram", BITS).alias("history")).agg(F.first("weight").alias("weight")).toArrow()  # at most `most` rows, as what follows
+    letters = Letters(*_longs(kept.select("gram", "ratio", "low").toArrow(), "gram", "ratio", "low"), *_longs(history, "history", "weight"), kinds)
+
+    sample_rows = spark.createDataFrame(list(known.items()), "doc_id long, y int")
+    told = docs.join(F.broadcast(sample_rows), "doc_id").select("text", "y", in_fold("doc_id", FOLDS, FOLDS - 1).alias("apart"))
+    words = _words(told.where(~F.col("apart")).select("text", "y"), letters, most)
+    letters.low = None  # only the words needed it
+
+    sent = spark.sparkContext.broadcast(Toxicity(letters, words, np.zeros(FEATURES + 1)))
+    names = [f"x{k}" for k in range(FEATURES)]
 
     def weigh(batches):
         for b in batches:
-            e = sent.value.evidence(b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(2), *(pa.array(e[:, k].copy()) for k in range(4))], names=["y", "a", "b", "c", "d"])
+            e = sent.value.evidence(b.column(0))
+            yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array(e[:, k].copy()) for k in range(FEATURES))], names=["y", *names])
 
-    told = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y").mapInArrow(weigh, "y int, a double, b double, c double, d double").toArrow()
-    told = np.column_stack([told.column(i).to_numpy() for i in range(5)]) if len(told) else np.zeros((0, 5))
+    # One row for each document of the sample, whatever number of rows has its id, in one order whatever the partitioning.
+    apart = docs.join(F.broadcast(sample_rows.where(in_fold("doc_id", FOLDS, FOLDS - 1))), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("y").alias("y"))
+    table = apart.select("text", "y").mapInArrow(weigh, "y int, " + ", ".join(f"{n} double" for n in names)).toArrow().sort_by([(n, "ascending") for n in ["y", *names]])
+    told = np.column_stack(_longs(table, "y", *names)) if len(table) else np.zeros((0, FEATURES + 1))
     weights = fit_logistic(told[:, 1:], told[:, 0] > 0)
     if not weights.any():
         toxic = sum(known.values())
-        weights = np.array([0, 0, 0, 0, np.log((toxic + 1) / (len(known) - toxic + 2))])
-    return Toxicity(model, weights)
+        weights = np.array([0.0] * FEATURES + [np.log((toxic + 1) / (len(known) - toxic + 2))])
+    return Toxicity(letters, words, weights)
+
+
+def _words(sample: DataFrame, letters: Letters, most: int) -> Words:
+    """From (text, y) of the labelled sample."""
+    sent = sample.sparkSession.sparkContext.broadcast(letters)
+
+    def count(batches):
+        for b in batches:
+            data, offsets = text_bytes(b.column(0))
+            label = b.column(1).to_numpy()
+            for i, j in chunks(offsets):
+                part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                before, words, bounds = pairs_of(part, at)
+                if not len(words):
+                    continue
+                codes, starts, ends, _ = events(part, at)
+                total, some = np.zeros(len(codes) + 1), codes > 0
+                each = np.zeros(len(codes))
+                each[some] = sent.value.spelled(codes[some])
+                np.cumsum(each, out=total[1:])
+                back = total[ends] - total[starts]
+                y = np.repeat(label[i:j], np.diff(bounds))
+                _, first, where = np.unique(pair_key(before, words), return_index=True, return_inverse=True)
+                cells = [before[first], words[first], np.exp(np.maximum(back[first], -600)), np.bincount(where, y == 1).astype(np.int64), np.bincount(where, y == 0).astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cells], names=["before", "word", "back", "toxic", "ordinary"])
+
+    counted = sample.mapInArrow(count, "before long, word long, back double, toxic long, ordinary long")
+    pairs = store(counted.groupBy("before", "word").agg(F.max("back").alias("back"), F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+    follow = [F.sum((F.col(c) > 0).cast("long")).alias(c) for c in ("toxic", "ordinary")]
+    single = store(pairs.groupBy("word").agg(F.max("back").alias("back"), *follow))
+    totals = single.agg(*[f for c in ("toxic", "ordinary") for f in (F.sum(c).alias(f"{c}_total"), F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_kinds"))]).first()
+    all_ = {k: float(v or 0) for k, v in totals.asDict().items()}
+    at = lambda c: smoothed(F.col(c), F.lit(all_[f"{c}_total"]), F.lit(all_[f"{c}_kinds"]), F.col("back"))
+    single = single.select("word", "toxic", "ordinary", at("toxic").alias("p_toxic"), at("ordinary").alias("p_ordinary"))
+    low = single.select("word", "p_toxic", "p_ordinary")
+    weighed = by_class(pairs.select("before", "word", "toxic", "ordinary"), F.col("before")).join(low, "word")
+    weight = weight_of(F.col("toxic_total"), F.col("toxic_kinds")) - weight_of(F.col("ordinary_total"), F.col("ordinary_kinds"))
+    told = store(weighed.select("before", "word", "toxic", "ordinary", ratio(F.col("toxic"), F.col("ordinary"), (F.col("p_toxic"), F.col("p_ordinary"))).alias("ratio"), weight.alias("weight")))
+    kept = frequent(told, most)
+    history = _longs(kept.groupBy("before").agg(F.first("weight").alias("weight")).toArrow(), "before", "weight")
+    before, word, value = _longs(kept.select("before", "word", "ratio").toArrow(), "before", "word", "ratio")
+    alone = _longs(frequent(single, most).select("word", (F.log("p_toxic") - F.log("p_ordinary")).alias("ratio")).toArrow(), "word", "ratio")
+    left = [np.log(DISCOUNT * all_[f"{c}_kinds"] / all_[f"{c}_total"]) if all_[f"{c}_total"] else 0.0 for c in ("toxic", "ordinary")]
+    return Words(pair_key(before, word), value, *history, *alone, float(left[0] - left[1]))
 
 
 def with_score(docs: DataFrame, toxicity: Toxicity, column: str = "score") -> DataFrame:
