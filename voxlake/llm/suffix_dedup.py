@@ -10,7 +10,8 @@
    side however many of its own come first (up to `OVERLAP`), and the match extended right and left; from `WORDS` words on it is a repeat. Neighbours over a range's edge are compared apart. A second order, (gram, left, right),
    finds the neighbours of suffixes that agree more to the left.
 4. Where many passages overlap in part, the neighbours of either order may share less than others do. So windows of `WORDS` words around the
-   anchors are counted by hash, and those that another class has and no match covers are repeats too.
+   anchors are counted by hash, and those that another class has and no match covers are repeats too. The first and the last window of a match are
+   looked up in the same way: suffixes have 24 bits of a word's hash, and a match that runs one word too far by chance is cut.
 5. Matches are merged by class, then told for each of its documents; texts of a class with several documents repeat whole.
 
 What is shuffled: 16 bytes an anchor; twice the texts with surviving anchors; the surviving suffixes; 24 bytes a window around one. Nothing meets in pairs but
@@ -57,14 +58,34 @@ def _anchors(words: np.ndarray, size: int, k: int) -> tuple[np.ndarray, np.ndarr
     return at, grams[at].view(np.int64)
 
 
-def _windows(words: np.ndarray, grams: np.ndarray, spans: list, size: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and hashes of the windows of `size` words whose anchor is in `grams`, and whether none of the spans covers them."""
+def _windows(words: np.ndarray, grams: np.ndarray, spans: list, size: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows of `size` words whose anchor is in `grams`, whether none of the spans covers them, and whether one begins or ends with them."""
     own, low = gram_hashes(words, k), np.uint64((1 << 20) - 1)
     keys = (own & ~low) | (low - (np.arange(len(own), dtype=np.uint64) & low))
     at, g = _anchors(words, size, k)
     start = np.flatnonzero(np.isin(sliding(keys, size - k + 1, np.minimum), keys[at[np.isin(g, grams)]]))
     begin, end = (np.array([-1, *(x[c] for x in spans)], np.int64) for c in "se")
-    return start, gram_hashes(words, size)[start].view(np.int64), end[np.searchsorted(begin, start, side="right") - 1] < start + size
+    edge = np.isin(start, begin) | np.isin(start + size, end)
+    return start, gram_hashes(words, size)[start].view(np.int64), end[np.searchsorted(begin, start, side="right") - 1] < start + size, edge
+
+
+def _confirmed(spans: list, sure: list, size: int) -> list[tuple[int, int]]:
+    """The spans without a word at an end whose window no other text has, and the windows that no span covers."""
+    starts = {x["s"] for x in sure}
+    out = [(x["s"], x["s"] + size) for x in sure if x["open"]]
+    for x in spans:
+        s, e = x["s"] + (x["s"] not in starts), x["e"] - (x["e"] - size not in starts)
+        if e - s >= size:
+            out.append((s, e))
+    return out
+
+
+def _spans(ranges: list[list[tuple[int, int]]]) -> pa.ListArray:
+    """A list of merged (s, e) for each list of ranges."""
+    flat = [merged(x) for x in ranges]
+    at = np.cumsum([0, *(len(x) // 2 for x in flat)])
+    both = np.array([v for x in flat for v in x], np.int32).reshape(-1, 2)
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays([pa.array(both[:, c].copy()) for c in (0, 1)], names=["s", "e"]))
 
 
 def _packed(words: np.ndarray) -> bytes:
@@ -250,12 +271,12 @@ def repeats(docs: DataFrame, *, words: int = WORDS, k: int = K) -> DataFrame:
     suffix = store(texts.mapInArrow(suffixes, SUFFIX))
     found = compared(suffix, ["gram", "sright", "sleft"], words, k).unionByName(compared(suffix, ["gram", "sleft", "sright"], words, k))
 
-    step = F.expr("""aggregate(array_sort(collected), cast(array() as array<struct<s:int,e:int>>), (a, x) ->
-      CASE WHEN size(a) > 0 AND x.s <= a[size(a) - 1].e
-           THEN concat(slice(a, 1, size(a) - 1), array(named_struct('s', a[size(a) - 1].s, 'e', greatest(a[size(a) - 1].e, x.e))))
-           ELSE concat(a, array(x)) END)""")
-    merge = lambda df: df.groupBy("class").agg(F.collect_set(F.struct("s", "e")).alias("collected")).select("class", step.alias("spans"))
-    partly = store(merge(found))
+    def merge(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), _spans([[(x["s"], x["e"]) for x in row] for row in b.column(1).to_pylist()])], names=["class", "spans"])
+
+    shape = "class long, spans array<struct<s:int,e:int>>"
+    partly = store(found.groupBy("class").agg(F.collect_set(F.struct("s", "e")).alias("collected")).mapInArrow(merge, shape))
 
     def windows(batches):
         for b in batches:
@@ -263,21 +284,29 @@ def repeats(docs: DataFrame, *, words: int = WORDS, k: int = K) -> DataFrame:
             for w, c, grams, spans in zip(words_of(b.column(0)), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
                 if class_of(w) != c:
                     continue
-                start, key, open_ = _windows(w, grams.values.to_numpy(), spans or [], words, k)
-                rows.append((key, np.full(len(key), c), start, open_))
+                start, key, open_, edge = _windows(w, grams.values.to_numpy(), spans or [], words, k)
+                rows.append((key, np.full(len(key), c), start, open_, edge))
                 n += len(key)
                 if n > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows, strict=True)], names=["key", "class", "s", "open"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows, strict=True)], names=["key", "class", "s", "open", "edge"])
                     rows, n = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows, strict=True)], names=["key", "class", "s", "open"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows, strict=True)], names=["key", "class", "s", "open", "edge"])
 
     left = asked.join(partly, "class", "left")
     again = docs.join(left.hint("shuffle_hash"), docs["doc_id"] == left["least"]).select("text", "class", "grams", "spans")
-    seen_windows = store(again.mapInArrow(windows, "key long, class long, s long, open boolean"))
-    both = seen_windows.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.max("open").alias("some")).where("a != b and some").select("key")
-    more = seen_windows.where("open").join(both, "key").select("class", F.col("s").cast("int").alias("s"), (F.col("s") + words).cast("int").alias("e"))
-    partly = merge(partly.select("class", F.inline("spans")).unionByName(more))
+    seen_windows = store(again.mapInArrow(windows, "key long, class long, s long, open boolean, edge boolean"))
+    told = F.col("open") | F.col("edge")
+    both = seen_windows.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.max(told).alias("some")).where("a != b and some").select("key")
+    sure = seen_windows.where(told).join(both, "key").groupBy("class").agg(F.collect_list(F.struct("s", "open")).alias("sure"))
+
+    def confirm(batches):
+        for b in batches:
+            ranges = [_confirmed(spans or [], sure, words) for spans, sure in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), _spans(ranges)], names=["class", "spans"])
+
+    # A class without a sure window has no repeat.
+    partly = sure.join(partly, "class", "left").select("class", "spans", "sure").mapInArrow(confirm, shape).where(F.size("spans") > 0)
     whole = F.array(F.struct(F.lit(0).alias("s"), F.col("n_words").cast("int").alias("e")))
     spans = classes.join(partly, "class", "left").select("class", "least", F.when(F.col("n") > 1, whole).otherwise(F.col("spans")).alias("spans")).where("spans is not null")
     spans = store(spans)
