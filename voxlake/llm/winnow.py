@@ -2,13 +2,14 @@
 
 Every document and every benchmark item is cut into words; of each `span - k + 1` consecutive k-grams
 the smallest hash is kept. A run of `span` words that a document shares with an item therefore shares a
-kept fingerprint. Where kept fingerprints meet, the match is extended word by word to both sides; it
-counts from `span` words on. Items shorter than `span` are one window of their own length and are looked
-up by the hash of that length.
+kept fingerprint at the same place. Where kept fingerprints meet, the hit is extended to the windows of `span` words around
+it, which are told by their hash; a longer match is the union of its windows. So a fingerprint that many items have costs one
+look-up, not one comparison for each of them. Items shorter than `span` are one window of their own length.
 
-Scale: the pass over the documents is narrow (no shuffle). The benchmark comes to the tasks in blocks of
-at most `block_words` words, one narrow pass for each block, so what is broadcast is bounded whatever the
-benchmark's size.
+Scale: a benchmark of at most `block_words` words goes to the tasks as sorted hashes, some 20 bytes a word, and the pass over the documents is narrow. A
+larger one stays a table: the documents' fingerprints that pass a bitmap of `FILTER_BITS` bits meet the benchmark's in a join, then the
+windows around those that match do. What is broadcast is 2 ** FILTER_BITS bits whatever the benchmark's size, and the
+plan has the same number of steps.
 """
 
 from __future__ import annotations
@@ -17,11 +18,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import free, small_batches, store
 from .kernels import LOWER, chunks, gram_hashes, minimisers, runs, span_hashes, text_bytes, word_ranges
 
 K, SPAN = 5, 10
+#: Words (two characters each at least) of a benchmark that goes to the tasks whole, at most.
+BLOCK_WORDS = 1 << 21
+FILTER_BITS = 26
 
 #: Bytes of words: digits, a-z after lower-casing, and all beyond ASCII.
 WORD = np.zeros(256, bool)
@@ -39,59 +44,72 @@ def words_of(column: pa.Array):
             yield hashes[bounds[t] : bounds[t + 1]]
 
 
+def windows_of(words: np.ndarray, span: int) -> tuple[int, np.ndarray]:
+    """The length of an item's windows and their hashes."""
+    m = min(span, len(words))
+    return m, gram_hashes(words, m) if m else np.zeros(0, np.uint64)
+
+
+def prints_of(words: np.ndarray, k: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the kept k-grams of a text of `span` words or more."""
+    if len(words) < span:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    grams = gram_hashes(words, k)
+    at = minimisers(grams, span - k + 1)
+    return at, grams[at]
+
+
+def found_in(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which values of x are among the sorted keys, and where."""
+    if not len(keys):
+        return np.zeros(len(x), bool), np.zeros(len(x), np.int64)
+    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+    return keys[at] == x, at
+
+
+def around(at: np.ndarray, n: int, k: int, span: int) -> np.ndarray:
+    """Starts of the windows that contain a k-gram at one of the places."""
+    starts = np.unique(at[:, None] - np.arange(span - k + 1))
+    return starts[(starts >= 0) & (starts <= n - span)]
+
+
 class Block:
-    """The fingerprints of some benchmark items."""
+    """Fingerprints and windows of a benchmark; windows are known by length."""
 
     def __init__(self, ids: list[str], texts: list[str], k: int, span: int):
-        self.k, self.span, self.ids, self.items = k, span, ids, list(words_of(pa.array(texts, pa.large_string())))
-        prints, places, short = [], [], {}
-        for n, words in enumerate(self.items):
-            if len(words) >= span:
-                grams = gram_hashes(words, k)
-                at = minimisers(grams, span - k + 1)
-                prints.append(grams[at])
-                places += [(n, int(q)) for q in at]
-            elif len(words):
-                short.setdefault(len(words), {}).setdefault(int(gram_hashes(words, len(words))[0]), []).append(n)
-        flat = np.concatenate(prints) if prints else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        self.prints, self.places = flat[order], np.array(places, np.int64).reshape(-1, 2)[order]
-        self.short = {m: (np.array(sorted(x), np.uint64), x) for m, x in short.items()}
-
-    def hits(self, words: np.ndarray) -> tuple[list[tuple[int, int]], set[str]]:
-        """Word ranges of the document inside occurring windows, and the ids of the items concerned."""
-        found, items = [], set()
-        if len(words) >= self.span and len(self.prints):
-            grams = gram_hashes(words, self.k)
-            at = minimisers(grams, self.span - self.k + 1)
-            lo, hi = (np.searchsorted(self.prints, grams[at], side) for side in ("left", "right"))
-            done: dict[tuple[int, int], int] = {}
-            for x in np.flatnonzero(lo < hi):
-                p = int(at[x])
-                for n, q in self.places[lo[x] : hi[x]].tolist():
-                    if p < done.get((n, p - q), -1):
-                        continue
-                    s, e = self.extend(words, p, self.items[n], q)
-                    done[n, p - q] = e
-                    if e - s >= self.span:
-                        found.append((s, e))
-                        items.add(self.ids[n])
-        for m, (keys, where) in self.short.items():
-            grams = gram_hashes(words, m)
-            for p in np.flatnonzero(np.isin(grams, keys)).tolist():
-                found.append((p, p + m))
-                items.update(self.ids[n] for n in where[int(grams[p])])
-        return found, items
-
-    def extend(self, words: np.ndarray, p: int, item: np.ndarray, q: int) -> tuple[int, int]:
-        """The longest range around words[p] that runs equal to the item around item[q]; empty if they differ there."""
-        m = min(len(words) - p, len(item) - q)
-        same = words[p : p + m] == item[q : q + m]
-        right = m if same.all() else int(same.argmin())
-        m = min(p, q)
-        same = words[p - m : p][::-1] == item[q - m : q][::-1]
-        left = m if same.all() else int(same.argmin())
-        return (p - left, p + right) if right else (p, p)
+        self.k, self.span, self.ids = k, span, np.array(ids, object)
+        prints, by_length = [np.zeros(0, np.uint64)], {}
+        for n, words in enumerate(words_of(pa.array(texts, pa.large_string()))):
+            prints.append(prints_of(words, k, span)[1])
+            m, keys = windows_of(words, span)
+            if m:
+                keys = np.unique(keys)
+                by_length.setdefault(m, []).append((keys, np.full(len(keys), n, np.int32)))
+        self.prints, self.windows = np.unique(np.concatenate(prints)), {}
+        for m, parts in by_length.items():
+            keys, items = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(keys, kind="stable")
+            kinds, start = np.unique(keys[order], return_index=True)
+            self.windows[m] = kinds, np.append(start, len(keys)), items[order]
+
+    def hits(self, words: np.ndarray) -> tuple[list[int], list[str]]:
+        """Word ranges of the document inside occurring windows (start, end, start, end, ...), and the ids of the items concerned."""
+        found, items = [], []
+        for m, (keys, start, owner) in self.windows.items():
+            if len(words) < m:
+                continue
+            if m == self.span:
+                at, prints = prints_of(words, self.k, m)
+                starts = around(at[found_in(self.prints, prints)[0]], len(words), self.k, m)
+                if not len(starts):
+                    continue
+            else:
+                starts = np.arange(len(words) - m + 1)
+            good, place = found_in(keys, gram_hashes(words, m)[starts])
+            if good.any():
+                found += [(s, s + m) for s in starts[good].tolist()]
+                items += [owner[start[x] : start[x + 1]] for x in np.unique(place[good])]
+        return merged(found), sorted(set(self.ids[np.unique(np.concatenate(items))])) if items else []
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[int]:
@@ -105,57 +123,117 @@ def merged(ranges: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def blocks_of(benchmark: DataFrame, k: int, span: int, block_words: int):
-    """Blocks of at most `block_words` words, or of one item. Rows without id or text have no windows."""
-    ids, texts, size = [], [], 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), "text").where("item_id is not null and text is not null")
-    for r in rows.toLocalIterator():
-        n = len(r["text"]) // 2 + 1
-        if ids and size + n > block_words:
-            yield Block(ids, texts, k, span)
-            ids, texts, size = [], [], 0
-        ids.append(r["i"])
-        texts.append(r["text"])
-        size += n
-    yield Block(ids, texts, k, span)
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, k: int = K, span: int = SPAN, block_words: int = 1 << 21) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, k: int = K, span: int = SPAN, block_words: int = BLOCK_WORDS) -> DataFrame:
     """`docs` with n_words, hits (word ranges as start, end, start, end, ...), n_hit and items (sorted item ids).
 
-    A null or empty text has no words and no hits; a benchmark without rows hits nothing. Rows of the same id
+    A null or empty text has no words and no hits; a benchmark without rows hits nothing, and its rows without id or text have no windows. Rows of the same id
     are told apart: each input row gives one output row. A column of `docs` that has the name of an added one
     is replaced; all others are kept as they are. Equal item ids count once.
     """
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.drop("n_words", "hits", "n_hit", "items")
-    for first, block in enumerate(blocks_of(benchmark.select("item_id", "text"), k, span, block_words)):
-        if first == 0:
-            docs = docs.selectExpr("*", "0L as n_words", "cast(array() as array<int>) as hits", "0L as n_hit", "cast(array() as array<string>) as items")
-        docs = docs.mapInArrow(pass_over(spark.sparkContext.broadcast(block)), docs.schema)
-    return docs
-
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item is not null and text is not null")
+    if (items.agg(F.sum(F.length("text") / 2 + 1)).first()[0] or 0) > block_words:
+        return _joined(docs, items, k, span)
+    rows = items.collect()  # at most block_words words
+    shared = spark.sparkContext.broadcast(Block([r["item"] for r in rows], [r["text"] for r in rows], k, span))
 
-def pass_over(shared):
     def run(batches):
-        block = shared.value
         for batch in batches:
-            n_words, hits, n_hit, items = [], [], [], []
-            before = batch.column(batch.schema.get_field_index("hits")).to_pylist()
-            known = batch.column(batch.schema.get_field_index("items")).to_pylist()
-            for words, ranges, ids in zip(words_of(batch.column(batch.schema.get_field_index("text"))), before, known, strict=True):
-                found, more = block.hits(words)
-                flat = merged(found + list(zip(ranges[::2], ranges[1::2], strict=True))) if found else ranges
-                n_words.append(len(words))
-                hits.append(flat)
-                n_hit.append(sum(flat[1::2]) - sum(flat[::2]))
-                items.append(sorted(more.union(ids)))
-            new = {"n_words": n_words, "hits": hits, "n_hit": n_hit, "items": items}
-            columns = [pa.array(new[f.name], f.type) if f.name in new else c for f, c in zip(batch.schema, batch.columns, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return run
+            n_words, hits, ids = [], [], []
+            for words in words_of(batch.column(batch.schema.get_field_index("text"))):
+                found, more = shared.value.hits(words)
+                n_words.append(len(words)), hits.append(found), ids.append(more)
+            yield _with_hits(batch, list(batch.schema.names), n_words, hits, ids)
+
+    return docs.mapInArrow(run, _schema(docs))
+
+
+def _schema(docs: DataFrame) -> T.StructType:
+    return T.StructType([*docs.schema.fields, *T._parse_datatype_string("n_words long, hits array<int>, n_hit long, items array<string>").fields])
+
+
+def _with_hits(batch: pa.RecordBatch, names: list[str], n_words: list, hits: list, items: list) -> pa.RecordBatch:
+    new = [pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array([sum(x[1::2]) - sum(x[::2]) for x in hits], pa.int64()), pa.array(items, pa.list_(pa.string()))]
+    return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), *new], names=[*names, "n_words", "hits", "n_hit", "items"])
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """2 ** FILTER_BITS bits, of which those of the keys' high bits are set."""
+    place = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+    bits = keys.groupBy(F.shiftrightunsigned(place, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(key, %d) & 63 as int))" % (64 - FILTER_BITS))).alias("bits"))
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    told = bits.toArrow()  # 2 ** (FILTER_BITS - 6) rows at most
+    out[told.column("word").to_numpy()] = told.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _joined(docs: DataFrame, items: DataFrame, k: int, span: int) -> DataFrame:
+    """As `decontaminate`, by joins."""
+    spark, names = docs.sparkSession, docs.columns
+    one, two, told = (free(names, n) for n in ("text_key1", "text_key2", "text_found"))
+    keys = [F.xxhash64("text").alias("key1"), F.hash("text").alias("key2")]
+
+    def rows(*columns):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["item", "m", "key", "kind"])
+
+    def cut(batches):
+        for b in batches:
+            for item, words in zip(b.column(0).to_pylist(), words_of(b.column(1)), strict=True):
+                m, keys = windows_of(words, span)
+                keys = np.unique(keys)
+                prints = np.unique(prints_of(words, k, span)[1]) if m == span else keys
+                kind = np.repeat([0, 1], [len(keys), len(prints)])
+                yield rows(pa.array([item] * len(kind), pa.string()), np.full(len(kind), m), np.concatenate([keys, prints]).view(np.int64), kind)
+
+    bench = store(items.select("item", "text").mapInArrow(cut, "item string, m long, key long, kind long").distinct())
+    windows = bench.where("kind = 0").select("item", "m", "key")
+    prints = store(bench.where("kind = 1").select("m", "key").distinct())
+    lengths = [r["m"] for r in prints.select("m").distinct().collect()]  # span at most
+    bits = spark.sparkContext.broadcast(_bitmap(prints))
+
+    def fingerprints(batches):
+        for b in batches:
+            for a, c, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), words_of(b.column(2)), strict=True):
+                for m in lengths:
+                    at, keys = prints_of(words, k, span) if m == span else (np.arange(max(0, len(words) - m + 1)), gram_hashes(words, m))
+                    place = keys >> np.uint64(64 - FILTER_BITS)
+                    good = (bits.value[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+                    if good.any():
+                        n = int(good.sum())
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(n, a), np.full(n, c, np.int32), np.full(n, m), keys[good].view(np.int64), at[good])], names=["key1", "key2", "m", "key", "at"])
+
+    texts = docs.select(*keys, "text").where("text is not null")
+    seen = store(texts.mapInArrow(fingerprints, "key1 long, key2 int, m long, key long, at long").join(prints, ["m", "key"], "left_semi").select("key1", "key2", "m", "at").distinct())
+    places = seen.groupBy("key1", "key2").agg(F.collect_list(F.struct("m", "at")).alias("places"))
+
+    def extend(batches):
+        for b in batches:
+            for a, c, words, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), words_of(b.column(2)), b.column(3).to_pylist(), strict=True):
+                for m in {x["m"] for x in places}:
+                    at = np.array([x["at"] for x in places if x["m"] == m])
+                    starts = around(at, len(words), k, span) if m == span else at
+                    n = len(starts)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(n, a), np.full(n, c, np.int32), np.full(n, m), gram_hashes(words, m)[starts].view(np.int64), starts)], names=["key1", "key2", "m", "key", "at"])
+
+    hit = texts.join(places, ["key1", "key2"]).dropDuplicates(["key1", "key2"]).select("key1", "key2", "text", "places")
+    asked = store(hit.mapInArrow(extend, "key1 long, key2 int, m long, key long, at long"))
+    met = store(asked.join(windows.select("m", "key").distinct(), ["m", "key"], "left_semi"))
+    ids = met.select("key1", "key2", "m", "key").distinct().join(windows, ["m", "key"]).groupBy("key1", "key2").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    where = met.groupBy("key1", "key2").agg(F.collect_list(F.struct("at", "m")).alias("where"))
+    result = store(where.join(ids, ["key1", "key2"]).select(F.col("key1").alias(one), F.col("key2").alias(two), F.struct("where", "items").alias(told)))
+    keyed = docs.withColumns({one: F.xxhash64("text"), two: F.hash("text")})
+    marked = keyed.join(result, [one, two], "left").select(*names, told)
+
+    def tell(batches):
+        for b in batches:
+            found = b.column(len(names)).to_pylist()
+            n_words = [len(w) for w in words_of(b.column(names.index("text")))]
+            hits = [merged([(y["at"], y["at"] + y["m"]) for y in x["where"]]) if x else [] for x in found]
+            yield _with_hits(b, names, n_words, hits, [x["items"] if x else [] for x in found])
+
+    return marked.mapInArrow(tell, _schema(docs))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
