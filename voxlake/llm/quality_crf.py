@@ -23,6 +23,8 @@ from .mixing import SPACE
 
 #: Labelled documents that the chain is fitted on, at most, and lines of a training chain (longer documents give several chains).
 SAMPLE, CHAIN = 6000, 40
+#: Lines that it is fitted on, at most, 52 bytes each: of a longer document the sample has only this many divided by SAMPLE, evenly spread chains of it.
+SAMPLE_LINES = 1 << 19
 FOLDS, HELD_OUT = 3, 1
 ROUNDS, RATE, L2 = 120, 0.1, 1e-3
 
@@ -183,20 +185,33 @@ class LineField:
         return out
 
 
+def _spread(own: np.ndarray, most: int) -> np.ndarray:
+    """All lines, or `most` evenly spread runs of CHAIN of them."""
+    if len(own) <= most * CHAIN:
+        return own
+    begin = np.linspace(0, len(own) - CHAIN, most).astype(np.int64)
+    return own[(begin[:, None] + np.arange(CHAIN)).ravel()]
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> LineField:
-    """Fitted on the lines of at most `sample` labelled documents outside the held-out fold."""
+    """Fitted on the lines of at most `sample` labelled documents outside the held-out fold; of a document with many lines on some of its chains."""
     spark = docs.sparkSession
     small_batches(spark)
     known = labelled_sample(labels, "quality", folds=FOLDS, held_out=HELD_OUT, bound=sample)
     ids = spark.createDataFrame(list(known.items()), "doc_id long, y int")
+    most = max(1, SAMPLE_LINES // (sample * CHAIN))
 
     def tell(batches):
         for b in batches:
-            own, _, bounds = lines(*text_bytes(b.column(0)))
-            cells = [own[s:e].astype(np.float32).tobytes() for s, e in zip(bounds, bounds[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(cells, pa.binary())], names=["y", "own"])
-
-    told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id").select("text", "y").mapInArrow(tell, "y int, own binary").toArrow()
+            data, offsets = text_bytes(b.column(0))
+            cells = []
+            for i, j in chunks(offsets):
+                own, _, bounds = lines(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                cells += [_spread(own[s:e], most).astype(np.float32).tobytes() for s, e in zip(bounds, bounds[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(cells, pa.binary())], names=["doc_id", "y", "own"])
+
+    told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id").select("text", "doc_id", "y").mapInArrow(tell, "doc_id long, y int, own binary")
+    told = told.groupBy("doc_id").agg(F.max(F.struct("y", "own")).alias("x")).select("x.y", "x.own").toArrow()  # one row for each id, whatever number of rows has it
     rows = sorted(zip(told.column("y").to_pylist(), told.column("own").to_pylist(), strict=True))  # whatever the partitioning
     rows = [(y, np.frombuffer(x, np.float32).reshape(-1, FEATURES)) for y, x in rows if x]
     bounds = np.concatenate([[0], np.cumsum([len(x) for _, x in rows], dtype=np.int64)]).astype(np.int64)
