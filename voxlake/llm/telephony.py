@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import small_batches, store
 
 RATE, OUT_RATE, ALIGN = 8000, 16000, 64
 SLICE = 1 << 20
@@ -174,19 +174,19 @@ def spans_of(pcm: np.ndarray, bounds: np.ndarray) -> list[str]:
     return [f"{p}.{m}.{c}" for p, m, c in zip(peak.tolist(), mean.tolist(), cross.tolist(), strict=True)]
 
 
-def features(payloads: list[bytes], rate: int = RATE) -> list[str]:
-    """Of each payload (a positive multiple of 64 bytes): what it sounds like as mu-law, A-law and ADPCM, and the resampled mu-law PCM's crc32."""
+def features(payloads: list[bytes], pcm: list[bytes] | None = None) -> list[str]:
+    """Of each payload (a positive multiple of 64 bytes) and its resampled PCM (made here if it isn't given): what it sounds like as mu-law, A-law and ADPCM, and the PCM's crc32."""
+    pcm = pcm or [resample(MULAW_TABLE[np.frombuffer(x, np.uint8)], RATE, OUT_RATE).astype("<i2").tobytes() for x in payloads]
     raw = np.frombuffer(b"".join(payloads), np.uint8)
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in payloads], dtype=np.int64)])
     mulaw = MULAW_TABLE[raw]
     adpcm, per_block = pcm_of(IMA, ALIGN, raw), 2 * (ALIGN - 4) + 1
-    crc = [zlib.crc32(resample(mulaw[s:e], rate, OUT_RATE).astype("<i2").tobytes()) for s, e in zip(bounds, bounds[1:], strict=False)]
-    told = zip(spans_of(mulaw, bounds), spans_of(ALAW_TABLE[raw], bounds), spans_of(adpcm, bounds // ALIGN * per_block), crc, strict=True)
+    told = zip(spans_of(mulaw, bounds), spans_of(ALAW_TABLE[raw], bounds), spans_of(adpcm, bounds // ALIGN * per_block), map(zlib.crc32, pcm), strict=True)
     return [f"mulaw={m};alaw={a};ima={i};pcm16k={c:08x}" for m, a, i, c in told]
 
 
 def digests(media: DataFrame) -> DataFrame:
-    """What the stored files hold: the payload read back, its hashes, the file's, and features."""
+    """What the stored files hold: the payload read back, its hashes, the file's, and features of it and of the resampled PCM."""
     small_batches(media.sparkSession)
     schema = T.StructType([
         media.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("payload_bytes", T.LongType()), T.StructField("payload_sha256", T.StringType()),
@@ -196,12 +196,12 @@ def digests(media: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             files = b.column(2).to_pylist()
-            data = [parse(x)[3] for x in files]
+            data, pcm = [parse(x)[3] for x in files], [parse(x)[3] for x in b.column(3).to_pylist()]
             size = np.cumsum([0, *map(len, data)])
             told, i = [], 0
             while i < len(data):
                 j = max(i + 1, int(np.searchsorted(size, size[i] + SLICE, side="right")) - 1)
-                told += features(data[i:j])
+                told += features(data[i:j], pcm[i:j])
                 i = j
             sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string())
             long = lambda xs: pa.array(list(xs), pa.int64())
@@ -210,9 +210,13 @@ def digests(media: DataFrame) -> DataFrame:
                 names=schema.names,
             )
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
+    return media.select("doc_id", "n_bytes", "media", "pcm").mapInArrow(run, schema)
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per document: sizes and hashes of its stored form, and its feature. Null and empty texts are 64 zero bytes; repeated rows have equal values."""
-    return digests(stored(docs))
+    """One row per document: sizes and hashes of its stored form, and its feature. Null and empty texts are 64 zero bytes; repeated rows have equal values.
+
+    The files are written and read again, decoded, and written with their resampled PCM, from which the features are told.
+    """
+    media = store(stored(docs), compression="zstd")
+    return digests(store(decoded(media).select("doc_id", "n_bytes", "media", "pcm"), compression="zstd"))
