@@ -125,7 +125,7 @@ def disclosing(base: DataFrame, held: DataFrame, found: DataFrame, docs: DataFra
     if not both.take(1):
         return both.select("entity", "term", F.lit(1.0).alias("share"))
     asked = store(both.select("term").distinct())
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    words = docs.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lower))).alias("term"))
     if asked.count() <= BROADCAST_TERMS:
         frequency = words.join(F.broadcast(asked), "term").groupBy("term").agg(F.count("*").alias("n_term"))
     else:
