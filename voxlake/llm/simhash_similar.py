@@ -42,6 +42,8 @@ FLIP = _draw.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 TIMES = _draw.integers(0, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
 #: Members of a subtree that are scanned at once.
 LEAF = 64
+#: Ids that are looked up by broadcast, at most: some 50 bytes each in an executor.
+BROADCAST_IDS = 1 << 20
 #: Shingles for which a text counts as one more member of its shard, so that a block's sets stay within some 64 MB.
 HEAVY = 2048
 #: Equal halves of two bytes, by the bytes' exclusive or.
@@ -280,10 +282,15 @@ def _shingled(column: pa.Array, shingle: int) -> list[tuple[int, np.ndarray]]:
     return out
 
 
+def _small(ids: DataFrame) -> DataFrame:
+    """A stored table of ids, to broadcast if it has at most BROADCAST_IDS rows; else it meets whole texts in a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
+
+
 def _texts(docs: DataFrame, classes: DataFrame, asked: DataFrame) -> DataFrame:
     """(class, text) of each class in `asked`, from the document of its smallest doc_id."""
-    ids = classes.select("class", "least").join(asked, "class", "left_semi").select("least").distinct()
-    texts = docs.select("doc_id", "text").join(ids, docs["doc_id"].eqNullSafe(ids["least"]), "left_semi").select("text")
+    ids = store(classes.select("class", "least").join(asked, "class", "left_semi").select("least").distinct())
+    texts = docs.select("doc_id", "text").join(_small(ids), docs["doc_id"].eqNullSafe(ids["least"]), "left_semi").select("text")
 
     def told(batches):
         for b in batches:
@@ -347,4 +354,4 @@ def representatives(docs: DataFrame, **how) -> DataFrame:
     """
     told = groups(docs, **how)
     gone = store(told.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    return docs.join(_small(gone), docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
