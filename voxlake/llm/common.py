@@ -5,19 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..spark import reachable, store, table
+from ..spark import reachable, release, store, stored
+from ..spark import table as read
 
-__all__ = ["crc_fold", "fit_logistic", "free", "in_fold", "labelled_sample", "small_batches", "store", "table"]
+__all__ = ["crc_fold", "fit_logistic", "free", "in_fold", "labelled_sample", "read", "release", "small_batches", "store", "stored", "table"]
 
 #: Rows in a batch that the Parquet reader or Arrow holds: bounds what a JVM or a Python worker has of long texts at once.
 BATCH_ROWS = 256
+SET = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
 
 
 def small_batches(spark: SparkSession) -> None:
     """Batches of BATCH_ROWS texts in the session, instead of 10,000 in Arrow and 4,096 in the Parquet reader, and workers that find this package."""
     reachable(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(BATCH_ROWS))
+    for name in SET:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+_own: dict[int, tuple] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table in a session of its own, with the settings of `spark`: what the operators set for their plans doesn't reach the caller's."""
+    key, parent = id(spark._jsparkSession), spark._jsparkSession
+    if key not in _own or _own[key][0] is not parent or _own[key][1].sparkContext is not spark.sparkContext:
+        _own[key] = parent, SparkSession(spark.sparkContext, parent.cloneSession())
+    own = _own[key][1]
+    for k, v in spark.conf.getAll.items():
+        if k not in SET and own.conf.get(k, None) != v and own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return read(own, sf_dir, name)
 
 
 def free(names: list[str], wish: str) -> str:
