@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.llm import line_dedup, mixing, quality_crf, simhash_similar, winnow
-from voxlake.llm.common import store, table
+from voxlake.llm.common import read, release, store, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -20,7 +20,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field holds for good. The field learns from the labels of `documents`, outside its held-out fold."""
-    field = quality_crf.fit(docs, table(spark, sf_dir, "labels"))
+    field = quality_crf.fit(docs, read(docs.sparkSession, sf_dir, "labels"))
     return quality_crf.with_score(docs.select(*COLUMNS), field).where("score >= 0.5").select(*COLUMNS)
 
 
@@ -37,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of ten words with a benchmark item."""
-    return winnow.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")).where("n_hit = 0").select(*COLUMNS)
+    return winnow.decontaminate(docs.select(*COLUMNS), read(docs.sparkSession, sf_dir, "benchmark")).where("n_hit = 0").select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other. What a stage has written besides its result is deleted when the result is."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        since = stored()
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs = store(docs)
+            release(spark, since, keep=1)
     return docs

@@ -24,9 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a temporary folder only where it names none (tests)."""
+    """The session's spark.checkpoint.dir. Where it names none, a temporary folder if driver and executors are one process, else an error."""
     there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not there:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         there = tempfile.mkdtemp(prefix="voxlake-")
         spark.sparkContext.setCheckpointDir(there)
     return there
@@ -35,19 +38,29 @@ def shared_dir(spark: SparkSession) -> str:
 _stored: list[str] = []
 
 
-def store(df: DataFrame) -> DataFrame:
-    """`df`, written as Parquet to the shared folder and read again: cuts the lineage, and survives a lost executor."""
+def store(df: DataFrame, **options: str) -> DataFrame:
+    """`df`, written as Parquet (with the writer's `options`) to the shared folder and read again: cuts the lineage, and survives a lost executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/voxlake-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Deletes the tables that `store` has written in this process; call it when no result that reads them is needed any more."""
+def stored() -> int:
+    """How many tables `store` has written in this process and not released."""
+    return len(_stored)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Deletes the tables that `store` has written in this process, from the `since`-th on but for the last `keep`.
+
+    Call it when no result that reads them is needed any more.
+    """
     conf, n = spark._jsc.hadoopConfiguration(), 0
-    while _stored:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+    paths = _stored[since : len(_stored) - keep]
+    _stored[since : len(_stored) - keep] = []
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n
