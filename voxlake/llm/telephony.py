@@ -216,7 +216,6 @@ def digests(media: DataFrame) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: sizes and hashes of its stored form, and its feature. Null and empty texts are 64 zero bytes; repeated rows have equal values.
 
-    The files are written and read again, decoded, and written with their resampled PCM, from which the features are told.
+    The files are written and read again, then decoded; the features are told from the payload and the resampled PCM of what was read. `decoded` gives the PCM as a column to store.
     """
-    media = store(stored(docs), compression="zstd")
-    return digests(store(decoded(media).select("doc_id", "n_bytes", "media", "pcm"), compression="zstd"))
+    return digests(decoded(store(stored(docs), compression="zstd")))

@@ -94,15 +94,30 @@ def events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.where(word, codes, 0), starts, ends, at
 
 
-def pairs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of each word and of the one before it in its text (0 for the first); bounds of each text's words."""
-    data = LOWER[data]
-    starts, ends = runs(WORD[data], offsets)
-    words, bounds = span_hashes(data, starts, ends).view(np.int64), word_ranges(starts, offsets)
-    before = np.zeros(len(words), np.int64)
-    before[1:] = words[:-1]
-    before[bounds[:-1][bounds[:-1] < len(words)]] = 0
-    return before, words, bounds
+class Spoken:
+    """The words of texts end to end: hashes of each and of the one before it in its text (0 for the first), bounds of each text's words, and the distinct words, by letter."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        data = LOWER[data]
+        starts, ends = runs(WORD[data], offsets)
+        self.words, self.bounds = span_hashes(data, starts, ends).view(np.int64), word_ranges(starts, offsets)
+        self.before = np.zeros(len(starts), np.int64)
+        self.before[1:] = self.words[:-1]
+        self.before[self.bounds[:-1][self.bounds[:-1] < len(starts)]] = 0
+        _, first, self.kind = np.unique(self.words, return_index=True, return_inverse=True)
+        size = ends[first] - starts[first]
+        shift = np.concatenate([[0], np.cumsum(size + 1)]).astype(np.int64)
+        letters = np.full(shift[-1], 0x20, np.uint8)
+        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        letters[np.repeat(shift[:-1], size) + inside] = data[np.repeat(starts[first], size) + inside]
+        codes, begin, end, _ = events(letters, np.array([0, len(letters)]))
+        #: Grams of the distinct words' letters, and of which word each is.
+        self.codes, self.of = codes[codes > 0], np.repeat(np.arange(len(begin)), end - begin)
+        self.size = end - begin
+
+    def summed(self, of_letters: np.ndarray) -> np.ndarray:
+        """For each word the sum of its letters' values."""
+        return np.bincount(self.of, of_letters, len(self.size))[self.kind]
 
 
 def pair_key(before: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -198,22 +213,14 @@ class Toxicity:
         data, offsets = text_bytes(column)
         out = np.zeros((len(offsets) - 1, FEATURES))
         for i, j in chunks(offsets):
-            part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-            codes, starts, ends, of = events(part, at)
-            total, some = np.zeros(len(codes) + 1), codes > 0
-            each = np.zeros(len(codes))
-            each[some] = self.letters.ratios(codes[some])
-            np.cumsum(each, out=total[1:])
-            spelled, bounds = total[ends] - total[starts], word_ranges(starts, of)
-            before, words, also = pairs_of(part, at)
-            said = self.words.ratios(before, words).astype(np.float64)
+            said = Spoken(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            spelled, letters = said.summed(self.letters.ratios(said.codes)), said.size[said.kind]
+            pairs = self.words.ratios(said.before, said.words).astype(np.float64)
             for t in range(j - i):
-                own, pair = spelled[bounds[t] : bounds[t + 1]], said[also[t] : also[t + 1]]
-                if len(own):
-                    letters = (ends[bounds[t] : bounds[t + 1]] - starts[bounds[t] : bounds[t + 1]]).sum()
-                    out[i + t, :4] = 100 * own.sum() / letters, own.sum() / np.sqrt(len(own)), own.max(), _top(own)
-                if len(pair):
-                    out[i + t, 4:] = 10 * pair.sum() / len(pair), pair.sum() / np.sqrt(len(pair)), pair.max(), _top(pair)
+                own = slice(said.bounds[t], said.bounds[t + 1])
+                x, y = spelled[own], pairs[own]
+                if len(x):
+                    out[i + t] = 100 * x.sum() / letters[own].sum(), x.sum() / np.sqrt(len(x)), x.max(), _top(x), 10 * y.sum() / len(y), y.sum() / np.sqrt(len(y)), y.max(), _top(y)
         return out
 
     def score(self, column: pa.Array) -> np.ndarray:
@@ -306,17 +313,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, most: int =
             data, offsets = text_bytes(b.column(1))
             label = np.array([shared.value.get(x, -1) if f != FOLDS - 1 else -1 for x, f in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)])
             for i, j in chunks(offsets):
-                codes, _, _, at = events(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                of = np.repeat(label[i:j], np.diff(at))
-                slot = (codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
-                fresh = np.unique(codes[(recent[slot] != codes) & (of < 0)])
-                recent[slot] = codes
+                said = Spoken(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                slot = (said.codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+                fresh = np.unique(said.codes[recent[slot] != said.codes])
+                recent[slot] = said.codes
                 none = np.zeros(len(fresh), np.int64)
-                yield rows(fresh[fresh > 0], none[fresh > 0], none[fresh > 0])
+                yield rows(fresh, none, none)
+                label_of = np.repeat(label[i:j], np.diff(said.bounds))
                 for y in (0, 1):
-                    mine = codes[(of == y) & (codes > 0)]
-                    if len(mine):
-                        kinds, n = np.unique(mine, return_counts=True)
+                    times = np.bincount(said.kind[label_of == y], minlength=len(said.size))[said.of]
+                    if times.any():
+                        kinds, where = np.unique(said.codes[times > 0], return_inverse=True)
+                        n = np.bincount(where, times[times > 0]).astype(np.int64)
                         yield rows(kinds, n * y, n * (1 - y))
 
     rows = lambda c, t, o: pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(t, pa.int64()), pa.array(o, pa.int64())], names=["gram", "toxic", "ordinary"])
@@ -361,19 +369,13 @@ def _words(sample: DataFrame, letters: Letters, most: int) -> Words:
             data, offsets = text_bytes(b.column(0))
             label = b.column(1).to_numpy()
             for i, j in chunks(offsets):
-                part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                before, words, bounds = pairs_of(part, at)
-                if not len(words):
+                said = Spoken(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                if not len(said.words):
                     continue
-                codes, starts, ends, _ = events(part, at)
-                total, some = np.zeros(len(codes) + 1), codes > 0
-                each = np.zeros(len(codes))
-                each[some] = sent.value.spelled(codes[some])
-                np.cumsum(each, out=total[1:])
-                back = total[ends] - total[starts]
-                y = np.repeat(label[i:j], np.diff(bounds))
-                _, first, where = np.unique(pair_key(before, words), return_index=True, return_inverse=True)
-                cells = [before[first], words[first], np.exp(np.maximum(back[first], -600)), np.bincount(where, y == 1).astype(np.int64), np.bincount(where, y == 0).astype(np.int64)]
+                back = said.summed(sent.value.spelled(said.codes))
+                y = np.repeat(label[i:j], np.diff(said.bounds))
+                _, first, where = np.unique(pair_key(said.before, said.words), return_index=True, return_inverse=True)
+                cells = [said.before[first], said.words[first], np.exp(np.maximum(back[first], -600)), np.bincount(where, y == 1).astype(np.int64), np.bincount(where, y == 0).astype(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in cells], names=["before", "word", "back", "toxic", "ordinary"])
 
     counted = sample.mapInArrow(count, "before long, word long, back double, toxic long, ordinary long")
