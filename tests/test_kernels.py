@@ -140,3 +140,88 @@ def test_spine_necks():
     out, n = stencil.spine_necks(mask, 2, minimum=4)
     assert out[3, 5, 14] > 0 and out[3, 5, 5] == 0 and n >= 1
     assert stencil.spine_necks(np.zeros((3, 3, 3), bool), 1)[1] == 0
+
+
+def volume(spark, dense, low=(0, 0, 0), name="p"):
+    rows = [(*(int(a + b) for a, b in zip(p, low)), int(v)) for p, v in np.ndenumerate(dense)]
+    return spark.createDataFrame(rows, f"z long, y long, x long, {name} long")
+
+
+def gathered(df, shape, low=(0, 0, 0), name="out"):
+    out = np.zeros(shape)
+    for r in df.collect():
+        out[tuple(int(a - b) for a, b in zip((r.z, r.y, r.x), low))] = r[name]
+    return out
+
+
+def test_flooding_equals_one_voxel_at_a_time():
+    import heapq
+
+    for planes in (False, True):
+        image = draw.integers(0, 6, (3, 12, 11)).astype(np.uint8)
+        markers = np.where(draw.random(image.shape) < 0.05, draw.integers(1, 9, image.shape), 0)
+        want, heap, n = markers.copy(), [], 0
+        for z, y, x in sorted(zip(*np.nonzero(markers)), key=lambda p: p[::-1]):
+            heap.append((int(image[z, y, x]), n, (int(z), int(y), int(x))))
+            n += 1
+        heapq.heapify(heap)
+        while heap:
+            level, _, at = heapq.heappop(heap)
+            for s in [s for s in stencil.AXIS_STEPS if not planes or s[0] == 0]:
+                to = tuple(a + b for a, b in zip(at, s))
+                if all(0 <= a < m for a, m in zip(to, want.shape)) and not want[to]:
+                    want[to] = want[at]
+                    heapq.heappush(heap, (max(level, int(image[to])), n, to))
+                    n += 1
+        assert (stencil.watershed(image, markers, planes=planes) == want).all()
+
+
+def test_blocks_smooth_as_the_whole_volume(spark):
+    dense, low = draw.integers(0, 256, (7, 21, 18)), (5, 3, 2)
+    got = gathered(stencil.over_blocks(volume(spark, dense, low), "p", lambda a: stencil.gaussian(a, (0.5, 1, 1)), block=(4, 8, 8), halo=(2, 4, 4)), dense.shape, low)
+    assert np.allclose(got, stencil.gaussian(dense, (0.5, 1, 1)))
+    flat = volume(spark, np.full((4, 9, 9), 200), low)
+    assert np.allclose(gathered(stencil.over_blocks(flat, "p", lambda a: stencil.gaussian(a, (0.5, 1, 1)), block=(4, 8, 8), halo=(2, 4, 4)), (4, 9, 9), low), 200)
+    assert not stencil.label_blocks(flat, "p", lambda a: stencil.segment(a, sigma=(0.5, 1, 1)), block=(4, 8, 8), halo=(3, 5, 5)).where("local > 0").take(1)
+
+
+def test_blocks_have_the_seeds_of_the_whole_volume(spark):
+    dense = draw.integers(0, 256, (6, 20, 20))
+    told = stencil.label_blocks(volume(spark, dense), "p", lambda a: stencil.find_seeds(a, sigma=(0.5, 1, 1))[0], block=(4, 8, 8), halo=(3, 5, 5)).where("own")
+    whole = stencil.find_seeds(dense, sigma=(0.5, 1, 1))[0]
+    assert ((gathered(told, dense.shape, name="local") > 0) == (whole > 0)).all() and whole.max() > 3
+    one = told.where("local > 0").groupBy("block", "local").count().count()
+    assert one >= whole.max()
+
+
+def test_vesicles_across_blocks_equal_the_whole_volume(spark):
+    dense = stencil.gaussian(np.random.default_rng(3).integers(0, 256, (6, 24, 24)), (0.7, 1.5, 1.5))
+    dense = ((dense - dense.min()) / np.ptp(dense) * 255).astype(int)
+    want, n = stencil.vesicle(dense, threshold=165)
+    got = gathered(stencil.vesicles(volume(spark, dense), "p", threshold=165, block=(4, 8, 8)), dense.shape)
+    assert n > 2 and (got == want).all()
+
+
+@pytest.mark.parametrize("share", [0.3, 0.002, 0.0])
+def test_thinned_volume_has_the_nearest_labels(spark, share):
+    dense = np.where(draw.random((5, 18, 17)) < share, draw.integers(1, 9, (5, 18, 17)), 0)
+    fore = np.argwhere(dense)
+    want = dense.copy()
+    if len(fore):
+        for p in np.argwhere(dense == 0):
+            far = ((fore - p) ** 2).sum(1)
+            want[tuple(p)] = min(dense[tuple(q)] for q in fore[far == far.min()])
+    got = stencil.thinned(volume(spark, dense, name="a"), "a", block=(4, 8, 8), halo=2)
+    assert got.count() == dense.size and (gathered(got, dense.shape, name="a") == want).all()
+    assert (stencil.nearest_labels(dense)[0] == want).all()
+
+
+def test_spine_necks_are_what_an_opening_takes():
+    mask = np.zeros((9, 9, 40), bool)
+    mask[1:8, 1:8, 2:12] = mask[1:8, 1:8, 28:38] = True
+    mask[4, 4, 12:28] = True
+    necks, n = stencil.spine_necks(mask, 2.0)
+    assert n >= 1 and len(set(necks[4, 4, 14:26].tolist())) == 1 and (necks[4, 4, 14:26] > 0).all() and not necks[4, 4, 6] and not necks[~mask].any()
+    core = np.argwhere(stencil.distance_transform(np.pad(mask, 1))[1:-1, 1:-1, 1:-1] > 2.0)
+    for p in np.argwhere(necks):
+        assert ((core - p) ** 2).sum(1).min() > 4

@@ -41,7 +41,7 @@ def subvolumes(producers: DataFrame, readers: DataFrame) -> DataFrame:
     """
     met = range_join(producers, readers)
     two = Box(met, "r_")
-    cuts = [F.sort_array(F.array_distinct(F.filter(F.flatten(F.collect_list(F.array(two.low[a], two.high[a], F.col(f"l_{a}"), F.col(f"l_{a}1")))), lambda c: c.isNotNull()))).alias(a) for a in AXES]
+    cuts = [F.sort_array(F.array_distinct(F.filter(F.flatten(F.collect_set(F.array(two.low[a], two.high[a], F.col(f"l_{a}"), F.col(f"l_{a}1")))), lambda c: c.isNotNull()))).alias(a) for a in AXES]
     per = met.groupBy(F.col("l_id").alias("producer"), *[F.col(f"l_{c}") for c in BOX]).agg(*cuts)
     inside = lambda a: F.filter(a, lambda c: (c >= F.col(f"l_{a}")) & (c <= F.col(f"l_{a}1")))
     for a in AXES:

@@ -83,3 +83,36 @@ def shortest_paths(edges: DataFrame, cost: DataFrame, source: DataFrame, *, dept
             break
         best = store(best.unionByName(front).groupBy("node").agg(F.min("distance").alias("distance")))
     return best
+
+
+def both_ways(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(u, v): every edge forward and backward, and every node with itself, once."""
+    back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+    return edges.select("u", "v").unionByName(back).unionByName(nodes.select(F.col("node").alias("u"), F.col("node").alias("v"))).distinct()
+
+
+def assigned_after(counts: DataFrame, merged: DataFrame) -> DataFrame:
+    """(label, other, n): each label's best match after merges (node, root), from overlap counts (label, other, n) before them; of equal ones the smallest other. Voxels aren't read again."""
+    to = merged.select(F.col("node").alias("label"), "root")
+    summed = counts.join(to, "label", "left").groupBy(F.coalesce("root", "label").alias("label"), "other").agg(F.sum("n").alias("n"))
+    best = summed.groupBy("label").agg(F.max(F.struct("n", (-F.col("other")).alias("rank"))).alias("m"))
+    return best.select("label", (-F.col("m.rank")).alias("other"), F.col("m.n").alias("n"))
+
+
+def reassigned(nodes: DataFrame, steps: list[DataFrame]) -> DataFrame:
+    """(node, label): where each node is after the steps (node, root), one after the other; a node that a step doesn't name stays."""
+    told = nodes.select("node", F.col("node").alias("label"))
+    for step in steps:
+        to = step.select(F.col("node").alias("label"), "root")
+        told = told.join(to, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    return told
+
+
+def history(nodes: DataFrame, steps: list[DataFrame]) -> DataFrame:
+    """(label, node): what each label has taken in."""
+    return reassigned(nodes, steps).where("label <> node").select("label", "node")
+
+
+def split(told: DataFrame, apart: DataFrame) -> DataFrame:
+    """(node, label) with the labels of the nodes in `apart` (node, piece) replaced."""
+    return told.join(apart, "node", "left").select("node", F.coalesce("piece", "label").alias("label"))

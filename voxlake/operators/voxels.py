@@ -141,22 +141,28 @@ def repaired(voxels: DataFrame, label: str, broken: Sequence[int], repair: DataF
     return kept.join(fix, list(KEYS), "left").select(*KEYS, F.coalesce("fix", label).alias(label))
 
 
+#: Steps (z, y, x) to half of a voxel's neighbours: the 4 of its plane, the 6 with which it shares a face, the 18 with which it shares a face or an edge.
+PLANE_STEPS = ((0, 1, 0), (0, 0, 1))
+FACE_STEPS = ((1, 0, 0), *PLANE_STEPS)
+SIDE_STEPS = (*FACE_STEPS, (0, 1, 1), (0, 1, -1), (1, 0, 1), (1, 0, -1), (1, 1, 0), (1, -1, 0))
+
+
 def plane_components(voxels: DataFrame, label: str) -> DataFrame:
     """(z, y, x, root): each plane's 4-connected pieces of one label, named by their smallest place; background has none."""
-    return _components(voxels, label, (("y", 1), ("x", 1)))
+    return pieces(voxels, label, PLANE_STEPS)
 
 
 def volume_components(voxels: DataFrame, label: str) -> DataFrame:
     """(z, y, x, root): 6-connected pieces of one label in the whole volume."""
-    return _components(voxels, label, (("z", 1), ("y", 1), ("x", 1)))
+    return pieces(voxels, label, FACE_STEPS)
 
 
-def _components(voxels: DataFrame, label: str, steps) -> DataFrame:
+def pieces(voxels: DataFrame, label: str, steps: Sequence[tuple[int, int, int]]) -> DataFrame:
+    """(z, y, x, root): pieces of one label that the steps connect, named by their smallest place."""
     from .components import components
 
     own = voxels.where(F.col(label) != 0).select(*KEYS, F.col(label).alias("l"), F.struct(*KEYS).alias("node"))
-    links = own.select(F.col("node").alias("u"), F.col("node").alias("v"))
-    for axis, by in steps:
-        moved = own.select(*[(F.col(c) + (by if c == axis else 0)).alias(c) for c in KEYS], "l", F.col("node").alias("before"))
-        links = links.unionByName(own.join(moved, [*KEYS, "l"]).select(F.col("node").alias("u"), F.col("before").alias("v")))
-    return components(links).select("node.*", F.col("root"))
+    around = F.explode(F.array(*[F.struct(*[F.lit(by).cast("long").alias(c) for c, by in zip(KEYS, step, strict=True)]) for step in steps])).alias("d")
+    moved = own.select(*KEYS, "l", F.col("node").alias("before"), around).select(*[(F.col(c) + F.col(f"d.{c}")).alias(c) for c in KEYS], "l", "before")
+    met = own.join(moved, [*KEYS, "l"]).select(F.col("node").alias("u"), F.col("before").alias("v"))
+    return components(met.unionByName(own.select(F.col("node").alias("u"), F.col("node").alias("v")))).select("node.*", F.col("root"))

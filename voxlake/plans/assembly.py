@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,34 +125,13 @@ def boundary_agreement(spark, d):
     return rounded(all_.agg(share("ea", "neb").alias("precision"), share("eb", "nea").alias("recall")), "precision", "recall")
 
 
-def label_blocks(voxels: DataFrame, value: str, kernel, *, block: tuple[int, int, int], halo: tuple[int, int, int]) -> DataFrame:
-    """(block, z, y, x, local, own): a labelling of every block with its halo; `own` marks the block's own voxels."""
-    df = voxels.select("z", "y", "x", F.col(value).cast("double").alias("v"))
-    for c, b, h in zip("zyx", block, halo, strict=True):
-        df = df.withColumn(f"b{c}", F.explode(F.sequence(F.floor((F.col(c) - h) / b), F.floor((F.col(c) + h) / b))))
-
-    def run(rows: pa.Table) -> pa.Table:
-        z, y, x, v = (rows.column(n).to_numpy() for n in ("z", "y", "x", "v"))
-        at = [int(rows.column(f"b{c}")[0].as_py()) for c in "zyx"]
-        low = [a * b - h for a, b, h in zip(at, block, halo, strict=True)]
-        dense = np.full([b + 2 * h for b, h in zip(block, halo, strict=True)], 255.0)
-        dense[z - low[0], y - low[1], x - low[2]] = v
-        local = np.asarray(kernel(dense))[z - low[0], y - low[1], x - low[2]].astype(np.int64)
-        own = np.ones(len(z), bool)
-        for p, a, b in zip((z, y, x), at, block, strict=True):
-            own &= (p >= a * b) & (p < (a + 1) * b)
-        return pa.table({"block": ["_".join(map(str, at))] * len(z), "z": z, "y": y, "x": x, "local": local, "own": own})
-
-    return df.groupBy("bz", "by", "bx").applyInArrow(run, "block string, z long, y long, x long, local long, own boolean")
-
-
 @query()
 def global_segmentation(spark, d):
     """From probabilities to global labels: blocks segmented with their halos, joined where they overlap, renumbered, and told for each voxel."""
     from ..spark import store
 
     kernel = lambda a: stencil.segment(a, sigma=(0.5, 1, 1))
-    local = store(label_blocks(view(spark, d, "vox"), "p", kernel, block=(8, 32, 32), halo=(0, 4, 4)))
+    local = store(stencil.label_blocks(view(spark, d, "vox"), "p", kernel, block=(8, 32, 32), halo=(0, 4, 4)))
     mapping = agglomerate.merged_blocks(local)
     return local.where("own").join(mapping, ["block", "local"], "left").select("z", "y", "x", F.coalesce("global", F.lit(0)).alias("global"))
 

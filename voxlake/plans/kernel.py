@@ -29,24 +29,31 @@ def distance_transform(spark, d):
     return stencil.over_blocks(view(spark, d, "vox"), "p", kernel, block=BLOCK, halo=(2, 8, 8))
 
 
+def _labelled(spark, d, kernel, halo):
+    """(block, z, y, x, out): a block's own labels, which are told apart by the block's name."""
+    told = stencil.label_blocks(view(spark, d, "vox"), "p", kernel, block=(8, 32, 32), halo=halo)
+    return told.where("own").select("block", *KEYS, F.col("local").alias("out"))
+
+
 @query()
 def watershed_segments(spark, d):
-    return stencil.over_blocks(view(spark, d, "vox"), "p", lambda a: stencil.segment(a, sigma=(0.5, 1, 1)).astype(float), block=(8, 32, 32), halo=(0, 4, 4), kind="long")
+    return _labelled(spark, d, lambda a: stencil.segment(a, sigma=(0.5, 1, 1)), (3, 5, 5))
 
 
 @query()
 def seeds(spark, d):
-    return stencil.over_blocks(view(spark, d, "vox"), "p", lambda a: stencil.find_seeds(a, sigma=(0.5, 1, 1))[0].astype(float), block=(8, 32, 32), halo=(0, 4, 4), kind="long")
+    return _labelled(spark, d, lambda a: stencil.find_seeds(a, sigma=(0.5, 1, 1))[0], (3, 5, 5))
 
 
 @query()
 def vesicles(spark, d):
-    return stencil.over_blocks(view(spark, d, "vox"), "p", lambda a: stencil.vesicle(a, threshold=140)[0].astype(float), block=(8, 32, 32), halo=(0, 4, 4), kind="long")
+    return stencil.vesicles(view(spark, d, "vox"), "p", threshold=140)
 
 
-@query()
+@query("""WITH f AS (SELECT * FROM vox WHERE a <> 0), g AS (SELECT c.z, c.y, c.x, f.a, row_number() OVER (PARTITION BY c.z, c.y, c.x ORDER BY (f.z - c.z) * (f.z - c.z) + (f.y - c.y) * (f.y - c.y) + (f.x - c.x) * (f.x - c.x), f.a) AS k
+FROM vox c JOIN f ON abs(f.z - c.z) <= 16 AND abs(f.y - c.y) <= 16 AND abs(f.x - c.x) <= 16 WHERE c.a = 0) SELECT z, y, x, a FROM f UNION ALL SELECT z, y, x, a FROM g WHERE k = 1""", "vox")
 def thin_boundaries(spark, d):
-    return stencil.over_blocks(view(spark, d, "vox"), "a", lambda a: stencil.thin_boundaries(a), block=BLOCK, halo=(0, 4, 4), kind="long")
+    return stencil.thinned(view(spark, d, "vox"), "a", block=BLOCK)
 
 
 @query()
@@ -162,10 +169,10 @@ def skeletons(spark, d):
         mask[z - low[0], y - low[1], x - low[2]] = True
         nodes = stencil.skeleton(mask)
         cells_ = list(zip(*nodes, strict=True))
-        return pa.table({"label": [rows.column("a")[0].as_py()] * len(nodes), "block": [rows.column("block")[0].as_py()] * len(nodes), "node": cells_[0], **{c: [int(p + s) for p in v] for c, v, s in zip(KEYS, cells_[1:4], low, strict=True)}, "radius": cells_[4], "parent": cells_[5]})
+        return pa.table({"label": [rows.column("a")[0].as_py()] * len(nodes), "block": pa.array([rows.column("block")[0].as_py()] * len(nodes), pa.string()), "node": cells_[0], **{c: [int(p + s) for p in v] for c, v, s in zip(KEYS, cells_[1:4], low, strict=True)}, "radius": cells_[4], "parent": cells_[5]})
 
-    vox = view(spark, d, "vox").where("a <> 0").withColumn("block", F.floor(F.col("y") / 16) * 4 + F.floor(F.col("x") / 16))
-    return vox.select("a", "block", *KEYS).groupBy("a", "block").applyInArrow(run, "label long, block long, node long, z long, y long, x long, radius double, parent long")
+    vox = view(spark, d, "vox").where("a <> 0").withColumn("block", F.concat_ws("_", F.floor(F.col("y") / 16).cast("string"), F.floor(F.col("x") / 16).cast("string")))
+    return vox.select("a", "block", *KEYS).groupBy("a", "block").applyInArrow(run, "label long, block string, node long, z long, y long, x long, radius double, parent long")
 
 
 @query()

@@ -6,7 +6,7 @@ import json
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.boxes import Box
@@ -67,6 +67,21 @@ def loading_plan(plan: str, plan_id: int, done_files: list[str]) -> str:
     return json.dumps(doc | {"loading_plan_id": plan_id, "dataset_done_files": done_files}, sort_keys=True)
 
 
+def loading_plans(plans: DataFrame, plan_id: Column, done_files: Column) -> DataFrame:
+    """(value): the loading plan of each storage plan in `plan`, as JSON."""
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([loading_plan(r["plan"], r["id"], r["done"]) for r in b.to_pylist()], pa.string())], names=["value"])
+
+    return plans.select("plan", plan_id.alias("id"), done_files.alias("done")).mapInArrow(run, "value string")
+
+
+def find_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """(path, length) of the files under a folder whose names match, by a recursive listing; their contents aren't read."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder).select("path", "length")
+
+
 def read_plans(spark: SparkSession, path: str) -> DataFrame:
     """(plan columns, volume, path) of JSON plans, a row a block."""
     plans = spark.read.option("multiLine", True).json(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,21 +18,29 @@ def synapse_rows(documents: DataFrame) -> DataFrame:
     return documents.select(F.explode(zipped).alias("r")).select("r.*")
 
 
-def synapse_document(rows: DataFrame, order: str = "id") -> DataFrame:
-    """One JSON document of columns, in the order given."""
-    one = rows.agg(F.array_sort(F.collect_list(F.struct(order, "neuron_1", "neuron_2", "score", "x", "y", "z"))).alias("r"))
+def synapse_document(rows: DataFrame, order: str = "id", by: Sequence = ()) -> DataFrame:
+    """A JSON document of columns, in the order given: one of all rows, or one for each value of `by`. A document is a row, so `by` has to bound it in a large table."""
+    one = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(order, "neuron_1", "neuron_2", "score", "x", "y", "z"))).alias("r"))
     pick = lambda c: F.transform("r", lambda s: s[c])
     centre = F.struct(*[pick(c).alias(c) for c in "xyz"]).alias("synapse_center")
     return one.select(F.to_json(F.struct(pick("neuron_1").alias("neuron_1"), pick("neuron_2").alias("neuron_2"), pick("score").alias("score"), centre)).alias("document"))
 
 
-def connection_document(pairs: DataFrame, areas_1: DataFrame, areas_2: DataFrame) -> DataFrame:
-    """One JSON document of the connections between two blocks: pairs and counts, and each block's labels and areas."""
-    p = pairs.agg(F.array_sort(F.collect_list(F.struct("a", "b", "n"))).alias("p"))
-    side = lambda df, c: df.agg(F.array_sort(F.collect_list(F.struct("label", "area"))).alias(c))
-    all_ = p.crossJoin(side(areas_1, "one")).crossJoin(side(areas_2, "two"))  # one row each
+def _met(by: Sequence[str], *parts: DataFrame) -> DataFrame:
+    """Parts with a row for each value of `by` (one row without) side by side."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, list(by), "full") if by else out.crossJoin(p)
+    return out
+
+
+def connection_document(pairs: DataFrame, areas_1: DataFrame, areas_2: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, document): a JSON document of the connections between two blocks: pairs and counts, and each block's labels and areas."""
+    p = pairs.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("a", "b", "n"))).alias("p"))
+    side = lambda df, c: df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("label", "area"))).alias(c))
+    all_ = _met(by, p, side(areas_1, "one"), side(areas_2, "two"))
     labels = lambda c: F.struct(F.transform(c, lambda s: s["label"]).alias("labels"), F.transform(c, lambda s: s["area"]).alias("areas"))
-    return all_.select(F.to_json(F.struct(F.transform("p", lambda s: F.array(s["a"], s["b"])).alias("connections"), F.transform("p", lambda s: s["n"]).alias("counts"), labels("one").alias("1"), labels("two").alias("2"))).alias("document"))
+    return all_.select(*by, F.to_json(F.struct(F.transform("p", lambda s: F.array(s["a"], s["b"])).alias("connections"), F.transform("p", lambda s: s["n"]).alias("counts"), labels("one").alias("1"), labels("two").alias("2"))).alias("document"))
 
 
 def united(frames: list[DataFrame], excluded: tuple[str, ...] = ()) -> DataFrame:
@@ -45,11 +54,11 @@ def united(frames: list[DataFrame], excluded: tuple[str, ...] = ()) -> DataFrame
 RAG = "nodes array<struct<node:long,size:long>>, edges array<struct<u:long,v:long,size:long,weight:double>>"
 
 
-def rag_document(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """One JSON document of a region graph."""
-    n = nodes.agg(F.array_sort(F.collect_list(F.struct("node", "size"))).alias("nodes"))
-    e = edges.agg(F.array_sort(F.collect_list(F.struct("u", "v", "size", "weight"))).alias("edges"))
-    return n.crossJoin(e).select(F.to_json(F.struct("nodes", "edges")).alias("document"))  # one row each
+def rag_document(nodes: DataFrame, edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, document): a JSON document of a region graph, one of the whole or one for each value of `by`."""
+    n = nodes.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("node", "size"))).alias("nodes"))
+    e = edges.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("u", "v", "size", "weight"))).alias("edges"))
+    return _met(by, n, e).select(*by, F.to_json(F.struct("nodes", "edges")).alias("document"))
 
 
 def rag_tables(documents: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -79,19 +79,28 @@ def unpack_labels(pixels: np.ndarray) -> np.ndarray:
 def read_png_stack(spark: SparkSession, path: str, *, glob: str = "*.png") -> DataFrame:
     """(z, y, x, value) of PNG planes whose names hold x_y_z, as 0001_0002_0003.png."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    named = files.select(F.regexp_extract_all("path", F.lit(r"(\d+)_(\d+)_(\d+)\.png$"), F.lit(0)).alias("m"), "content").where(F.size("m") > 0)
-    named = named.select(*[F.regexp_extract(F.col("m")[0], r"(\d+)_(\d+)_(\d+)", i + 1).cast("long").alias(c) for i, c in enumerate("xyz")], "content")
+    return png_voxels(files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"))
+
+
+def png_voxels(planes: DataFrame) -> DataFrame:
+    """(z, y, x, value) of PNG tiles (name, content) whose names end in x_y_z."""
+    place = r"(\d+)_(\d+)_(\d+)\.png$"
+    named = planes.where(F.col("name").rlike(place)).select(*[F.regexp_extract("name", place, i + 1).cast("long").alias(c) for i, c in enumerate("xyz")], "content")
 
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
                 v = unpack_labels(decode_png(row["content"]))
                 y, x = np.indices(v.shape)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(v.size, row["z"])), pa.array(y.ravel() + row["y"]), pa.array(x.ravel() + row["x"]), pa.array(v.ravel())], names=["z", "y", "x", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(v.size, row["z"])), pa.array(y.ravel() + row["y"]), pa.array(x.ravel() + row["x"]), pa.array(v.ravel().astype(np.int64))], names=["z", "y", "x", "value"])
 
     return named.mapInArrow(run, "z long, y long, x long, value long")
 
 
+#: Voxels in an Arrow batch.
+BATCH = 1 << 18
+
+
 class PlaneTile(InputPartition):
     def __init__(self, z: int, y: int, x: int, height: int, width: int):
         self.z, self.y, self.x, self.height, self.width = z, y, x, height, width
@@ -102,7 +111,10 @@ class TileReader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[PlaneTile]:
-        x, y, z, w, h, d = (int(self.options[k]) for k in ("x", "y", "z", "width", "height", "depth"))
+        """Of the box that the options name; what they leave out is the channel's extent as the server tells it."""
+        names = ("x", "y", "z", "width", "height", "depth")
+        told = {} if all(n in self.options for n in names) else channel_extent(self.options["url"], self.options["channel"])
+        x, y, z, w, h, d = (int(self.options[n] if n in self.options else told.get(n, 0)) for n in names)
         side = int(self.options.get("tile", 2048))
         return [PlaneTile(k, j, i, min(side, y + h - j), min(side, x + w - i)) for k in range(z, z + d) for j in range(y, y + h, side) for i in range(x, x + w, side)]
 
@@ -112,8 +124,10 @@ class TileReader(DataSourceReader):
         query |= {"x": part.x, "y": part.y, "z": part.z, "width": part.width, "height": part.height, "format": "png", "view": "grayscale"}
         with urllib.request.urlopen(f"{self.options['url'].rstrip('/')}/data?{urllib.parse.urlencode(query)}", timeout=float(self.options.get("timeout", 60))) as got:  # an HTTP error raises
             v = unpack_labels(decode_png(got.read()))
-        for (j, i), value in np.ndenumerate(v):
-            yield part.z, part.y + j, part.x + i, int(value)
+        y, x = (a.ravel() for a in np.indices(v.shape))
+        for k in range(0, v.size, BATCH):
+            cells = [np.full(len(y[k : k + BATCH]), part.z), part.y + y[k : k + BATCH], part.x + x[k : k + BATCH], v.ravel()[k : k + BATCH].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=["z", "y", "x", "value"])
 
 
 class TileSource(DataSource):

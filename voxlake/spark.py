@@ -38,12 +38,18 @@ def shared_dir(spark: SparkSession) -> str:
 _stored: list[str] = []
 
 
+def place(spark: SparkSession) -> str:
+    """A new path in the shared folder, which `release` deletes with the stored tables."""
+    path = f"{shared_dir(spark)}/voxlake-{uuid.uuid4().hex}"
+    _stored.append(path)
+    return path
+
+
 def store(df: DataFrame, **options: str) -> DataFrame:
     """`df`, written as Parquet (with the writer's `options`) to the shared folder and read again: cuts the lineage, and survives a lost executor."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voxlake-{uuid.uuid4().hex}"
+    path = place(spark)
     df.write.options(**options).parquet(path)
-    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
