@@ -8,8 +8,10 @@
    gap is wide, and a bounded knapsack over bitsets of reachable sums closes the gap, in units of several words first where it is wider than `REACH`.
 4. Of each length the asked number of documents is selected in the order of a seeded hash.
 
-Scale: no document row meets others but by (source, length, bucket of the hash): a group of equal lengths,
-which may hold a third of all rows, is ranked in `BUCKETS` cells, whose quotas follow from their counts. A source's plan sees its histogram of lengths (at most sqrt(2 x words) distinct ones), never rows.
+Scale: a group of equal lengths, which may hold a third of all rows, is cut by bits of the hash: of its `BUCKETS` cells those before the one in which its
+quota runs out are taken whole, those after it not at all, and that one is cut again by the next bits until it has at most `RANKED` rows to rank. So
+what is ranked is bounded however large the group, and each level reads a part in `BUCKETS` of the rows before it. Rows of equal id are told apart by a number that the task gives them: they are equal, so
+it doesn't matter which of them are taken. Quotas meet the rows by broadcast if there are at most `BROADCAST_QUOTAS`, else salted. A source's plan sees its histogram of lengths (at most sqrt(2 x words) distinct ones), never rows.
 The driver holds one number per source.
 """
 
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -28,8 +30,11 @@ WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2.0
 SEED = 20
 
-#: Groups of one source and length of over RANKED documents are ranked in BUCKETS cells.
-RANKED, BUCKETS = 256, 128
+#: Groups of one source and length of over RANKED documents are cut into BUCKETS cells (2 ** BITS), again and again.
+RANKED, BITS = 256, 7
+BUCKETS = 1 << BITS
+#: Quotas that are broadcast, at most, some 100 bytes each, and the parts into which the rows of one are dealt beyond that.
+BROADCAST_QUOTAS, SALTS = 1 << 17, 32
 NAMES = ["source", "size", "n", "quota", "repeats", "source_size", "target"]
 
 #: Sums up to this are fitted exactly by the knapsack.
@@ -170,7 +175,7 @@ def mix(docs: DataFrame, *, share: float = SHARE, most: float = MOST, seed: int
     sized = store(
         with_size(docs.select("doc_id", "source", "text")).select(
             "doc_id", "source", "size",
-            F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed)).alias("h"),
+            F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed)).alias("h"), F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)).alias("own"),
         )
     )
     per_length = store(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
@@ -186,19 +191,43 @@ def mix(docs: DataFrame, *, share: float = SHARE, most: float = MOST, seed: int
         return pa.table([rows.column("source"), rows.column("size"), rows.column("n"), pa.array(fit(sizes, n, rest)), same(repeats, pa.int64()), same(source_size, pa.int64()), same(target, pa.float64())], names=NAMES)
 
     quotas = store(per_length.groupBy("source").applyInArrow(fitted, "source string, size long, n long, quota long, repeats long, source_size long, target double"))
-    same = lambda a, b, *names: [a[n].eqNullSafe(b[n]) for n in names]
-    rows = store(sized.join(quotas.hint("shuffle_merge"), same(sized, quotas, "source", "size")).select("doc_id", "h", *[quotas[n] for n in NAMES]).withColumn(
-        "bucket", F.when((F.col("quota") == 0) | (F.col("quota") == F.col("n")), -1).when(F.col("n") <= RANKED, 0).otherwise(F.pmod(F.shiftright("h", 20), F.lit(BUCKETS)).cast("int"))
-    ))
-
-    key = ["source", "size", "bucket"]
-    cells = rows.where("bucket >= 0 and n > quota").groupBy(*key).agg(F.count("*").alias("m"), F.first("quota").alias("quota"))
-    before = F.sum("m").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    cells = store(cells.select(*key, F.greatest(F.lit(0), F.least("m", F.col("quota") - F.coalesce(before, F.lit(0)))).alias("some")))
-
+    rows = store(met(sized, quotas, ["source", "size"], [n for n in NAMES if n not in ("source", "size")]))
     out = lambda df, extra: df.select("doc_id", "source", "size", "source_size", "target", ((F.col("repeats") + extra) * F.col("size")).alias("taken"))
-    even = out(rows.where("bucket < 0"), F.when(F.col("quota") > 0, 1).otherwise(0))
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy("h", "doc_id"))
-    ranked = rows.where("bucket >= 0").withColumn("rank", rank)
-    ranked = ranked.join(cells.hint("shuffle_merge"), same(ranked, cells, *key)).select(*[ranked[n] for n in ranked.columns], "some")
-    return even.unionByName(out(ranked, F.when(F.col("rank") <= F.col("some"), 1).otherwise(0)))
+    result = out(rows.where("quota = 0 or quota = n"), F.when(F.col("quota") > 0, 1).otherwise(0))
+    for part, extra in chosen(rows.where("quota > 0 and quota < n")):
+        result = result.unionByName(out(part, extra))
+    return result
+
+
+def met(rows: DataFrame, told: DataFrame, on: list[str], names: list[str]) -> DataFrame:
+    """`rows` with the named columns of `told`, a stored table with one row for each (source, size), nulls equal."""
+    if told.count() <= BROADCAST_QUOTAS:
+        told, more = F.broadcast(told), []
+    else:
+        told, more = told.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("shuffle_merge"), ["salt"]
+        rows = rows.withColumn("salt", F.pmod("own", F.lit(SALTS)).cast("int"))
+    keep = [c for c in rows.columns if c not in names and c not in more]
+    return rows.join(told, [rows[n].eqNullSafe(told[n]) for n in [*on, *more]]).select(*[rows[c] for c in keep], *[told[n] for n in names])
+
+
+def chosen(rows: DataFrame) -> list[tuple[DataFrame, Column]]:
+    """Parts of `rows` (with h, own, n and quota by source and size) and what is added to their repeats: 1 for the `quota` rows of the smallest h in each group."""
+    key, parts, shift = ["source", "size"], [], 64 - BITS
+    large = rows.where(F.col("n") > RANKED)
+    ranked = rows.where(F.col("n") <= RANKED)
+    while large.take(1):
+        large = large.withColumn("bucket", F.shiftrightunsigned("h", shift).bitwiseAND(F.lit(BUCKETS - 1)))
+        cells = large.groupBy(*key, "bucket").agg(F.count("*").alias("m"), F.first("quota").alias("rest"), (F.min("h") == F.max("h")).alias("equal"))
+        before = F.coalesce(F.sum("m").over(Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        cells = cells.withColumn("left", F.col("rest") - before).where("left > 0 and left <= m")  # where the quota runs out: one cell a group
+        cells = store(cells.select(*key, F.col("bucket").alias("cross"), "m", "left", "equal"))
+        cut = store(met(large, cells, key, ["cross", "m", "left", "equal"]))
+        inside = (F.col("bucket") == F.col("cross")) & (F.col("left") < F.col("m"))
+        parts.append((cut.where(~inside), F.when(F.col("bucket") <= F.col("cross"), 1).otherwise(0)))
+        fresh = F.when(F.col("equal"), F.col("own")).otherwise(F.col("h"))
+        again = cut.where(inside).withColumns({"n": F.col("m"), "quota": F.col("left"), "h": fresh}).select(*rows.columns)
+        ranked = ranked.unionByName(again.where(F.col("n") <= RANKED))
+        large, shift = again.where(F.col("n") > RANKED), max(0, shift - BITS)
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy("h", "doc_id", "own"))
+    parts.append((ranked.withColumn("rank", rank), F.when(F.col("rank") <= F.col("quota"), 1).otherwise(0)))
+    return parts
