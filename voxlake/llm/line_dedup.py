@@ -8,8 +8,8 @@
    that the corpus keeps one copy of what it repeats.
 
 Step 3 looks lines up in the boilerplate table. If that has at most `BROADCAST_LINES` lines it goes to the tasks and
-the documents aren't shuffled; else the documents' lines meet it in a join by hash, and each document is joined with the
-list of its own boilerplate lines.
+the documents aren't shuffled; else the texts' lines meet it in a join by hash, and each text is joined with the
+list of its own boilerplate lines. Texts are known by hash there, so rows that lack an id, or share one, are no group.
 """
 
 from __future__ import annotations
@@ -150,15 +150,18 @@ def removed(docs: DataFrame, lines: DataFrame, *, broadcast_lines: int = BROADCA
 
     def seen(batches):
         for b in batches:
-            data, offsets = text_bytes(b.column(1))
+            data, offsets = text_bytes(b.column(2))
             for i, j in chunks(offsets):
                 _, _, hashes, bounds = line_spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).take(pa.array(np.repeat(np.arange(j - i), np.diff(bounds)))), pa.array(hashes.view(np.int64))], names=["doc_id", "line"])
-
-    per_doc = docs.select("doc_id", "text").mapInArrow(seen, T.StructType([docs.schema["doc_id"], T.StructField("line", T.LongType())])).distinct()
-    told_name = free(names, "marks")
-    marks = per_doc.join(lines, "line").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line", "first"))).alias(told_name))
-    marked = docs.join(marks.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(marks["doc_id"]), "left").select(*[docs[n] for n in names], told_name)
+                of = pa.array(np.repeat(np.arange(j - i), np.diff(bounds)))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).take(of), b.column(1).slice(i, j - i).take(of), pa.array(hashes.view(np.int64))], names=["key1", "key2", "line"])
+
+    told_name, one, two = (free(names, n) for n in ("marks", "text_key1", "text_key2"))
+    keys = {one: F.xxhash64("text"), two: F.hash("text")}
+    per_text = docs.select(F.xxhash64("text").alias("key1"), F.hash("text").alias("key2"), "text").mapInArrow(seen, "key1 long, key2 int, line long").distinct()
+    marks = per_text.join(lines, "line").groupBy("key1", "key2").agg(F.sort_array(F.collect_list(F.struct("line", "first"))).alias(told_name))
+    marks = marks.select(F.col("key1").alias(one), F.col("key2").alias(two), told_name)
+    marked = docs.withColumns(keys).join(marks.hint("shuffle_hash"), [one, two], "left").select(*names, told_name)
 
     def run_marked(batches):
         for b in batches:
