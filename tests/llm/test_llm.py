@@ -262,6 +262,33 @@ def test_suffix_dedup_where_passages_overlap_in_part(spark):
     assert got == repeated(rows) and len(got) > 100
 
 
+def test_suffix_dedup_among_longer_overlaps(spark):
+    """Passages of exactly 50 words, each in two documents, among others that share 49 of their words on either side."""
+    rows = []
+    for p in range(30):
+        words = [f"p{p}w{k}" for k in range(50)]
+        around = lambda mid, tag: " ".join([*(f"{tag}a{k}" for k in range(20)), *mid, *(f"{tag}z{k}" for k in range(20))])
+        rows += [around(words, f"d{p}x{k}") for k in range(2)]
+        rows += [around(words[:49], f"l{p}x{k}") for k in range(15)] + [around(words[1:], f"r{p}x{k}") for k in range(15)]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(rows)]
+    got = {r.doc_id: {w for s in r.spans for w in range(s.s, s.e)} for r in suffix_dedup.repeats(frame(spark, rows)).collect()}
+    assert got == repeated(rows) and len(got) == 60 and sum(map(len, got.values())) == 3000
+
+
+def test_matches_that_run_on_by_chance_are_cut():
+    """The first and the last window of a match have to be another text's too; open windows that are become matches."""
+    draw, cut = np.random.default_rng(4), suffix_dedup._confirmed
+    words = draw.integers(0, 1 << 60, 120).astype(np.uint64)
+    _, grams = suffix_dedup._anchors(words, 50, 8)
+    start, keys, open_, edge = suffix_dedup._windows(words, grams, [{"s": 10, "e": 71}], 50, 8)
+    assert start.tolist() == list(range(71)) and start[edge].tolist() == [10, 21] and open_.tolist() == [s < 10 or s + 50 > 71 for s in range(71)]
+    assert (keys == suffix_dedup.gram_hashes(words, 50).view(np.int64)).all()
+    sure = lambda *x: [{"s": s, "open": o} for s, o in x]
+    assert cut([{"s": 10, "e": 71}], sure((10, False), (21, False)), 50) == [(10, 71)]
+    assert cut([{"s": 10, "e": 71}], sure((10, False)), 50) == [(10, 70)] and cut([{"s": 10, "e": 71}], sure((21, False)), 50) == [(11, 71)]
+    assert cut([{"s": 10, "e": 60}], sure((3, True)), 50) == [(3, 53)]
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.report(frame(spark, [])).collect() == []
     assert suffix_dedup.report(frame(spark, AWKWARD)).collect() == []
@@ -289,6 +316,47 @@ def test_language_without_anything_to_learn(spark):
     assert {r.lang_pred for r in langid.report(frame(spark, rows)).collect()} == {"und"} and langid.report(frame(spark, [])).count() == 0
 
 
+def test_decoding_equals_plain_python(spark):
+    """Bits from naive Bayes over 2-grams and 3-grams, counted and weighed one at a time; the codeword of least weighted loss wins."""
+    from math import exp, log
+
+    draw = random.Random(12)
+    rows = [(i, " ".join("".join(draw.choice(c) for _ in range(4)) for _ in range(6)), k, "s", 0) for i in range(90) for k, c in [[("aa", "abde"), ("bb", "bcdf"), ("cc", "aefg"), ("dd", "cegé")][i % 4]]]
+    decoder = langid.fit(frame(spark, rows))
+    names = ["aa", "bb", "cc", "dd"]
+    assert decoder.languages == names
+    slot = lambda gram, salt: ((int.from_bytes(gram, "big") + salt) * 2654435761 % (1 << 32)) >> 17
+
+    def slots(text):
+        data = b" " + lower(text).encode() + b" "
+        data = bytes(x if 0x61 <= x <= 0x7A or x >= 0x80 else 0x20 for x in data)
+        at = [i for i in range(1, len(data) - 1) if data[i] != 0x20]
+        return [slot(data[i : i + 2], 1 << 24) for i in at] + [slot(data[i - 1 : i + 2], 0) for i in at]
+
+    counts = {n: {} for n in names}
+    for i, text, lang, *_ in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            for k in slots(text):
+                counts[lang][k] = counts[lang].get(k, 0) + 1
+    total = {n: sum(c.values()) + 0.5 * (1 << 15) for n, c in counts.items()}
+    share = lambda n, k: (counts[n].get(k, 0) + 0.5) / total[n]
+    weigh = []
+    for bit in range(7):
+        ones, zeros = ([n for n, c in zip(names, decoder.code[:, bit]) if (c > 0) == side] for side in (True, False))
+        w = lambda k, ones=ones, zeros=zeros: log(sum(share(n, k) for n in ones) / len(ones)) - log(sum(share(n, k) for n in zeros) / len(zeros))
+        blank = w(-1)
+        margin = [sum(share(n, k) * (w(k) - blank) for k in {x for c in counts.values() for x in c}) + blank for n in names]
+        reach = sum(map(abs, margin)) / 4
+        weigh.append((w, reach, max(min(m * c for m, c in zip(margin, decoder.code[:, bit])) / reach, 0.05)))
+    for text in ["abde dabe", "cegé gécé ecc", "bcdf", rows[3][1], rows[50][1]]:
+        margins = [max(-3, min(3, sum(w(k) / reach for k in slots(text)) / len(slots(text)))) for w, reach, _ in weigh]
+        loss = [sum(exp(-2 * m * c) * t for m, c, (_, _, t) in zip(margins, decoder.code[i], weigh)) / sum(t for *_, t in weigh) for i in range(4)]
+        odds = [exp(-4 * (x - min(loss))) for x in loss]
+        best, score, second, unsure = decoder.decode(pa.array([text]))
+        assert best[0] == names[odds.index(max(odds))] and np.isclose(score[0], max(odds) / sum(odds), rtol=1e-3)
+        assert np.isclose(second[0], sorted(odds)[-2] / sum(odds), rtol=1e-2, atol=1e-6) and bool(unsure[0]) == (score[0] - second[0] < 0.2)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 6, 7, 20])
 def test_codewords_differ(n):
     code = langid.codewords(n)
@@ -351,6 +419,45 @@ def test_disclosing_terms_far_from_their_entity(spark):
     assert got[0] == ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(terms, key=lambda x: x[1])) and got[100] == ""
 
 
+def test_terms_have_one_lower_case(spark):
+    """Words are lower-cased after they are found, in every document: a capital whose small form is two characters splits none."""
+    rows = [(i, f"Visit {i} of İstanbulu Quillfeather at quill@feather.example now", None, None, 0) for i in range(5)]
+    rows += [(100 + i, f"Visit {i} of others now", None, None, 0) for i in range(200)]
+    got = {r.doc_id: r.spans for r in pii.report(frame(spark, rows)).collect()}
+    text = rows[0][1]
+    terms = [("term", m.start(), m.end()) for m in re.finditer("İstanbulu|Quillfeather", text)] + [("email", m.start(), m.end()) for m in re.finditer(r"quill@\S+", text)]
+    assert got[0] == ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(terms, key=lambda x: x[1])) and got[100] == ""
+
+
+@pytest.mark.parametrize("most", [1 << 18, 0])
+def test_disclosure_equals_brute_force(spark, monkeypatch, most):
+    from math import log2
+
+    monkeypatch.setattr(pii, "BROADCAST_TERMS", most)
+    draw, vocabulary = random.Random(14), [f"word{c}" for c in "abcdefghijklmnopqrst"]
+    rows = []
+    for i in range(240):
+        words = draw.choices(vocabulary, k=6)
+        for e in range(4):
+            if i % 17 == e * 3 or i % 29 == e:
+                words += [f"mail{e}@site.example"] + [f"secret{'uvwx'[e]}"] * (draw.random() < 0.9) + [f"shared{'uv'[e % 2]}"]
+        rows.append((i, " ".join(draw.sample(words, len(words))), None, None, 0))
+    texts = {i: t for i, t, *_ in rows}
+    words = {i: set(re.findall(r"[^\W\d_]{4,}", re.sub(r"\S+@\S+", " ", t))) for i, t in texts.items()}
+    every = {i: set(re.findall(r"[^\W\d_]{4,}", t)) for i, t in texts.items()}
+    mails = {m for t in texts.values() for m in re.findall(r"\S+@\S+", t)}
+    marked = {i: set() for i in texts}
+    for mail in mails:
+        own = [i for i, t in texts.items() if mail in t.split()]
+        for term in {w for i in own for w in words[i]}:
+            both, all_ = sum(term in words[i] for i in own), sum(term in w for w in every.values())
+            if both >= 3 and log2(both * len(rows) / (len(own) * all_)) / log2(len(rows) / len(own)) >= 0.9:
+                for i in own:
+                    marked[i] |= {("term", m.start(), m.end()) for m in re.finditer(rf"\b{term}\b", texts[i])}
+    got = {r.doc_id: {(k, int(s), int(e)) for k, s, e in (x.split(":") for x in filter(None, r.spans.split(","))) if k == "term"} for r in pii.report(frame(spark, rows)).collect()}
+    assert got == marked and sum(map(bool, marked.values())) > 20
+
+
 def test_personal_data_of_nothing(spark):
     assert pii.report(frame(spark, [])).count() == 0
     got = pii.report(frame(spark, AWKWARD)).collect()
@@ -422,6 +529,23 @@ def test_mixture(spark, corpus):
     assert mixing.mix(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [1 << 17, 0])
+def test_mixture_of_large_groups(spark, monkeypatch, broadcast):
+    """Groups of equal lengths far over what is ranked at once, one of them of one id: taken rows are those of the smallest hash, and reruns agree."""
+    monkeypatch.setattr(mixing, "RANKED", 4)
+    monkeypatch.setattr(mixing, "BROADCAST_QUOTAS", broadcast)
+    rows = [(i, "one two three", None, f"s{i % 2}", 0) for i in range(3001)] + [(7777, "same id here now", None, "s0", 0)] * 700 + [(i, " ".join("x" * (i % 9)), None, None, 0) for i in range(4000, 4300)]
+    runs = [sorted((str(r.doc_id), str(r.source), r.size, r.taken) for r in mixing.mix(frame(spark, rows).repartition(p)).collect()) for p in (3, 8)]
+    assert runs[0] == runs[1] and len(runs[0]) == len(rows)
+    target = {r.source: r.target for r in mixing.mix(frame(spark, rows)).collect()}
+    for source, want in target.items():
+        got = sum(t for _, s, _, t in runs[0] if s == str(source))
+        assert 0 <= want - got < 4, (source, want, got)
+    for size in (3, 4):
+        ids = {d: t // size for d, s, n, t in runs[0] if s == "s0" and n == size}
+        assert max(ids.values()) - min(ids.values()) <= 1
+
+
 def test_targets_share_the_excess():
     t = mixing.targets({"a": 10, "b": 1000, None: 500, "c": 0})
     assert t["a"] == 20 and t["c"] == 0 and abs(sum(t.values()) - 1.5 * 1510) < 1e-9 and t["b"] == pytest.approx((2265 - 20) * 1 / 4) or t[None] <= 1000
@@ -478,6 +602,17 @@ def test_quality_tells_held_out_texts(spark, corpus):
     assert quality_crf.report(frame(spark, []), spark.createDataFrame([], LABELS)).count() == 0
 
 
+def test_quality_learns_from_a_bounded_number_of_lines(spark, monkeypatch):
+    own = np.arange(1000.0)[:, None]
+    assert quality_crf._spread(own[:80], 2) is not own and len(quality_crf._spread(own[:80], 2)) == 80
+    some = quality_crf._spread(own, 3)[:, 0]
+    assert len(some) == 3 * quality_crf.CHAIN and some[0] == 0 and some[-1] == 999 and (np.diff(some) > 0).all()
+    rows = [(i % 20, "\n".join(["Plain words of one line."] * 400 if i % 2 else ["#### !!! ####"] * 400), "en", "s", 0) for i in range(100)]
+    monkeypatch.setattr(quality_crf, "SAMPLE_LINES", 80)
+    field = quality_crf.fit(frame(spark, rows), spark.createDataFrame([(i, i % 2, 0) for i in range(20)], LABELS), sample=20)
+    assert (field.score(pa.array([rows[0][1], rows[1][1]])) > 0.5).tolist() == [False, True]
+
+
 def test_marginals_equal_enumeration():
     import itertools
 
@@ -668,6 +803,33 @@ def test_payloads(spark, corpus):
     assert telephony.report(frame(spark, [])).count() == 0
 
 
+def features_plain(payload):
+    def mulaw(b):
+        b = ~b & 255
+        v = ((((b & 15) << 3) + 132) << ((b & 112) >> 4)) - 132
+        return -v if b & 128 else v
+
+    def alaw(b):
+        b ^= 0x55
+        k, v = (b & 112) >> 4, ((b & 15) << 4) + 8
+        v = v if k == 0 else (v + 256) << (k - 1)
+        return v if b & 128 else -v
+
+    def told(x):
+        return f"{max(map(abs, x))}.{sum(map(abs, x)) // len(x)}.{sum((p < 0) != (q < 0) for p, q in zip(x, x[1:]))}"
+
+    u = [mulaw(b) for b in payload]
+    ima = [s for k in range(0, len(payload), 64) for s in ima_plain(payload[k : k + 64])]
+    twice = [v for p, q in zip(u, [*u[1:], u[-1]]) for v in (p, (p + q) // 2)]
+    return f"mulaw={told(u)};alaw={told([alaw(b) for b in payload])};ima={told(ima)};pcm16k={zlib.crc32(struct.pack(f'<{len(twice)}h', *twice)):08x}"
+
+
+def test_features_equal_plain_python():
+    draw = np.random.default_rng(6)
+    payloads = [draw.integers(0, 256, 64 * n, np.uint8).tobytes() for n in (1, 3, 7)] + [bytes(64), b"plain words and more of them, " * 32]
+    assert telephony.features(payloads) == [features_plain(p) for p in payloads]
+
+
 # 10 decontamination
 
 
@@ -702,6 +864,28 @@ def test_decontamination_equals_brute_force(spark, corpus, block_words):
     assert sum(r.n_hit > 0 for r in got) > 20
 
 
+def test_decontamination_plan_does_not_grow_with_the_benchmark(spark, corpus):
+    def steps(n):
+        items = spark.createDataFrame([(str(i), " ".join(f"w{i}x{k}" for k in range(20))) for i in range(n)], "item_id string, text string")
+        plan = winnow.decontaminate(frame(spark, corpus[:5]), items, block_words=60)
+        return plan._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+    assert steps(4) == steps(2000)
+
+
+def test_decontamination_by_joins_with_common_windows(spark):
+    """A passage of every item in a third of the documents, rows without id, equal texts, and a large benchmark."""
+    draw, common = random.Random(51), " ".join(f"c{k}" for k in range(14))
+    items = [(f"i{k}", " ".join([common, *(f"i{k}w{j}" for j in range(12))])) for k in range(300)] + [("short", "two words"), ("empty", ""), (None, "no id here at all"), ("null", None)]
+    rows = [(i if i % 5 else None, " ".join([*(f"d{i % 40}x{j}" for j in range(8)), *(common.split()[: draw.randint(8, 14)] if i % 3 == 0 else ["two", "words"][: i % 3])]), None, None, 0) for i in range(90)]
+    rows += [(500 + k, f"x {items[k][1][-60:]} y", None, None, 0) for k in range(30)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    one, two = (sorted((str(r.doc_id), r.text, r.n_words, r.n_hit, r.hits, r["items"]) for r in winnow.decontaminate(frame(spark, rows), bench, block_words=b).collect()) for b in (1 << 21, 100))
+    assert one == two
+    kept = [(i, t) for i, t in items if i is not None]
+    assert sorted((str(i), t, *(lambda n, h, ids: (n, h, sorted(ids)))(*hits_plain(t, kept))) for i, t, *_ in rows) == [(a, b, c, d, f) for a, b, c, d, _, f in one]
+
+
 def test_decontamination_of_nothing(spark, corpus):
     none = spark.createDataFrame([], "item_id long, text string")
     assert winnow.report(frame(spark, []), none).count() == 0

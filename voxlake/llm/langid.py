@@ -178,7 +178,7 @@ def with_language(docs: DataFrame, decoder: Decoder) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, ambiguous.
 
-    `und` with score 0 if the text is null or has no letter, or if there was nothing to learn from. Repeated rows have
+    Of languages with equal odds the first by name is predicted, and the text is ambiguous. `und` with score 0 if the text is null or has no letter, or if there was nothing to learn from. Repeated rows have
     equal results. A null doc_id isn't held out and isn't learned from. Other columns are ignored; no documents give no rows.
     """
     told = with_language(docs.select("doc_id", "text"), fit(docs))
