@@ -45,7 +45,7 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(offsets: np.ndarray, limit: int = 1 << 20):
+def chunks(offsets: np.ndarray, limit: int = 1 << 19):
     """Ranges of consecutive texts of about `limit` bytes, one text at least."""
     i, n = 0, len(offsets) - 1
     while i < n:
