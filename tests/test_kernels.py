@@ -225,3 +225,143 @@ def test_spine_necks_are_what_an_opening_takes():
     core = np.argwhere(stencil.distance_transform(np.pad(mask, 1))[1:-1, 1:-1, 1:-1] > 2.0)
     for p in np.argwhere(necks):
         assert ((core - p) ** 2).sum(1).min() > 4
+
+
+def test_convolution_and_pooling_equal_loops():
+    from voxlake.operators import network
+
+    a, w, b = draw.normal(size=(2, 3, 6, 7)), draw.normal(size=(3, 2, 1, 3, 2)), draw.normal(size=3)
+    want = np.array([[[[(a[:, z : z + 1, y : y + 3, x : x + 2] * w[o]).sum() + b[o] for x in range(6)] for y in range(4)] for z in range(3)] for o in range(3)])
+    assert np.allclose(network.convolved(a, w, b), want)
+    assert np.allclose(network.pooled(a, (1, 2, 3)), [[[[a[c, z, 2 * y : 2 * y + 2, 3 * x : 3 * x + 3].max() for x in range(2)] for y in range(3)] for z in range(3)] for c in range(2)])
+    assert np.allclose(network.softmax(a).sum(0), 1)
+    deep = draw.normal(size=(8, 2, 3, 4))
+    out = network.depth_to_space(deep, 2)
+    assert out.shape == (2, 2, 6, 8) and all(out[c, z, 2 * y + i, 2 * x + j] == deep[4 * c + 2 * i + j, z, y, x] for c in range(2) for z in range(2) for y in range(3) for x in range(4) for i in range(2) for j in range(2))
+    parts = {(0, i, j): a[:, :, i::2, j::2][:, :, :3, :3] for i in range(2) for j in range(2)}
+    assert np.allclose(network.interwoven(parts, (1, 2, 2)), a[:, :, :6, :6])
+
+
+def test_network_on_blocks_equals_the_whole_volume(spark, tmp_path):
+    from voxlake.operators import classify, network
+
+    layer = lambda o, i: (draw.normal(0, 0.3, (o, i, 1, 3, 3)), draw.normal(size=o))
+    net = network.u_net([layer(3, 1), layer(4, 3), layer(3, 7), (draw.normal(size=(2, 3, 1, 1, 1)), np.zeros(2))], ["one", "two"])
+    net.pad = (0, 8, 8)
+    net.save(str(tmp_path / "net.json"))
+    net = network.load(str(tmp_path / "net.json"))
+    assert network.load(str(tmp_path / "net.json")) is net
+    dense = draw.integers(0, 256, (2, 16, 24))
+    got = classify.classified(volume(spark, dense), "p", net.classifier(), block=(2, 8, 8)).collect()
+    for name in ("one", "two"):
+        found = np.zeros(dense.shape)
+        for r in got:
+            if r.channel == name:
+                found[r.z, r.y, r.x] = r.value
+        for y in (0, 8):
+            for x in (0, 8, 16):
+                edge = np.pad(dense, [(0, 0), (8, 8), (8, 8)], mode="symmetric")[:, y : y + 24, x : x + 24].astype(float)
+                image = net.classifier().run(edge, 0, 0, 0)[name]
+                off = [(n - 8) // 2 for n in image.shape[1:]]
+                assert (found[:, y : y + 8, x : x + 8] == image[:, off[0] : off[0] + 8, off[1] : off[1] + 8]).all()
+
+
+def test_surfaces_are_closed(spark):
+    from collections import Counter
+
+    from voxlake.operators import surfaces
+
+    ball = sum((np.indices((9, 9, 9))[k] - 4) ** 2 for k in range(3)) <= 9
+    ball[0, 0, 0] = True
+    rows = surfaces.marching_surface(volume(spark, np.where(ball, 7, 0), name="a"), "a").collect()
+    faces = [tuple((r[f"z{i}"], r[f"y{i}"], r[f"x{i}"]) for i in (1, 2, 3)) for r in rows]
+    ways = Counter((f[i], f[(i + 1) % 3]) for f in faces for i in range(3))
+    assert all(n == 1 and ways[b, a] == 1 for (a, b), n in ways.items())
+    content = sum(np.dot(f[0], np.cross(f[1], f[2])) for f in np.array(faces)) / 6
+    points, sides = len({p for f in faces for p in f}), len(ways) // 2
+    assert points - sides + len(faces) == 4 and 0.5 * ball.sum() < abs(content) < ball.sum()
+    assert not surfaces.cube_triangles()[0] and not surfaces.cube_triangles()[255]
+
+
+def brute_affinity(aff, low, high, size):
+    """Basins and joins one edge at a time."""
+    shape = aff.shape[1:]
+    links = {}
+    for p in np.ndindex(shape):
+        for k in range(3):
+            q = tuple(c - (i == k) for i, c in enumerate(p))
+            if q[k] >= 0:
+                links[p, q] = float(aff[(k, *p)])
+    root = {p: p for p in np.ndindex(shape)}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def join(a, b):
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+
+    seen = set()
+    for p in np.ndindex(shape):
+        own = [(-w, b if a == p else a) for (a, b), w in links.items() if p in (a, b) and w > low]
+        if own:
+            join(p, min(own)[1])
+            seen |= {p, min(own)[1]}
+    for (a, b), w in links.items():
+        if w >= high:
+            join(a, b)
+            seen |= {a, b}
+    basin = {p: top(p) for p in seen}
+    number = {r: i + 1 for i, r in enumerate(sorted(set(basin.values())))}
+    part, count = {n: n for n in number.values()}, {}
+    for r in basin.values():
+        count[number[r]] = count.get(number[r], 0) + 1
+    while True:
+        best = {}
+        for (a, b), w in links.items():
+            if a in basin and b in basin:
+                u, v = sorted((part[number[basin[a]]], part[number[basin[b]]]))
+                if u != v and w >= low and min(count[u], count[v]) < size:
+                    best[u, v] = max(best.get((u, v), 0), w)
+        if not best:
+            return {p: part[number[r]] for p, r in basin.items()}
+        (u, v), _ = min(best.items(), key=lambda e: (-e[1], e[0]))
+        part = {k: u if x == v else x for k, x in part.items()}
+        count[u] += count.pop(v)
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 0])
+def test_affinity_segments_equal_one_join_at_a_time(spark, at_once):
+    from voxlake.operators import affinity
+
+    aff = draw.integers(0, 40, (3, 3, 9, 8))
+    rows = [(*map(int, p), *(int(aff[(k, *p)]) for k in range(3))) for p in np.ndindex(3, 9, 8)]
+    df = spark.createDataFrame(rows, "z long, y long, x long, az long, ay long, ax long")
+    want = brute_affinity(aff, 4, 39, 12)
+    got = {(r.z, r.y, r.x): r.segment for r in affinity.segments(df, low=4, high=39, size=12, at_once=at_once).collect()}
+    assert len(got) == len(rows) and {p for p, s in got.items() if s} == set(want)
+    pairs = {(got[p], s) for p, s in want.items()}
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}) > 2
+    large = {(r.z, r.y, r.x): r.segment for r in affinity.segments(df, low=4, high=39, size=2, minimum=6).collect()}
+    sizes = {s: sum(x == s for x in large.values()) for s in set(large.values()) - {0}}
+    assert sizes and min(sizes.values()) >= 6
+    means = {(r.z, r.y, r.x): r.segment for r in affinity.segments(df, low=4, high=39, threshold=25).collect()}
+    assert len(set(means.values())) > len(set(got.values()))
+
+
+def test_absorbed_labels(spark):
+    from voxlake.operators import agglomerate
+
+    dense = np.zeros((1, 5, 12), int)
+    dense[0, :, :4], dense[0, :, 4], dense[0, 1, 5:7], dense[0, :, 7:10], dense[0, 4, 11] = 3, 8, 9, 5, 6
+    got = gathered(agglomerate.absorbed(volume(spark, dense, name="a"), "a", 6), dense.shape, name="a")
+    assert (got[0, :, 4] == 3).all() and got[0, 1, 5:7].tolist() == [3, 5] and got[0, 4, 11] == 0 and (got[0, :, 7:10] == 5).all() and got[0, 0, 5] == 0
+
+
+def test_two_passes_join_more_than_one():
+    edges = {(1, 2): (0.01, 5), (2, 3): (0.2, 1), (3, 4): (0.9, 2), (0, 1): (0.8, 1), (0, 3): (0.8, 1), (1, 5): (0.9, 4), (2, 5): (0.9, 4)}
+    out = matching.two_pass(edges, 0.06, 0.3)
+    assert out == {2: 1, 3: 1, 4: 1, 5: 1}
+    assert matching.two_pass(edges, 0.0, 0.0, keep={4, 5}) == {}

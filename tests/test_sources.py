@@ -172,3 +172,70 @@ def test_rag_documents(spark):
 def test_copy(spark, tmp_path):
     (tmp_path / "a").write_text("x")
     assert blocks.copy_path(spark, str(tmp_path / "a"), str(tmp_path / "b")) and (tmp_path / "b").read_text() == "x"
+
+
+def test_command_line(spark, tmp_path):
+    from voxlake.__main__ import main
+
+    dense = np.random.default_rng(4).integers(0, 200, (3, 6, 8))
+    blocks.write_chunks(voxels(spark, (2, 0, 0), dense), str(tmp_path / "v"), dataset="seg", value="v", block=(2, 4, 4))
+    main(["export-box", str(tmp_path / "v"), str(tmp_path / "box"), "--dataset", "seg", "--name", "part", "--box", "1", "2", "3", "4", "3", "2", "--chunk", "2", "2", "2", "--dtype", "uint8"])
+    got = {(r.z, r.y, r.x): r.value for r in blocks.read_chunks(spark, str(tmp_path / "box"), dataset="part").where("value <> 0").collect()}
+    assert got == {(z, y, x): int(dense[z - 2, y, x]) for z in (3, 4) for y in range(2, 5) for x in range(1, 5) if dense[z - 2, y, x]}
+    main(["storage-plan", str(tmp_path / "v"), str(tmp_path / "plans")])
+    plans = blocks.read_plans(spark, str(tmp_path / "plans"), lines=True).collect()
+    assert {p.dataset_name for p in plans} == {"seg"} and len(plans) == 2 * 2 * 2 and all(list(p.dimensions) == [4, 8, 8] for p in plans)
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from voxlake.spark import shared_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+
+
+def test_release_of_stored_tables(spark):
+    from voxlake.spark import release, store, stored
+
+    since = stored()
+    one, two = store(spark.range(3).toDF("k")), store(spark.range(4).toDF("k"))
+    assert stored() == since + 2 and release(spark, since, keep=1) == 1 and two.count() == 4
+    with pytest.raises(Exception):
+        one.count()
+    assert release(spark, since) == 1 and stored() == since
+
+
+def test_operators_leave_the_session_as_it_is(spark):
+    import __spark_entry__ as entry
+
+    before = dict(spark.conf.getAll)
+    for name, query in entry.queries().items():
+        if name in ("op2_suffix_dedup", "op6_mix_sources", "gaussian", "thin_boundaries"):
+            query(spark, "/root/testdata/sf0.001").count()
+    assert dict(spark.conf.getAll) == before
+
+
+def test_sessions_of_a_stream_equal_the_batch(spark, tmp_path):
+    data = spark.createDataFrame([(k % 4, f"2024-01-01 {k // 9:02d}:{k % 9 * 5:02d}:00", "a", float(k)) for k in range(90)], "user_id long, t string, event_type string, value double").select("user_id", F.to_timestamp("t").alias("ts"), "event_type", "value")
+    late = spark.createDataFrame([(0, "2024-01-03 00:00:00", "a", 1.0)], "user_id long, t string, event_type string, value double").select("user_id", F.to_timestamp("t").alias("ts"), "event_type", "value")
+    for k, part in enumerate((data, late, late.withColumn("ts", F.col("ts") + F.expr("interval 2 days")))):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = events.sessions(spark.readStream.schema(data.schema).parquet(str(tmp_path / "in")))
+        run = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append").option("checkpointLocation", str(tmp_path / "state")).start()
+        run.processAllAvailable()
+        run.stop()
+    told = {str(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {str(r) for r in events.sessions(data).collect()}
+    assert want and want <= told

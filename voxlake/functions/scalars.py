@@ -73,3 +73,16 @@ def memory_model(voxels: Column, one: tuple[float, float], two: tuple[float, flo
 def cut_points(start: int, end: int, n: int) -> list[int]:
     """n + 1 places from start to end, evenly apart and rounded down."""
     return [start + (end - start) * i // n for i in range(n + 1)]
+
+
+def random_priority(key: Column, salt: str = "") -> Column:
+    """A priority of 32 bits that looks random, the same for a key in every run: the first four bytes of its MD5."""
+    return F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit(salt))), 1, 8), 16, 10).cast("long")
+
+
+def scaled_distance(one: list[Column], two: list[Column], bandwidths: list[Column], least: float = 1e-6) -> Column:
+    """Squared distance of two feature vectors, each feature in units of its bandwidth; one of no bandwidth doesn't count."""
+    out = F.lit(0.0)
+    for a, b, w in zip(one, two, bandwidths, strict=True):
+        out = out + F.when(w > least, (a - b) * (a - b) / (w * w)).otherwise(0.0)
+    return out

@@ -9,7 +9,7 @@ from ..spark import store
 from .components import components
 
 
-def rounds(nodes: DataFrame, edges: DataFrame, threshold: float, *, most: int = 100) -> DataFrame:
+def rounds(nodes: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
     """(node, root): joins every edge that is the cheapest of both its ends and costs at most `threshold`, again and again.
 
     Such edges share no node, so a round joins them all at once; each round's cheapest edge is among them. Parallel edges
@@ -17,7 +17,7 @@ def rounds(nodes: DataFrame, edges: DataFrame, threshold: float, *, most: int =
     """
     roots = store(nodes.select("node", F.col("node").alias("root")))
     left = store(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "weight", "size").where("u != v"))
-    for _ in range(most):
+    while True:
         cheap = left.where(F.col("weight") <= threshold)
         ends = cheap.select(F.col("u").alias("node"), F.struct("weight", "u", "v").alias("e")).unionByName(cheap.select(F.col("v").alias("node"), F.struct("weight", "u", "v").alias("e")))
         first = ends.groupBy("node").agg(F.min("e").alias("e"))
@@ -103,3 +103,35 @@ def merged_blocks(labelled: DataFrame, *, percent: float = 50) -> DataFrame:
     loops = seen.select(name.alias("u")).distinct().select("u", F.col("u").alias("v"))
     roots = store(components(good.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(loops)))
     return roots.join(dense_rank(roots.select("root"), "root", "global"), "root").select("node.block", "node.local", "global")
+
+
+def mito_joined(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root): each mitochondrion (`mito`) goes to the cell around it with which it shares the largest contact (`size`), of equal ones to the smallest; other nodes stay, as does one without such a neighbour."""
+    mito = nodes.where("mito").select(F.col("node").alias("m"))
+    both = edges.select(F.col("u").alias("m"), F.col("v").alias("cell"), "size").unionByName(edges.select(F.col("v").alias("m"), F.col("u").alias("cell"), "size"))
+    met = both.join(mito, "m", "left_semi").join(mito.select(F.col("m").alias("cell")), "cell", "left_anti")
+    best = met.groupBy("m").agg(F.min_by("cell", F.struct(-F.col("size"), "cell")).alias("root"))
+    return nodes.join(best, nodes["node"] == best["m"], "left").select("node", F.coalesce("root", "node").alias("root"))
+
+
+def absorbed(voxels: DataFrame, label: str, minimum: int) -> DataFrame:
+    """`voxels` (z, y, x, label) with labels of fewer than `minimum` voxels taken in by the labels around them: round by round, a voxel of theirs takes the smallest label of its six neighbours. Background stays; what only background surrounds becomes 0."""
+    from .stencil import AXIS_STEPS
+
+    keys = ["z", "y", "x"]
+    small = voxels.where(F.col(label) != 0).groupBy(label).agg(F.count("*").alias("n")).where(F.col("n") < minimum).select(label)
+    free = store(voxels.join(small, label, "left_semi").select(*keys))
+    around = F.explode(F.array(*[F.struct(*[F.lit(s).cast("long").alias(c) for c, s in zip(keys, step, strict=True)]) for step in AXIS_STEPS])).alias("d")
+    fixed = voxels.join(small, label, "left_anti").select(*keys, label)
+    front, parts = fixed.where(F.col(label) != 0), [fixed]
+    while True:
+        sent = front.select(*keys, label, around).select(*[(F.col(c) + F.col(f"d.{c}")).alias(c) for c in keys], label)
+        front = store(free.join(sent, keys).groupBy(*keys).agg(F.min(label).alias(label)))
+        if not front.take(1):
+            break
+        parts.append(front)
+        free = store(free.join(front, keys, "left_anti"))
+    out = free.select(*keys, F.lit(0).cast("long").alias(label))
+    for p in parts:
+        out = out.unionByName(p)
+    return out

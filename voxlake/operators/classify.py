@@ -107,6 +107,20 @@ def edge_probability(model, features: DataFrame) -> DataFrame:
     return model.transform(features).withColumn("p", vector_to_array("probability")[1]).drop("vector", "rawPrediction", "probability", "prediction")
 
 
+def bandwidths(features: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row: the standard deviation of each named feature."""
+    return features.agg(*[F.stddev_pop(F.col(n).cast("double")).alias(n) for n in names])
+
+
+def similarity(pairs: DataFrame, names: Sequence[str], widths: DataFrame) -> DataFrame:
+    """`pairs` (u_<name> and v_<name> of each feature) with affinity, exp of minus half their distance in bandwidths."""
+    from ..functions.scalars import scaled_distance
+
+    told = pairs.crossJoin(F.broadcast(widths.select(*[F.col(n).alias(f"w_{n}") for n in names])))  # one row
+    d = scaled_distance(*[[F.col(f"{p}_{n}").cast("double") for n in names] for p in ("u", "v")], [F.col(f"w_{n}") for n in names])
+    return told.withColumn("affinity", F.exp(-d / 2)).drop(*[f"w_{n}" for n in names])
+
+
 def useless_features(features: DataFrame, names: Sequence[str], least: float = 1e-9) -> DataFrame:
     """(feature, variance, useless) of each named feature."""
     one = features.agg(*[F.var_pop(F.col(n).cast("double")).alias(n) for n in names])

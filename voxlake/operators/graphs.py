@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,8 +50,8 @@ def flat_agglomeration(nodes: DataFrame, edges: DataFrame, threshold: float) ->
     return components(kept.select("u", "v").unionByName(nodes.select(F.col("node").alias("u"), F.col("node").alias("v"))))
 
 
-def affinity(edges: DataFrame, sources: DataFrame, *, threshold: float, depth: int) -> DataFrame:
-    """(source, node, affinity): the largest product of edge affinities over at most `depth` edges, from `threshold` on.
+def affinity(edges: DataFrame, sources: DataFrame, *, threshold: float, depth: int | None = None) -> DataFrame:
+    """(source, node, affinity): the largest product of edge affinities (over at most `depth` edges, if that is given), from `threshold` on.
 
     A round extends only what the last one improved.
     """
@@ -57,7 +59,7 @@ def affinity(edges: DataFrame, sources: DataFrame, *, threshold: float, depth: i
     both = store(both.where(F.col("affinity") >= threshold))
     best = store(sources.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("affinity")))
     front = best
-    for _ in range(depth):
+    for _ in count() if depth is None else range(depth):
         step = front.join(both.select(F.col("u").alias("node"), F.col("v").alias("next"), F.col("affinity").alias("edge")), "node")
         step = step.select("source", F.col("next").alias("node"), (F.col("affinity") * F.col("edge")).alias("affinity")).where(F.col("affinity") >= threshold)
         step = step.groupBy("source", "node").agg(F.max("affinity").alias("affinity"))
@@ -69,13 +71,13 @@ def affinity(edges: DataFrame, sources: DataFrame, *, threshold: float, depth: i
     return best
 
 
-def shortest_paths(edges: DataFrame, cost: DataFrame, source: DataFrame, *, depth: int) -> DataFrame:
-    """(node, distance) from the source nodes, over at most `depth` edges; a step costs what `cost` (node, area) says of the node it enters."""
+def shortest_paths(edges: DataFrame, cost: DataFrame, source: DataFrame, *, depth: int | None = None) -> DataFrame:
+    """(node, distance) from the source nodes (over at most `depth` edges, if that is given); a step costs what `cost` (node, area) says of the node it enters."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     step_cost = store(both.join(cost.select(F.col("node").alias("v"), "area"), "v").select("u", "v", "area"))
     best = store(source.select("node", F.lit(0).cast("long").alias("distance")))
     front = best
-    for _ in range(depth):
+    for _ in count() if depth is None else range(depth):
         step = front.join(step_cost, front["node"] == step_cost["u"]).groupBy(F.col("v").alias("node")).agg(F.min(F.col("distance") + F.col("area")).alias("distance"))
         known = best.select("node", F.col("distance").alias("had"))
         front = store(step.join(known, "node", "left").where(F.col("had").isNull() | (F.col("distance") < F.col("had"))).select("node", "distance"))

@@ -148,6 +148,25 @@ def greedy_agglomeration(edges: dict[tuple[int, int], tuple[float, int]], thresh
     return {x: last(x) for x in into}
 
 
+def two_pass(edges: dict[tuple[int, int], tuple[float, int]], first: float, second: float, border: int = 0, keep: set[int] = frozenset()) -> dict[int, int]:
+    """Joins up to `first`, gives what one region encloses to it, and joins what is left up to `second`. Returns each joined node's survivor."""
+    into = greedy_agglomeration(edges, first, keep)
+
+    def contracted(into: dict[int, int]) -> dict[tuple[int, int], tuple[float, int]]:
+        out: dict[tuple[int, int], tuple[float, int]] = {}
+        for (a, b), (w, n) in edges.items():
+            a, b = sorted((into.get(a, a), into.get(b, b)))
+            if a != b:
+                v, m = out.get((a, b), (0.0, 0))
+                out[a, b] = ((v * m + w * n) / (m + n), m + n)
+        return out
+
+    inside = inclusions(set(contracted(into)), into.get(border, border), keep)
+    follow = lambda x, to: {k: to.get(v, v) for k, v in x.items()} | {k: v for k, v in to.items() if k not in x}
+    into = follow(into, inside)
+    return follow(into, greedy_agglomeration(contracted(into), second, keep))
+
+
 def inclusions(edges: set[tuple[int, int]], border: int = 0, preserved: set[int] = frozenset()) -> dict[int, int]:
     """Nodes that every path to the border takes through one node, and that node: blocks of the graph without the border, outermost first."""
     around: dict[int, set[int]] = defaultdict(set)

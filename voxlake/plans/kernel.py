@@ -9,24 +9,54 @@ from pyspark.sql import functions as F
 from ..operators import matching, overlap, stencil
 from ..spark import table
 from .agreement import cells
-from .naming import Collected
+from .naming import Collected, rounded
 from .views import view
 
 query = Collected()
 BLOCK, KEYS = (4, 32, 32), ("z", "y", "x")
 
 
-@query()
+def _weights(sigma: float, reach: int) -> str:
+    """The weights of a Gaussian as SQL rows (place, weight)."""
+    w = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    return ", ".join(f"({k}, {x:.17e})" for k, x in zip(range(-reach, reach + 1), w / w.sum(), strict=True))
+
+
+def _mirrored(axis: str) -> str:
+    low, high = f"{axis}0", f"{axis}1"
+    return f"CASE WHEN {axis} + d < {low} THEN 2 * {low} - 1 - {axis} - d WHEN {axis} + d > {high} THEN 2 * {high} + 1 - {axis} - d ELSE {axis} + d END"
+
+
+#: The whole box of a volume, 0 where it has no voxel, smoothed axis by axis with mirrored ends.
+SMOOTH = f"""ends AS (SELECT MIN(z) AS z0, MAX(z) AS z1, MIN(y) AS y0, MAX(y) AS y1, MIN(x) AS x0, MAX(x) AS x1 FROM vox),
+box AS (SELECT q.z, q.y, q.x, CAST(COALESCE(p, 0) AS DOUBLE) AS v FROM (SELECT z, y, x FROM ends, (SELECT unnest(range(0, 9)) AS z), (SELECT unnest(range(0, 64)) AS y), (SELECT unnest(range(0, 64)) AS x) WHERE z BETWEEN z0 AND z1 AND y BETWEEN y0 AND y1 AND x BETWEEN x0 AND x1) q
+LEFT JOIN vox ON vox.z = q.z AND vox.y = q.y AND vox.x = q.x),
+sz AS (SELECT t.z, t.y, t.x, SUM(w * box.v) AS v FROM (SELECT b.z, b.y, b.x, w, {_mirrored("z")} AS k FROM box b, ends, (VALUES {_weights(0.5, 2)}) AS g(d, w)) t JOIN box ON box.z = k AND box.y = t.y AND box.x = t.x GROUP BY 1, 2, 3),
+sy AS (SELECT t.z, t.y, t.x, SUM(w * sz.v) AS v FROM (SELECT b.z, b.y, b.x, w, {_mirrored("y")} AS k FROM box b, ends, (VALUES {_weights(1.0, 4)}) AS g(d, w)) t JOIN sz ON sz.z = t.z AND sz.y = k AND sz.x = t.x GROUP BY 1, 2, 3),
+smooth AS (SELECT t.z, t.y, t.x, SUM(w * sy.v) AS v FROM (SELECT b.z, b.y, b.x, w, {_mirrored("x")} AS k FROM box b, ends, (VALUES {_weights(1.0, 4)}) AS g(d, w)) t JOIN sy ON sy.z = t.z AND sy.y = t.y AND sy.x = k GROUP BY 1, 2, 3)"""
+
+
+@query(f"WITH {SMOOTH} SELECT z, y, x, round(v, 5) AS out FROM smooth SEMI JOIN vox USING (z, y, x)", "vox")
 def gaussian(spark, d):
-    return stencil.over_blocks(view(spark, d, "vox"), "p", lambda a: stencil.gaussian(a, (0.5, 1.0, 1.0)), block=BLOCK, halo=(2, 4, 4))
+    return rounded(stencil.over_blocks(view(spark, d, "vox"), "p", lambda a: stencil.gaussian(a, (0.5, 1.0, 1.0)), block=BLOCK, halo=(2, 4, 4)), "out", digits=5)
 
 
-@query()
+@query(f"""WITH {SMOOTH}, r AS (SELECT z, y, x, round(v, 6) AS v FROM smooth),
+low AS (SELECT c.z, c.y, c.x, c.v, MIN(o.v) AS m FROM r c, (VALUES (-1), (0), (1)) AS k(dz), (VALUES (-1), (0), (1)) AS j(dy), (VALUES (-1), (0), (1)) AS i(dx) JOIN r o ON o.z = c.z + dz AND o.y = c.y + dy AND o.x = c.x + dx GROUP BY 1, 2, 3, 4)
+SELECT z, y, x FROM low SEMI JOIN vox USING (z, y, x) WHERE v = m AND v < 128""", "vox")
+def seed_places(spark, d):
+    """Where the smoothed probability has its minima under the threshold."""
+    return _labelled(spark, d, lambda a: stencil.find_seeds(a, sigma=(0.5, 1, 1))[0], (3, 5, 5)).where("out > 0").select(*KEYS)
+
+
+@query("""WITH ends AS (SELECT MIN(z) AS z0, MAX(z) AS z1, MIN(y) AS y0, MAX(y) AS y1, MIN(x) AS x0, MAX(x) AS x1 FROM vox), f AS (SELECT z, y, x FROM vox WHERE p >= 128)
+SELECT c.z, c.y, c.x, round(least(8, COALESCE(MIN(sqrt(CAST(16 * (f.z - c.z) * (f.z - c.z) + (f.y - c.y) * (f.y - c.y) + (f.x - c.x) * (f.x - c.x) AS DOUBLE))), 8)), 6) AS out
+FROM vox c LEFT JOIN f ON f.z BETWEEN c.z - 2 AND c.z + 2 AND f.y BETWEEN c.y - 8 AND c.y + 8 AND f.x BETWEEN c.x - 8 AND c.x + 8 GROUP BY 1, 2, 3""", "vox")
 def distance_transform(spark, d):
     """Distances in nm, cut off at what the halo can tell."""
     reach = 8.0
     kernel = lambda a: np.minimum(stencil.distance_transform(a < 128, (4.0, 1.0, 1.0)), reach)
-    return stencil.over_blocks(view(spark, d, "vox"), "p", kernel, block=BLOCK, halo=(2, 8, 8))
+    return rounded(stencil.over_blocks(view(spark, d, "vox"), "p", kernel, block=BLOCK, halo=(2, 8, 8)), "out")
 
 
 def _labelled(spark, d, kernel, halo):
@@ -45,9 +75,20 @@ def seeds(spark, d):
     return _labelled(spark, d, lambda a: stencil.find_seeds(a, sigma=(0.5, 1, 1))[0], (3, 5, 5))
 
 
-@query()
+def _pieces(of: str, name: str, near: str) -> str:
+    """Connected places of `of` (i, z, y, x) as `name` (i, root), in SQL."""
+    return f"""{name}_step AS (SELECT c.i AS u, o.i AS v FROM {of} c JOIN {of} o ON {near}),
+{name}_reach AS (SELECT i AS u, i AS v FROM {of} UNION SELECT r.u, s.v FROM {name}_reach r JOIN {name}_step s ON s.u = r.v), {name} AS (SELECT u AS i, MIN(v) AS root FROM {name}_reach GROUP BY u)"""
+
+
+@query(f"""WITH RECURSIVE {SMOOTH}, bright AS (SELECT z * 10000 + y * 100 + x AS i, z, y, x FROM smooth SEMI JOIN vox USING (z, y, x) WHERE v > 170),
+{_pieces("bright", "flat", "o.z = c.z AND abs(o.y - c.y) + abs(o.x - c.x) = 1")},
+solid AS (SELECT bright.* FROM bright JOIN flat ON flat.i = bright.i WHERE root IN (SELECT root FROM flat GROUP BY root HAVING COUNT(*) BETWEEN 2 AND 100000)),
+{_pieces("solid", "body", "abs(o.z - c.z) <= 1 AND abs(o.y - c.y) <= 1 AND abs(o.x - c.x) <= 1 AND abs(o.z - c.z) + abs(o.y - c.y) + abs(o.x - c.x) BETWEEN 1 AND 2")},
+kept AS (SELECT root, CAST(row_number() OVER (ORDER BY root) AS BIGINT) AS out FROM body JOIN solid ON solid.i = body.i GROUP BY root HAVING COUNT(*) >= 4 AND MAX(z) - MIN(z) >= 1)
+SELECT z, y, x, out FROM solid JOIN body ON body.i = solid.i JOIN kept ON kept.root = body.root""", "vox")
 def vesicles(spark, d):
-    return stencil.vesicles(view(spark, d, "vox"), "p", threshold=140)
+    return stencil.vesicles(view(spark, d, "vox"), "p", threshold=170)
 
 
 @query("""WITH f AS (SELECT * FROM vox WHERE a <> 0), g AS (SELECT c.z, c.y, c.x, f.a, row_number() OVER (PARTITION BY c.z, c.y, c.x ORDER BY (f.z - c.z) * (f.z - c.z) + (f.y - c.y) * (f.y - c.y) + (f.x - c.x) * (f.x - c.x), f.a) AS k
@@ -140,7 +181,11 @@ def greedy_agglomeration(spark, d):
     return _graph(spark, d).groupBy("part").applyInArrow(run, "part string, node long, root long")
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT c_mktsegment AS part, c_custkey AS u, c_custkey - 1 - c_nationkey AS v FROM customer WHERE c_custkey - 1 - c_nationkey >= 0), b AS (SELECT part, u, v FROM e UNION SELECT part, v, u FROM e),
+nd AS (SELECT DISTINCT part, u AS n FROM b), border AS (SELECT part, MIN(n) AS r FROM nd GROUP BY part), cut AS (SELECT part, n AS c FROM nd WHERE n NOT IN (SELECT r FROM border WHERE border.part = nd.part) UNION ALL SELECT part, -1 FROM border),
+reach AS (SELECT cut.part, c, r AS n FROM cut JOIN border ON border.part = cut.part UNION SELECT reach.part, reach.c, b.v FROM reach JOIN b ON b.part = reach.part AND b.u = reach.n AND b.v <> reach.c),
+inner_ AS (SELECT f.part, cut.c, f.n FROM reach f JOIN cut ON cut.part = f.part AND cut.c <> -1 AND cut.c <> f.n JOIN reach g ON g.part = f.part AND g.c = -1 AND g.n = cut.c LEFT JOIN reach r ON r.part = f.part AND r.c = cut.c AND r.n = f.n WHERE f.c = -1 AND r.n IS NULL)
+SELECT part, n AS node, c AS "into" FROM inner_ i WHERE NOT EXISTS (SELECT 1 FROM inner_ o WHERE o.part = i.part AND o.n = i.c)""")
 def inclusions(spark, d):
     def run(rows: pa.Table) -> pa.Table:
         edges = set(_edges(rows))

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import agreement, assembly, graph, kernel, planning, scalar, storage, synapse, voxel
+from . import agreement, assembly, graph, kernel, planning, rest, scalar, segmentation, storage, synapse, voxel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for module in (agreement, planning, graph, synapse, voxel, scalar, assembly, kernel, storage):
+for module in (agreement, planning, graph, synapse, voxel, scalar, assembly, kernel, storage, segmentation, rest):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
 

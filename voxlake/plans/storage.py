@@ -111,7 +111,7 @@ def storage_plans(spark, d):
     """Storage plans as JSON files, read again a row a block."""
     path = place(spark)
     blocks.storage_plan(dataset_blocks(spark, d)).write.text(path)
-    told = blocks.read_plans(spark, path)
+    told = blocks.read_plans(spark, path, lines=True)
     return told.select("dataset_name", "datatype", *[F.col("dimensions")[i].alias(n) for i, n in enumerate(("depth", "height", "width"))], *[F.col(f"volume.{c}").alias(c) for c in "xyz"], F.col("volume.width").alias("w"), "path")
 
 

@@ -82,9 +82,9 @@ def find_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder).select("path", "length")
 
 
-def read_plans(spark: SparkSession, path: str) -> DataFrame:
-    """(plan columns, volume, path) of JSON plans, a row a block."""
-    plans = spark.read.option("multiLine", True).json(path)
+def read_plans(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """(plan columns, volume, path) of JSON plans, a row a block; a plan is a file, or with `lines` a line of one."""
+    plans = spark.read.option("multiLine", not lines).json(path)
     return plans.select("dataset_name", "datatype", "dimensions", F.explode("blocks").alias("block")).select("dataset_name", "datatype", "dimensions", "block.volume", "block.path")
 
 
