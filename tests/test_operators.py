@@ -209,3 +209,13 @@ def test_stored_tables_can_be_released(spark):
 
     df = session.store(spark.range(5))
     assert df.count() == 5 and session.release(spark) >= 1 and session.release(spark) == 0
+
+
+def test_label_propagation_until_it_is_still(spark):
+    from voxlake.operators import classify
+
+    edges = spark.createDataFrame([(k, k + 1, 1.0) for k in range(8)] + [(20, 21, 1.0)], "u long, v long, affinity double")
+    known = spark.createDataFrame([(0, 0.0), (8, 1.0)], "node long, score double")
+    got = {r.node: r.score for r in classify.propagated(edges, known).collect()}
+    assert set(got) == set(range(9)) and all(abs(got[k] - k / 8) < 0.01 for k in got)
+    assert {r.node for r in classify.propagated(edges, known, rounds=2).collect()} == {0, 1, 2, 6, 7, 8}

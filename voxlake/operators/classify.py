@@ -128,15 +128,25 @@ def useless_features(features: DataFrame, names: Sequence[str], least: float = 1
     return one.select(pairs).select("f.feature", "f.variance", (F.col("f.variance") <= least).alias("useless"))
 
 
-def propagated(edges: DataFrame, known: DataFrame, *, rounds: int = 10) -> DataFrame:
-    """(node, score) after label propagation: unlabelled nodes take the affinity-weighted mean of their neighbours, round by round; labelled ones keep theirs."""
+def propagated(edges: DataFrame, known: DataFrame, *, rounds: int | None = None, still: float = 1e-4) -> DataFrame:
+    """(node, score) after label propagation: unlabelled nodes take the affinity-weighted mean of their neighbours, round by round; labelled ones keep theirs.
+
+    It ends after `rounds`, or without them when a round has moved no score by more than `still`, and reached no new node.
+    """
+    from itertools import count
+
     from ..spark import store
 
     both = store(edges.select("u", "v", "affinity").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "affinity")))
-    score = store(known.select("node", F.col("score").cast("double").alias("score")))
-    for _ in range(rounds):
+    held = store(known.select("node", F.col("score").cast("double").alias("score")))
+    score = held
+    for _ in count() if rounds is None else range(rounds):
         met = both.join(score.select(F.col("node").alias("v"), "score"), "v").groupBy(F.col("u").alias("node")).agg((F.sum(F.col("affinity") * F.col("score")) / F.sum("affinity")).alias("score"))
-        score = store(met.join(known.select("node"), "node", "left_anti").unionByName(known.select("node", F.col("score").cast("double").alias("score"))))
+        now = store(met.join(held.select("node"), "node", "left_anti").unionByName(held))
+        moved = now.join(score.withColumnRenamed("score", "before"), "node", "left").where(F.col("before").isNull() | (F.abs(F.col("score") - F.col("before")) > still))
+        score = now
+        if rounds is None and not moved.take(1):
+            break
     return score
 
 

@@ -64,10 +64,13 @@ def distance_join(points: DataFrame, radius: float, scale: dict[str, float], key
 
 
 def star_join(one: DataFrame, two: DataFrame, mid: str, a: str, b: str) -> DataFrame:
-    """Pairs (a, b) through `mid` that connect all that meet there: the first of each side with all of the other, not all with all."""
-    rank = lambda df, c: df.withColumn(f"rank_{c}", F.row_number().over(Window.partitionBy(mid).orderBy(c)))
-    met = rank(one.select(mid, a).distinct(), a).join(rank(two.select(mid, b).distinct(), b), mid)
-    return met.where((F.col(f"rank_{a}") == 1) | (F.col(f"rank_{b}") == 1)).select(a, b).distinct()
+    """Pairs (a, b) through `mid` that connect all that meet there: the first of each side with all of the other, not all with all.
+
+    The firsts are aggregates, a row for each `mid`, so neither side is ranked and the joins grow as their larger side.
+    """
+    one, two = one.select(mid, a).distinct(), two.select(mid, b).distinct()
+    first = lambda df, c: df.groupBy(mid).agg(F.min(c).alias(c))
+    return first(one, a).join(two, mid).select(a, b).union(one.join(first(two, b), mid).select(a, b)).distinct()
 
 
 def relabel(voxels: DataFrame, mapping: DataFrame, label: str, to: str, *, on: Sequence[str] = (), otherwise: Column | None = None) -> DataFrame:

@@ -121,16 +121,18 @@ def order_statistics(voxels: DataFrame, value: str, saturation: float) -> DataFr
 def matched_histogram(voxels: DataFrame, value: str, template: DataFrame) -> DataFrame:
     """`value` moved so that its distribution follows the template's: each value to the first template value of at least its cumulated share.
 
-    The lookup has a row an intensity; the voxels meet it in one equi join.
+    The lookup has a row an intensity: both sides' shares in one order, and the smallest template value from each on; the voxels meet it in one equi join.
     """
     from pyspark.sql.window import Window
 
-    def shares(df: DataFrame, name: str) -> DataFrame:
-        counts = df.groupBy(F.col(value).alias(name)).agg(F.count("*").alias("n"))
-        return counts.select(name, (F.sum("n").over(Window.orderBy(name)) / F.sum("n").over(Window.partitionBy())).alias(f"share_{name}"))
+    def shares(df: DataFrame, mine: bool) -> DataFrame:
+        counts = df.groupBy(F.col(value).alias("k")).agg(F.count("*").alias("n"))
+        share = F.sum("n").over(Window.orderBy("k")) / F.sum("n").over(Window.partitionBy())
+        return counts.select(share.alias("share"), F.lit(mine).alias("mine"), F.col("k").alias("v"), F.lit(None).cast("long").alias("t")) if mine else counts.select(share.alias("share"), F.lit(mine).alias("mine"), F.lit(None).cast("long").alias("v"), F.col("k").cast("long").alias("t"))
 
-    met = shares(voxels, "v").crossJoin(F.broadcast(shares(template, "t"))).where("share_t >= share_v")  # intensities squared at most
-    lookup = met.groupBy("v").agg(F.min("t").alias("to"))
+    both = shares(voxels, True).unionByName(shares(template, False))
+    later = Window.orderBy(F.desc("share"), "mine").rowsBetween(Window.unboundedPreceding, 0)  # of equal shares the template's first
+    lookup = both.withColumn("to", F.min("t").over(later)).where("mine and to is not null").select("v", "to")
     return voxels.join(lookup, voxels[value] == lookup["v"]).select(*KEYS, F.col("to").alias(value))
 
 
