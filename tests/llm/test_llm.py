@@ -602,6 +602,24 @@ def test_quality_tells_held_out_texts(spark, corpus):
     assert quality_crf.report(frame(spark, []), spark.createDataFrame([], LABELS)).count() == 0
 
 
+def test_lines_may_differ_from_their_document(spark):
+    """Good documents with a junk line each and bad ones with a plain one: the field tells the lines, and learns that chains change state."""
+    draw, rows, labels, kinds = random.Random(71), [], [], []
+    plain = lambda: " ".join(draw.choices(["river", "stone", "under", "walks", "slowly", "green", "hills"], k=9)).capitalize() + "."
+    junk = lambda: " ".join(draw.choices(["####", "$$$!", "@@@@", "1234567", "%%%%"], k=9))
+    for i in range(300):
+        good, n = i % 2, draw.randint(5, 8)
+        odd = draw.randrange(n) if i % 3 else -1
+        kinds.append([good != (k == odd) for k in range(n)])
+        rows.append((i, "\n".join(plain() if g else junk() for g in kinds[-1]), "en", "s", 0))
+        labels.append((i, good, 0))
+    field = quality_crf.fit(frame(spark, rows), spark.createDataFrame(labels, LABELS))
+    own, _, bounds = quality_crf.lines(*quality_crf.text_bytes(pa.array([r[1] for r in rows])))
+    told = field.marginals(own, bounds) > 0
+    want = np.array([bool(g) for k in kinds for g in k])
+    assert (told == want).mean() > 0.97 and all(((field.score(pa.array([r[1] for r in rows])) >= 0.5) == np.array([bool(y) for _, y, _ in labels])))
+
+
 def test_quality_learns_from_a_bounded_number_of_lines(spark, monkeypatch):
     own = np.arange(1000.0)[:, None]
     assert quality_crf._spread(own[:80], 2) is not own and len(quality_crf._spread(own[:80], 2)) == 80

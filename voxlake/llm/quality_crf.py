@@ -2,7 +2,8 @@
 
 Every line is good or bad; its features are its own (length, case, digits, symbols, repeated words, ...) and
 those of the lines before and after. Training gives each line its document's label and maximises the chain's conditional
-likelihood on a bounded sample of labelled documents. A document's quality is the mean of its lines' forward-backward marginals,
+likelihood on a bounded sample of labelled documents; then lines that would surely be of the other kind among lines like themselves change theirs, as long as most of a
+document's text keeps its label, and the field is fitted again, so that it learns from chains whose lines differ. A document's quality is the mean of its lines' forward-backward marginals,
 weighted by their lengths, then calibrated on the same sample.
 
 With two states a chain's messages are one log-ratio a line, so forward and backward passes run over all
@@ -27,6 +28,8 @@ SAMPLE, CHAIN = 6000, 40
 SAMPLE_LINES = 1 << 19
 FOLDS, HELD_OUT = 3, 1
 ROUNDS, RATE, L2 = 120, 0.1, 1e-3
+#: Log-odds from which a line of the training sample changes its document's label.
+SURE = 3.0
 
 #: Each byte's kind.
 UPPER, LOWER_CASE, DIGIT, SYMBOL, OTHER = range(5)
@@ -135,10 +138,18 @@ class LineField:
             return
         x, y = self.design(own, bounds), np.repeat(label, np.diff(bounds)).astype(float)
         cuts = np.unique(np.concatenate([bounds, *[np.arange(s, e, CHAIN) for s, e in zip(bounds, bounds[1:], strict=False)]]))
-        chains = Chains(cuts)
+        self.optimise(x, y, Chains(cuts))
+        alone = x[:, :FEATURES] @ self.weights.reshape(3, FEATURES).sum(0) + self.bias  # among lines like itself: neighbours and chain would hold it to its document
+        other = self.others(alone, own[:, 0], bounds, label)
+        if other.any():
+            self.optimise(x, np.where(other, 1 - y, y), Chains(cuts))
+        raw = self.aggregate(own, own[:, 0], bounds, logged=True)
+        self.calibration = fit_logistic(raw[:, None], label > 0)
+
+    def optimise(self, x: np.ndarray, y: np.ndarray, chains: Chains) -> None:
+        """Weights and transitions by Adam, for lines' labels y."""
         first, second = chains.pairs()
-        kinds = y[first].astype(int) * 3
-        gold = np.bincount(kinds, minlength=4).reshape(2, 2) / len(x)
+        gold = np.bincount((2 * y[first] + y[second]).astype(int), minlength=4).reshape(2, 2) / len(x)
         theta = np.zeros(x.shape[1] + 5)
         m, v = np.zeros_like(theta), np.zeros_like(theta)
         for step in range(1, ROUNDS + 1):
@@ -153,8 +164,15 @@ class LineField:
             m, v = 0.9 * m + 0.1 * up, 0.99 * v + 0.01 * up * up
             theta = theta + RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         self.weights, self.bias, self.a = theta[:-5], theta[-5], theta[-4:].reshape(2, 2)
-        raw = self.aggregate(own, own[:, 0], bounds, logged=True)
-        self.calibration = fit_logistic(raw[:, None], label > 0)
+
+    @staticmethod
+    def others(odds: np.ndarray, length: np.ndarray, bounds: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """Lines that are of the other kind than their document with odds of SURE, in documents most of whose text (length in logs) keeps its label."""
+        of = np.repeat(np.arange(len(label)), np.diff(bounds))
+        other = np.where(label[of] > 0, odds < -SURE, odds > SURE)
+        size = np.expm1(length)
+        share = np.bincount(of, size * other, len(label)) / np.maximum(np.bincount(of, size, len(label)), 1e-9)
+        return other & (share < 0.5)[of]
 
     def design(self, own: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return around((own - self.mean) / self.scale, bounds)
