@@ -659,6 +659,16 @@ def fingerprint_plain(text, k=3):
     return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hs) * 2 > len(hs))
 
 
+def test_hashes_of_spans_equal_the_library():
+    draw = np.random.default_rng(9)
+    data = draw.integers(0, 256, 5000, np.uint8)
+    starts = draw.integers(0, 4800, 600)
+    ends = starts + draw.integers(0, 200, 600)
+    for seed in (0, 42):
+        assert simhash.xxh64(data, starts, ends, seed).tolist() == [xxhash.xxh64_intdigest(data[s:e].tobytes(), seed) for s, e in zip(starts, ends)]
+    assert len(simhash.xxh64(data[:0], starts[:0], ends[:0])) == 0
+
+
 def joined(fps, radius):
     root = list(range(len(fps)))
     for i in range(len(fps)):

@@ -77,6 +77,58 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+#: Fixed values of XXH64.
+XX = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _round(acc, lane: np.ndarray) -> np.ndarray:
+    return _turned(acc + lane * XX[1], 31) * XX[0]
+
+
+def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """XXH64 of each span's bytes: the stripes, lanes and bytes of all spans in step, those that have one."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+    four = np.ndarray((len(data) + 5,), "<u4", padded.data, strides=(1,))
+    size, at, key = ends - starts, starts.copy(), np.uint64(seed)
+    out = np.full(len(starts), key) + XX[4]
+    stripes = size >> 5
+    if len(size) and stripes.max():
+        wide = np.flatnonzero(stripes)
+        acc = [np.full(len(wide), key) + np.array([x], np.uint64) for x in (XX[0], XX[1], np.uint64(0), ~XX[0])]
+        acc[0] += XX[1]
+        acc[3] += np.uint64(1)
+        place, left = at[wide], stripes[wide]
+        for k in range(int(left.max())):
+            live = np.flatnonzero(left > k)
+            for lane in range(4):
+                acc[lane][live] = _round(acc[lane][live], eight[place[live] + 8 * lane])
+            place[live] += 32
+        h = _turned(acc[0], 1) + _turned(acc[1], 7) + _turned(acc[2], 12) + _turned(acc[3], 18)
+        for x in acc:
+            h = (h ^ _round(np.uint64(0), x)) * XX[0] + XX[3]
+        out[wide], at[wide] = h, place
+    out += size.astype(np.uint64)
+    for k in range(3):
+        live = np.flatnonzero(((size & 31) >> 3) > k)
+        out[live] = _turned(out[live] ^ _round(np.uint64(0), eight[at[live]]), 27) * XX[0] + XX[3]
+        at[live] += 8
+    live = np.flatnonzero(size & 4)
+    out[live] = _turned(out[live] ^ (four[at[live]].astype(np.uint64) * XX[0]), 23) * XX[1] + XX[2]
+    at[live] += 4
+    for k in range(3):
+        live = np.flatnonzero((size & 3) > k)
+        out[live] = _turned(out[live] ^ (padded[at[live]].astype(np.uint64) * XX[4]), 11) * XX[0]
+        at[live] += 1
+    out = (out ^ (out >> np.uint64(33))) * XX[1]
+    out = (out ^ (out >> np.uint64(29))) * XX[2]
+    return out ^ (out >> np.uint64(32))
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all k consecutive word hashes."""
     n = len(words) - k + 1

@@ -19,17 +19,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.components import components
 from .common import small_batches, store
-from .kernels import LOWER, chunks, runs, text_bytes, word_ranges
+from .kernels import LOWER, chunks, runs, text_bytes, word_ranges, xxh64
 from .mixing import SPACE
 
 SHINGLE, RADIUS, SHARD = 3, 2, 256
+#: Shingles that are hashed and counted at once.
+STEP = 1 << 18
+EACH_BYTE = np.uint64(0x0101010101010101)
 
 
 def fingerprints(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -45,24 +47,26 @@ def fingerprints(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
         keep[ends[ends < len(part)]] = True  # the byte after a word: a separator, or the next text's first
         part[~word] = 0x20
         place = np.cumsum(keep) - 1
-        packed, starts, ends = memoryview(part[keep].tobytes()), place[starts].tolist(), (place[ends - 1] + 1).tolist()
-        for t in range(j - i):
-            a, b = int(bounds[t]), int(bounds[t + 1])
-            if a < b:
-                out[i + t] = _majority(packed, starts, ends, a, b, min(shingle, b - a))
+        packed, starts, ends = part[keep], place[starts] if len(starts) else starts, place[ends - 1] + 1 if len(ends) else ends
+        words = np.diff(bounds)
+        size = np.minimum(shingle, words)
+        count = np.where(words > 0, words - size + 1, 0)
+        text = np.repeat(np.arange(j - i), count)
+        first = bounds[:-1][text] + np.arange(len(text)) - (np.cumsum(count) - count)[text]
+        s, e = starts[first], ends[first + size[text] - 1]
+        ones = np.zeros((j - i, 64), np.int64)
+        for x in range(0, len(text), STEP):  # so that one very long text needs no more memory
+            sl = slice(x, x + STEP)
+            h, of = xxh64(packed, s[sl], e[sl], 42), text[sl]
+            begin = np.flatnonzero((first[sl] - bounds[:-1][of]) % 255 == 0)  # sums of at most 255 fit into a byte
+            begin = begin if len(begin) and begin[0] == 0 else np.concatenate([[0], begin])
+            for bit in range(8):
+                sums = np.add.reduceat((h >> np.uint64(bit)) & EACH_BYTE, begin).view(np.uint8).reshape(-1, 8)
+                np.add.at(ones, (of[begin][:, None], 8 * np.arange(8) + bit), sums)
+        out[i:j] = np.packbits(ones * 2 > count[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
     return out
 
 
-def _majority(packed: memoryview, starts: list[int], ends: list[int], a: int, b: int, k: int, step: int = 1 << 16) -> np.uint64:
-    """`step` shingles at a time, so that one very long text needs no more memory."""
-    digest, counts, n = xxhash.xxh64_intdigest, np.zeros(64, np.int64), b - a - k + 1
-    for s in range(a, a + n, step):
-        e = min(s + step, a + n)
-        h = np.array([digest(packed[x:y], 42) for x, y in zip(starts[s:e], ends[s + k - 1 : e + k - 1], strict=True)], ">u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
-    return np.packbits(counts * 2 > n).view(">u8")[0].astype(np.uint64)
-
-
 def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp): the fingerprint's 64 bits as a signed long; a null text is an empty one, of fingerprint 0."""
     small_batches(docs.sparkSession)
