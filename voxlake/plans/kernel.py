@@ -220,7 +220,8 @@ def skeletons(spark, d):
     return vox.select("a", "block", *KEYS).groupBy("a", "block").applyInArrow(run, "label long, block string, node long, z long, y long, x long, radius double, parent long")
 
 
-@query()
+@query("""WITH RECURSIVE k AS (SELECT a, b, COUNT(*) AS n FROM vox WHERE a <> 0 AND b <> 0 GROUP BY a, b), p AS (SELECT a, b + 1000 AS b FROM (SELECT *, SUM(n) OVER (PARTITION BY a) AS ra, SUM(n) OVER (PARTITION BY b) AS rb FROM k) WHERE n * 100 >= ra * 20 OR n * 100 >= rb * 20),
+e AS (SELECT a AS u, b AS v FROM p UNION SELECT b, a FROM p), reach AS (SELECT u AS node, u AS far FROM e UNION SELECT reach.node, e.v FROM reach JOIN e ON e.u = reach.far) SELECT node, MIN(far) AS root FROM reach GROUP BY node""", "vox")
 def best_match_graph(spark, d):
     """Connected components of the matched labels of both segmentations, a's as they are and b's after them."""
     from ..operators.components import components
