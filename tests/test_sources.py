@@ -239,3 +239,31 @@ def test_sessions_of_a_stream_equal_the_batch(spark, tmp_path):
     told = {str(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     want = {str(r) for r in events.sessions(data).collect()}
     assert want and want <= told
+
+
+@pytest.mark.parametrize("kind", ["uint8", "uint16", "uint32", "int16", "float32"])
+@pytest.mark.parametrize("level", [0, 3])
+def test_tiff_pages(kind, level):
+    from voxlake.sources import tiff
+
+    pages = np.random.default_rng(5).integers(0, 200, (3, 7, 5)).astype(kind)
+    assert (tiff.decode_tiff(tiff.encode_tiff(pages, level=level)) == pages).all() and (tiff.decode_tiff(tiff.encode_tiff(pages[0], level=level))[0] == pages[0]).all()
+
+
+def test_tiff_by_hand():
+    """Big-endian, two strips, with horizontal differences."""
+    import struct
+
+    from voxlake.sources import tiff
+
+    image = np.arange(24, dtype=">u2").reshape(4, 6) * 7
+    moved = image.copy()
+    moved[:, 1:] = image[:, 1:] - image[:, :-1]
+    strips = [moved[:2].tobytes(), moved[2:].tobytes()]
+    tags = [(256, 3, 1, 6), (257, 3, 1, 4), (258, 3, 1, 16), (259, 3, 1, 1), (273, 4, 2, 8 + 48), (278, 3, 1, 2), (279, 4, 2, 8 + 56), (317, 3, 1, 2)]
+    extra = struct.pack(">II", 8, 32) + struct.pack(">II", 24, 24)
+    entry = lambda t, k, n, v: struct.pack(">HHI", t, k, n) + (struct.pack(">HH", v, 0) if k == 3 else struct.pack(">I", v))
+    data = b"MM\0*" + struct.pack(">I", 8 + 48 + 16) + b"".join(strips) + extra + struct.pack(">H", len(tags)) + b"".join(entry(*t) for t in tags) + struct.pack(">I", 0)
+    assert (tiff.decode_tiff(data)[0] == image).all()
+    with pytest.raises(ValueError):
+        tiff.decode_tiff(b"GIF89a")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.boxes import Box
 from ..operators import classify, graphs
-from ..sources import blocks, documents, tiles
+from ..sources import blocks, documents, tiff, tiles
 from ..spark import place, store, table
 from . import scalar
 from .graph import nodes as customers
@@ -89,6 +89,12 @@ def png_round_trip(spark, d):
     return tiles.png_voxels(written).where("value <> 0")
 
 
+@query("SELECT z, y, x, p AS value FROM vox WHERE p <> 0", "vox")
+def tiff_round_trip(spark, d):
+    """A TIFF for each plane, and back."""
+    return tiff.tiff_voxels(store(tiff.tiff_planes(view(spark, d, "vox"), "p"))).where("value <> 0")
+
+
 @query("SELECT z, CAST(COUNT(*) AS BIGINT) AS tiles FROM (SELECT DISTINCT z, y // 32 AS r, x // 32 AS c FROM vox) GROUP BY z", "vox")
 def plane_tiles(spark, d):
     """How many tiles each plane is written as."""

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .tiff import decode_tiff
+
 
 def decode_png(data: bytes) -> np.ndarray:
     """Height x width (x channels) of an 8- or 16-bit PNG without interlace or palette."""
@@ -121,9 +123,10 @@ class TileReader(DataSourceReader):
     def read(self, part: PlaneTile):
         keys = ("experiment", "sample", "dataset", "channel", "resolution")
         query = {k: self.options[k] for k in keys if k in self.options}
-        query |= {"x": part.x, "y": part.y, "z": part.z, "width": part.width, "height": part.height, "format": "png", "view": "grayscale"}
+        query |= {"x": part.x, "y": part.y, "z": part.z, "width": part.width, "height": part.height, "format": self.options.get("format", "png"), "view": "grayscale"}
         with urllib.request.urlopen(f"{self.options['url'].rstrip('/')}/data?{urllib.parse.urlencode(query)}", timeout=float(self.options.get("timeout", 60))) as got:  # an HTTP error raises
-            v = unpack_labels(decode_png(got.read()))
+            body = got.read()
+        v = decode_tiff(body)[0] if query["format"] in ("tif", "tiff") else unpack_labels(decode_png(body))
         y, x = (a.ravel() for a in np.indices(v.shape))
         for k in range(0, v.size, BATCH):
             cells = [np.full(len(y[k : k + BATCH]), part.z), part.y + y[k : k + BATCH], part.x + x[k : k + BATCH], v.ravel()[k : k + BATCH].astype(np.int64)]
@@ -131,7 +134,7 @@ class TileReader(DataSourceReader):
 
 
 class TileSource(DataSource):
-    """spark.read.format("voxel-tiles").option("url", ...).option("x", ...)...: voxels of a channel's box, one partition a plane and tile."""
+    """spark.read.format("voxel-tiles").option("url", ...).option("x", ...)...: voxels of a channel's box, one partition a plane and tile, as PNG or (format: tif) TIFF."""
 
     @classmethod
     def name(cls) -> str:
