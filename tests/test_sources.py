@@ -256,9 +256,9 @@ def test_tiff_by_hand():
 
     from voxlake.sources import tiff
 
-    image = np.arange(24, dtype=">u2").reshape(4, 6) * 7
+    image = (np.arange(24).reshape(4, 6) * 7).astype(">u2")
     moved = image.copy()
-    moved[:, 1:] = image[:, 1:] - image[:, :-1]
+    moved[:, 1:] = image[:, 1:] - image[:, :-1]  # in place, so big-endian still
     strips = [moved[:2].tobytes(), moved[2:].tobytes()]
     tags = [(256, 3, 1, 6), (257, 3, 1, 4), (258, 3, 1, 16), (259, 3, 1, 1), (273, 4, 2, 8 + 48), (278, 3, 1, 2), (279, 4, 2, 8 + 56), (317, 3, 1, 2)]
     extra = struct.pack(">II", 8, 32) + struct.pack(">II", 24, 24)
