@@ -220,10 +220,11 @@ def _weight() -> Column:
 
 def spanning(sketched: DataFrame, *, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """Pairs (u, v) of `sketched` (class, fp, sign, bands) that span each shard, or each block of a large one."""
-    one = sketched.select("class", "fp", "sign", F.explode("bands").alias("key"))
-    sizes = store(one.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    keyed = sketched.select("class", F.explode("bands").alias("key"))
+    sizes = store(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     block = F.when(F.col("n") > shard, F.xxhash64("key", F.pmod(F.xxhash64("key", "class"), F.ceil(F.col("n") / shard)))).otherwise(F.col("key"))
-    return _ask(one.join(sizes, "key").withColumn("key", block), [], radius, None)
+    shared = keyed.join(sizes, "key").select(block.alias("key"), "class")  # few of all bands are shared: their sketches come afterwards
+    return _ask(shared.join(sketched.select("class", "fp", "sign"), "class"), [], radius, None)
 
 
 def remaining(sketched: DataFrame, roots: DataFrame, docs: DataFrame, *, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
@@ -233,7 +234,8 @@ def remaining(sketched: DataFrame, roots: DataFrame, docs: DataFrame, *, shingle
     each block is compared with itself and every other, but for blocks of one root.
     """
     rooted = sketched.select("class", "bands", "words").join(roots, sketched["class"] == roots["node"], "left")
-    narrow = store(rooted.select(F.explode("bands").alias("key"), "class", "words", F.coalesce("root", "class").alias("root")))
+    rooted = store(rooted.select("class", "words", F.coalesce("root", "class").alias("root"), "bands"))
+    narrow = rooted.select(F.explode("bands").alias("key"), "class", "words", "root")
     sizes = store(narrow.groupBy("key").agg(_weight().alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key", "n"))
     large = store(sizes.where(F.col("n") > shard).select("key"))
     tasks = narrow.join(sizes.where(F.col("n") <= shard), "key", "left_semi").select("key", "class", "root", F.lit(-1).alias("side"))
