@@ -171,6 +171,27 @@ def test_rounds_join_mutual_minima(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 4}
 
 
+def test_rounds_of_a_chain_run_in_one_task(spark):
+    """Of a chain of equal costs each round joins one edge, and yet a few tables are written; in one task and round by round the roots are the same."""
+    import random
+
+    from voxlake.operators import agglomerate
+    from voxlake.spark import stored
+
+    nodes = spark.range(60).select(F.col("id").alias("node"))
+    chain = spark.createDataFrame([(i, i + 1, 0.1, 1 + i % 3) for i in range(59)], "u long, v long, weight double, size long")
+    before = stored()
+    assert {r.root for r in agglomerate.rounds(nodes, chain, 0.3).collect()} == {0}
+    assert stored() - before <= 3
+    draw = random.Random(4)
+    mixed = [(draw.randrange(25), draw.randrange(25), draw.randrange(1, 9) / 8, draw.choice((1, 2, 4))) for _ in range(60)]
+    mixed += [(0, 1, None, 2), (3, 40, 0.125, 1), *mixed[:5]]  # without a cost, from nodes that aren't told, and twice
+    edges = spark.createDataFrame(mixed, "u long, v long, weight double, size long")
+    some = nodes.where("node < 30")
+    one, many = ({r.node: r.root for r in agglomerate.rounds(some, edges, 0.6, at_once=n).collect()} for n in (1 << 20, 0))
+    assert one == many and len(one) == 30 and 3 < len(set(one.values())) < 30
+
+
 def test_blocks_merge_where_they_overlap(spark):
     from voxlake.operators import agglomerate
 

@@ -135,7 +135,7 @@ def segments(affinities: DataFrame, *, low: float = 1, high: float = 254, size:
     if threshold is None:
         roots = joined_by_size(nodes, edges, least=low, size=size, at_once=at_once)
     else:
-        roots = rounds(nodes, edges.select("u", "v", (255 - F.col("mean")).alias("weight"), "size"), 255 - threshold)
+        roots = rounds(nodes, edges.select("u", "v", (255 - F.col("mean")).alias("weight"), "size"), 255 - threshold, at_once=at_once)
     joined = told.join(roots.withColumnRenamed("node", "basin"), "basin").select("node.*", "root")
     kept = joined.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= minimum)
     numbers = dense_rank(store(kept.select("root")), "root", "segment")

@@ -2,21 +2,115 @@
 
 from __future__ import annotations
 
+import math
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..spark import store
-from .components import components
-
-
-def rounds(nodes: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
+from .components import _plain, _typed, components
+
+#: Nodes and edges that one task joins at once, by the same rounds.
+AT_ONCE = 1 << 20
+
+
+def _mean(edges: list[tuple]) -> tuple:
+    """(weight, size) of parallel edges; a single one stays as it is."""
+    if len(edges) == 1:
+        return edges[0]
+    sizes = [s for _, s in edges if s is not None]
+    costs = [w * s for w, s in edges if w is not None and s is not None]
+    return (math.fsum(costs) / sum(sizes) if costs else None, sum(sizes) if sizes else None)
+
+
+def _joined_in_rounds(nodes: list, edges: list[tuple], threshold: float) -> list:
+    """The root of each of `nodes`, from edges (u, v, weight, size): the rounds of `rounds`. After the first, only the nodes around a join look for their cheapest edge again."""
+    around: dict = {}
+    for u, v, weight, size in edges:
+        both = around.setdefault(u, {}).setdefault(v, [])
+        around.setdefault(v, {})[u] = both
+        both.append((weight, size))
+    cheapest: dict = {}
+    moved: dict = {}
+    touched, first = set(around), True
+    while True:
+        for x in touched:
+            cheapest[x] = min(((w, min(x, y), max(x, y)) for y, both in around[x].items() for w, _ in both if w is not None and w <= threshold), default=None)
+        joined = {e for e in map(cheapest.get, touched) if e and cheapest[e[1]] == cheapest[e[2]] == e}
+        if not joined:
+            break
+        into = {v: u for _, u, v in joined}
+        parallel: dict = {}
+        for x in {x for _, *ends in joined for x in ends}:
+            for y, both in around.pop(x).items():
+                if y in around:
+                    del around[y][x]
+                ends = tuple(sorted((into.get(x, x), into.get(y, y))))
+                if ends[0] != ends[1]:
+                    parallel.setdefault(ends, {})[min(x, y), max(x, y)] = both
+        if first:
+            for x, others in around.items():
+                for both in others.values():
+                    both[:] = [_mean(both)]
+            touched, first = set(around), False
+        else:
+            touched = set()
+        for u in into.values():
+            around[u] = {}
+            touched.add(u)
+        for (u, v), parts in parallel.items():
+            around[u][v] = around[v][u] = [_mean([e for both in parts.values() for e in both])]
+            touched |= {u, v}
+        moved |= into
+
+    def last(x):
+        way = []
+        while x in moved:
+            way.append(x)
+            x = moved[x]
+        moved.update(dict.fromkeys(way, x))
+        return x
+
+    return [last(x) for x in nodes]
+
+
+def _rounds_at_once(nodes: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
+    """As `rounds`, in one task."""
+    rows = nodes.select(F.col("node").alias("u"), F.col("node").alias("v"), F.lit(None).cast("double").alias("weight"), F.lit(None).cast(edges.schema["size"].dataType).alias("size"), F.lit(False).alias("edge"))
+    rows = rows.unionByName(edges.select("u", "v", F.col("weight").cast("double").alias("weight"), "size", F.lit(True).alias("edge")))
+    kind = rows.schema["u"].dataType
+
+    def run(batches):
+        names, links = [], []
+        for b in batches:
+            for u, v, weight, size, edge in zip(_plain(b.column(0)), _plain(b.column(1)), *(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                if edge:
+                    links.append((u, v, weight, size))
+                else:
+                    names.append(u)
+        roots = _joined_in_rounds(names, links, threshold)
+        for i in range(0, len(names), 10_000):
+            yield pa.RecordBatch.from_arrays([_typed(x[i : i + 10_000], arrow) for x in (names, roots)], names=["node", "root"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    arrow = to_arrow_type(kind)
+    return rows.repartition(1).mapInArrow(run, T.StructType([T.StructField("node", kind), T.StructField("root", kind)]))
+
+
+def rounds(nodes: DataFrame, edges: DataFrame, threshold: float, *, at_once: int = AT_ONCE) -> DataFrame:
     """(node, root): joins every edge that is the cheapest of both its ends and costs at most `threshold`, again and again.
 
     Such edges share no node, so a round joins them all at once; each round's cheapest edge is among them. Parallel edges
-    become one of size-weighted mean weight. Ties go to the smaller ends. The rounds grow as the logarithm of the longest chain of joins.
+    become one of size-weighted mean weight, and others keep theirs. Ties go to the smaller ends. Where costs rise or tie along a
+    chain of nodes, a round joins one edge of it, so there may be as many rounds as the chain has edges: up to `at_once` nodes and edges go through them in one task.
     """
     roots = store(nodes.select("node", F.col("node").alias("root")))
     left = store(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "weight", "size").where("u != v"))
+    if roots.count() + left.count() <= at_once:
+        return store(_rounds_at_once(roots, left, threshold))
     while True:
         cheap = left.where(F.col("weight") <= threshold)
         ends = cheap.select(F.col("u").alias("node"), F.struct("weight", "u", "v").alias("e")).unionByName(cheap.select(F.col("v").alias("node"), F.struct("weight", "u", "v").alias("e")))
@@ -30,7 +124,8 @@ def rounds(nodes: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
             moved = into.select(F.col("node").alias(end), F.col("to").alias("moved"))
             left = left.join(moved, end, "left").withColumn(end, F.coalesce("moved", end)).drop("moved")
         left = left.where("u != v").groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        left = store(left.agg((F.sum(F.col("weight") * F.col("size")) / F.sum("size")).alias("weight"), F.sum("size").alias("size")))
+        mean = F.when(F.count("*") == 1, F.first("weight")).otherwise(F.sum(F.col("weight") * F.col("size")) / F.sum("size"))
+        left = store(left.agg(mean.alias("weight"), F.sum("size").alias("size")))
     return roots
 
 
