@@ -144,6 +144,14 @@ def test_triplets(spark):
     assert {(r.s1, r.s2) for r in synapses.triplets(s).collect()} == {(1, 2), (1, 3), (2, 3)}
 
 
+def test_triplets_read_each_side_once(spark, tmp_path):
+    rows = [(1, 4, 10), (1, 4, 10), (2, 4, 4), (3, 12, 4), (4, None, 10), (5, None, None)]  # told twice, one neuron on both sides, none
+    spark.createDataFrame(rows, "synapse long, neuron_1 long, neuron_2 long").write.parquet(str(tmp_path / "s"))
+    met = synapses.triplets(spark.read.parquet(str(tmp_path / "s")))
+    assert sorted(tuple(r) for r in met.collect()) == [(4, 1, 2), (4, 1, 3), (4, 2, 3), (10, 1, 4)]
+    assert met._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+
+
 def test_synapse_score(spark):
     r = synapses.score(spark.createDataFrame([(1,), (0,)], "n long"), spark.createDataFrame([(1,), (0,), (0,)], "n long")).first()
     assert (r.tp, r.double, r.merged) == (1, 0, 0) and math.isclose(r.precision, 1 / 3) and r.recall == 0.5
