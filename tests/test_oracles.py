@@ -42,6 +42,22 @@ def test_query_equals_sql(spark, duck, name):
     same(registry.QUERIES[name](spark, DATA), duck, registry.ORACLES[name])
 
 
+def lineitem(spark, folder, rows):
+    """A folder with a table of (order, line, part, supplier, quantity, tax), and DuckDB on it."""
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_tax double").coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{folder}/lineitem.parquet/*.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("quantities", [(50,), (20, 50), (1, 20, 50)])
+@pytest.mark.parametrize("name", ["rand_by_threshold"])
+def test_thresholds_without_pairs_have_no_row(spark, tmp_path, name, quantities):
+    """Quantities 50, 20 and 1 are probabilities of 250, 100 and 5."""
+    con = lineitem(spark, tmp_path, [(o, 4 + o % 3, 16 + o % 30, 1, float(quantities[o % len(quantities)]), 0.0) for o in range(16, 60)])
+    same(registry.QUERIES[name](spark, str(tmp_path)), con, registry.ORACLES[name])
+
+
 def pairs_are_one_to_one(rows, _):
     return len({(r.z, r.a) for r in rows}) == len({(r.z, r.b) for r in rows}) == len(rows) > 0
 

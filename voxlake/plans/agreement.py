@@ -213,12 +213,13 @@ def vi_matrix(spark, d):
 s AS (SELECT t, SUM(m * m) AS v FROM (SELECT t, a, SUM(n) AS m FROM k GROUP BY 1, 2) GROUP BY 1), g AS (SELECT t, SUM(m * m) AS v FROM (SELECT t, b, SUM(n) AS m FROM k GROUP BY 1, 2) GROUP BY 1)
 SELECT k.t AS threshold, round(SUM(n * n) / (0.5E0 * MAX(g.v) + 0.5E0 * MAX(s.v)), 6) AS rand FROM k JOIN s ON k.t = s.t JOIN g ON k.t = g.t GROUP BY 1""", "vox")
 def rand_by_threshold(spark, d):
+    """A threshold that leaves no labelled pair has no row."""
     out = None
     for t in (64, 128, 192):
         cut = view(spark, d, "vox").withColumn("a", F.when(F.col("p") < t, F.col("a")).otherwise(0))
         row = metrics.rand_f(overlap.contingency(cut), (0.5,)).select(F.lit(t).alias("threshold"), "rand")
         out = row if out is None else out.unionByName(row)
-    return rounded(out, "rand")
+    return rounded(out.where("rand is not null"), "rand")
 
 
 @query("SELECT CASE WHEN a <= 4 THEN 1 ELSE a END AS a, b, CAST(COUNT(*) AS BIGINT) AS n FROM vox WHERE a <> 0 AND b <> 0 GROUP BY 1, 2", "vox")
