@@ -1,5 +1,6 @@
 """Every query that SQL can express, against DuckDB on the smallest tables."""
 
+import itertools
 import math
 import os
 
@@ -58,6 +59,24 @@ def test_thresholds_without_pairs_have_no_row(spark, tmp_path, name, quantities)
     same(registry.QUERIES[name](spark, str(tmp_path)), con, registry.ORACLES[name])
 
 
+def test_orientation_does_not_hang_on_the_order_of_rows(spark, tmp_path):
+    """Taxes of 7, 7 and 1 % add up to 15.0 or 15.000000000000002, the other side's to 15.0: a tie."""
+    rows = []
+    for order, taxes in enumerate(itertools.permutations((0.07, 0.07, 0.01))):
+        rows += [(order, line, 1, 1, quantity, tax) for line, quantity, tax in zip((2, 4, 6), (5.0, 5.0, 6.0), taxes, strict=True)]
+        rows += [(order, line, 1, 1, quantity, 0.05) for line, quantity in ((1, 5.0), (3, 5.0), (5, 6.0))]
+    lineitem(spark, tmp_path, rows)
+    got = registry.QUERIES["synapse_orientation"](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in got) == [(order, False, 31.0) for order in range(6)]
+
+
+def test_orientation_of_odd_rows(spark, tmp_path):
+    """Sides without lines, without values and with an unknown line."""
+    rows = [(1, 2, 1, 1, None, 0.01), (2, 2, 1, 1, None, None), (2, 1, 1, 1, 3.0, 0.02), (3, None, 1, 1, 3.0, 0.02), (4, 1, 1, 1, 9.0, 0.0), (4, 2, 1, 1, 8.0, 0.0), (None, 1, 1, 1, 2.0, 0.07), (5, 3, 1, 1, None, 0.03), (5, 3, 1, 1, 4.0, None)]
+    con = lineitem(spark, tmp_path, rows)
+    same(registry.QUERIES["synapse_orientation"](spark, str(tmp_path)), con, registry.ORACLES["synapse_orientation"])
+
+
 def pairs_are_one_to_one(rows, _):
     return len({(r.z, r.a) for r in rows}) == len({(r.z, r.b) for r in rows}) == len(rows) > 0
 
