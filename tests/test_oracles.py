@@ -77,6 +77,19 @@ def test_orientation_of_odd_rows(spark, tmp_path):
     same(registry.QUERIES["synapse_orientation"](spark, str(tmp_path)), con, registry.ORACLES["synapse_orientation"])
 
 
+@pytest.mark.parametrize("name", ["triplets", "triplets_of_one_side"])
+def test_triplets_deal_lines_and_ends_at_once(spark, tmp_path, name):
+    """Two lines of one id (order 1, line 11 and order 2, line 1) that share a neuron count once; lines told twice, lines of no order, line or part."""
+    rows = [(1, 11, 5, 1, 1.0, 0.0), (2, 1, 5, 1, 1.0, 0.0), (2, 1, 5, 1, 1.0, 0.0), (2, 1, 9, 1, 1.0, 0.0), (2, 3, 7005, 1, 1.0, 0.0), (1, 2, None, 1, 1.0, 0.0), (3, 4, 5, 1, 1.0, 0.0), (None, 4, 5, 1, 1.0, 0.0), (3, None, 5, 1, 1.0, 0.0), (4, 1, 6, 1, 1.0, 0.0), (100005, 1, 5, 1, 1.0, 0.0)]
+    con = lineitem(spark, tmp_path, rows)
+    priced = tmp_path / "priced"
+    spark.read.parquet(f"{tmp_path}/lineitem.parquet").selectExpr("*", "0.0D AS l_extendedprice").coalesce(1).write.parquet(f"{priced}/lineitem.parquet")  # the view of points names it
+    con.sql(f"CREATE OR REPLACE VIEW lineitem AS SELECT * FROM '{priced}/lineitem.parquet/*.parquet'")
+    met = registry.QUERIES[name](spark, str(priced))
+    same(met, con, registry.ORACLES[name])
+    assert met._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # by the id, one for each side; so small a side is broadcast to the other
+
+
 def pairs_are_one_to_one(rows, _):
     return len({(r.z, r.a) for r in rows}) == len({(r.z, r.b) for r in rows}) == len(rows) > 0
 
